@@ -26,7 +26,7 @@ SELECT CAST(e.event_id AS {text_type}) AS id,
        CAST(second(e.ts) AS INT) AS reply_count,
        CAST(hour(e.ts) AS INT) AS quote_count,
        e.ts + INTERVAL 1 HOUR AS collected_at
-FROM (SELECT *, event_id % (SELECT count(*) FROM {documents}) AS doc_id FROM {events}) e
+FROM (SELECT *, event_id % (SELECT count(*) FROM {counted}) AS doc_id FROM {events}) e
 JOIN {documents} d ON d.doc_id = e.doc_id
 """
 
@@ -56,6 +56,7 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     joined = spark.sql(
         MESSAGES_SQL.replace("{text_type}", "STRING"),
         documents=table(spark, sf_dir, "documents").repartition("doc_id"),
+        counted=table(spark, sf_dir, "documents"),
         events=table(spark, sf_dir, "events"),
     )
     times = {c: F.col(c).cast("timestamp") for c in ("created_at", "collected_at")}

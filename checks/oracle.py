@@ -11,7 +11,7 @@ BLANK = r"\s\x{0b}\x{1c}-\x{1f}\x{85}\p{Z}"
 WORD_CHAR = r"\p{L}\p{N}_"
 
 MESSAGES = "messages AS (" + MESSAGES_SQL.format(
-    text_type="VARCHAR", documents="documents", events="events"
+    text_type="VARCHAR", documents="documents", counted="documents", events="events"
 ) + ")"
 
 RAW_COLUMNS = (
@@ -134,9 +134,9 @@ FROM (SELECT tweet_date, tweet_hour, sentiment_label, count(*) AS tweet_count,
              CAST(sum(retweet_count) AS BIGINT) AS total_retweets
       FROM scored WHERE {days(30)} GROUP BY tweet_date, tweet_hour, sentiment_label)
 ORDER BY tweet_date DESC, tweet_hour DESC, sentiment_label"""
-SUMMARY = f"""SELECT count(*) AS total, 'total_tweets' AS metric_type, NULL::VARCHAR AS sentiment_label,
-    NULL::BIGINT AS count, NULL::DOUBLE AS avg_sentiment FROM scored
-UNION ALL SELECT NULL, 'sentiment_distribution', sentiment_label, count(*), NULL
+SUMMARY = f"""SELECT count(*)::DOUBLE AS total, 'total_tweets' AS metric_type,
+    NULL::VARCHAR AS sentiment_label, NULL::DOUBLE AS count, NULL::DOUBLE AS avg_sentiment FROM scored
+UNION ALL SELECT NULL, 'sentiment_distribution', sentiment_label, count(*)::DOUBLE, NULL
     FROM scored WHERE {days(1)} GROUP BY sentiment_label
 UNION ALL SELECT NULL, 'avg_sentiment', NULL, NULL, round(avg(polarity), 6)
     FROM scored WHERE {days(1)}"""
@@ -210,8 +210,8 @@ def oracle_sql() -> dict[str, str]:
                 round(sum(confidence), 6) AS confidence_sum, count(confidence) AS confidence_rows,
                 CAST(sum(like_count) AS BIGINT) AS likes, CAST(sum(retweet_count) AS BIGINT) AS retweets,
                 count(*) FILTER (WHERE like_count > 10) AS hot_messages,
-                CAST(sum(like_count) FILTER (WHERE like_count > 10) AS BIGINT) AS hot_likes,
-                round(sum(polarity) FILTER (WHERE like_count > 10), 6) AS hot_polarity_sum,
+                CAST(coalesce(sum(like_count) FILTER (WHERE like_count > 10), 0) AS BIGINT) AS hot_likes,
+                round(coalesce(sum(polarity) FILTER (WHERE like_count > 10), 0), 6) AS hot_polarity_sum,
                 count(polarity) FILTER (WHERE like_count > 10) AS hot_polarity_rows
                 FROM scored GROUP BY tweet_date, tweet_hour, sentiment_label""",
         ),

@@ -71,8 +71,8 @@ def sentiment_rollup(scored: DataFrame, min_likes: int = MIN_LIKES) -> DataFrame
         F.sum("like_count").alias("likes"),
         F.sum("retweet_count").alias("retweets"),
         F.count(F.when(hot, 1)).alias("hot_messages"),
-        F.sum(when_hot("like_count")).alias("hot_likes"),
-        F.sum(when_hot("polarity")).alias("hot_polarity_sum"),
+        F.coalesce(F.sum(when_hot("like_count")), F.lit(0)).alias("hot_likes"),
+        F.coalesce(F.sum(when_hot("polarity")), F.lit(0.0)).alias("hot_polarity_sum"),
         F.count(when_hot("polarity")).alias("hot_polarity_rows"),
     )
 

@@ -21,8 +21,9 @@ from __future__ import annotations
 import json
 import zlib
 from collections.abc import Callable
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from murmura.functions.measures import LABEL_THRESHOLD, confidence, sentiment_label
@@ -40,9 +41,26 @@ COPY_SALT = 1024
 WORD_SALT = 32
 
 
+@dataclass(frozen=True)
+class WordList:
+    """A lexicon made ready: its table, and its rows when there are few enough."""
+
+    table: DataFrame
+    rows: list[Row] | None
+
+
+def prepare_lexicon(
+    spark: SparkSession, lexicon: DataFrame | None = None, inline_rows: int = INLINE_ROWS
+) -> WordList:
+    """Normalise a lexicon and check its size; do it once and score many batches."""
+    words = normalise(default_lexicon(spark) if lexicon is None else lexicon)
+    rows = words.limit(inline_rows + 1).collect()
+    return WordList(words, rows if len(rows) <= inline_rows else None)
+
+
 def score_sentiment(
     messages: DataFrame,
-    lexicon: DataFrame | None = None,
+    lexicon: DataFrame | WordList | None = None,
     text: str = "text",
     threshold: float = LABEL_THRESHOLD,
     keep_cleaned: bool = False,
@@ -55,7 +73,6 @@ def score_sentiment(
     user's own function from cleaned text to ``struct<polarity, subjectivity>``,
     for example a ``pandas_udf``; rows it returns NULL for score 0.0.
     """
-    spark = messages.sparkSession
     if scorer is not None:
         scored = messages.withColumn("_s", scorer(clean_text(F.col(text)))).select(
             *messages.columns,
@@ -63,12 +80,15 @@ def score_sentiment(
             F.coalesce("_s.subjectivity", F.lit(0.0)).alias("subjectivity"),
         )
     else:
-        words = normalise(default_lexicon(spark) if lexicon is None else lexicon)
-        rows = words.limit(inline_rows + 1).collect()
-        if len(rows) <= inline_rows:
-            scored = _score_inline(messages, rows, text)
+        words = (
+            lexicon
+            if isinstance(lexicon, WordList)
+            else prepare_lexicon(messages.sparkSession, lexicon, inline_rows)
+        )
+        if words.rows is not None:
+            scored = _score_inline(messages, words.rows, text)
         else:
-            scored = _score_joined(messages, words, text)
+            scored = _score_joined(messages, words.table, text)
     columns = list(messages.columns)
     if keep_cleaned:
         cleaned = F.coalesce(clean_text(F.col(text)), F.col(text))
@@ -83,13 +103,15 @@ def score_sentiment(
     )
 
 
-def batch_analyze(messages: DataFrame, lexicon: DataFrame | None = None, **options) -> DataFrame:
+def batch_analyze(
+    messages: DataFrame, lexicon: DataFrame | WordList | None = None, **options
+) -> DataFrame:
     """``score_sentiment`` with the cleaned text kept as a fifth new column."""
     return score_sentiment(messages, lexicon, keep_cleaned=True, **options)
 
 
 def analyze_text(
-    spark: SparkSession, text: str | None, lexicon: DataFrame | None = None
+    spark: SparkSession, text: str | None, lexicon: DataFrame | WordList | None = None
 ) -> DataFrame:
     """One message as a one-row frame, scored by the same operator."""
     one = spark.createDataFrame([(text,)], "text STRING")
@@ -113,7 +135,7 @@ def _clamp(value: Column, low: float) -> Column:
     return F.greatest(F.lit(low), F.least(F.lit(1.0), value))
 
 
-def _score_inline(messages: DataFrame, rows: list, text: str) -> DataFrame:
+def _score_inline(messages: DataFrame, rows: list[Row], text: str) -> DataFrame:
     """Scoring as a projection, with the word list in the plan."""
     terms = {
         r.word: {"p": r.polarity or 0.0, "s": r.subjectivity or 0.0}

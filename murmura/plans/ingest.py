@@ -20,7 +20,7 @@ from murmura.operators.messages import (
     most_recent,
     process_messages,
 )
-from murmura.operators.scoring import score_sentiment
+from murmura.operators.scoring import WordList, score_sentiment
 from murmura.schemas import BATCH, DATE
 from murmura.sources.landing import if_present, land_messages, read_messages
 from murmura.sources.store import Store, overwrite_partitions
@@ -41,7 +41,7 @@ def collect_messages(
 
 
 def ingest_batch(
-    raw: DataFrame, batch: str, store: Store, lexicon: DataFrame | None = None
+    raw: DataFrame, batch: str, store: Store, lexicon: DataFrame | WordList | None = None
 ) -> list[dt.date | None]:
     """Store one batch of raw messages and bring its dates' aggregates up to date.
 

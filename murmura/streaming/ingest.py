@@ -7,6 +7,7 @@ from functools import cache
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from murmura.operators.scoring import prepare_lexicon
 from murmura.plans.ingest import ingest_batch
 from murmura.sources.landing import if_present, stream_messages
 from murmura.sources.store import Store
@@ -34,6 +35,7 @@ def ingest_landing(
     stream = if_present(lambda: stream_messages(spark, landing, files_per_batch))
     if stream is None:
         return None
+    words = prepare_lexicon(spark, lexicon)
 
     @cache
     def query_id() -> str:
@@ -42,7 +44,7 @@ def ingest_landing(
         return spark.read.json(f"{checkpoint.rstrip('/')}/metadata").first()["id"]
 
     def store_batch(batch: DataFrame, number: int) -> None:
-        ingest_batch(batch, f"{query_id()}-{number:09d}", store, lexicon)
+        ingest_batch(batch, f"{query_id()}-{number:09d}", store, words)
 
     writer = stream.writeStream.foreachBatch(store_batch).option("checkpointLocation", checkpoint)
     if interval_seconds is None:
