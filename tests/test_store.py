@@ -1,0 +1,131 @@
+import datetime as dt
+import glob
+import uuid
+
+from pyspark.sql import functions as F
+
+from helpers import land, message, raw, record
+from murmura.operators.messages import process_messages
+from murmura.plans.health import health_report, landing_freshness, message_freshness, save_health_report
+from murmura.plans.ingest import ingest_file
+from murmura.sources.landing import if_present, land_messages, read_messages, read_records
+from murmura.sources.store import (
+    Store,
+    append_messages,
+    create_catalog,
+    execute_query,
+    overwrite_partitions,
+    refresh_catalog,
+    write_csv,
+)
+
+
+def test_broken_line_is_kept_aside(spark, folder):
+    land(folder, "a.json", [record(1), "{not json", record("2")])
+    rows = read_messages(spark, folder).orderBy("id").collect()
+    assert [r.id for r in rows] == [None, "1", "2"]
+    assert rows[0]._corrupt_record == "{not json"
+    assert process_messages(read_messages(spark, folder)).count() == 2
+
+
+def test_junk_counter_spoils_only_itself(spark, folder):
+    land(folder, "a.json", [record(1, likes="x7")])
+    row = process_messages(read_messages(spark, folder)).first()
+    assert (row.id, row.like_count, row.retweet_count) == ("1", None, 2)
+
+
+def test_times_are_landed_in_full(spark, folder):
+    land(folder, "a.json", [record(1, created="2024-01-10T12:00:00.000001+02:00")])
+    first = read_messages(spark, folder)
+    land_messages(first.drop("_corrupt_record"), f"{folder}/out")
+    again = read_messages(spark, f"{folder}/out")
+    for df in (first, again):
+        row = df.select(F.col("created_at").cast("string"), F.col("collected_at").cast("string")).first()
+        assert tuple(row) == ("2024-01-10 10:00:00.000001", "2024-01-10 13:00:00.123456")
+
+
+def test_nested_records(spark, folder):
+    land(folder, "a.json", [{"id": 1, "text": "t", "public_metrics": {"like_count": 4}}])
+    assert read_records(spark, folder).first().public_metrics.like_count == 4
+
+
+def test_missing_path_is_empty(spark, folder):
+    assert if_present(lambda: read_messages(spark, f"{folder}/none")) is None
+    assert Store(folder).read(spark, "daily_sentiment").isEmpty()
+    assert ingest_file(spark, f"{folder}/none/*.json", Store(folder)) == []
+
+
+def test_overwrite_replaces_only_its_partitions(spark, folder):
+    days = spark.createDataFrame(
+        [(dt.date(2024, 1, 1), 1), (dt.date(2024, 1, 2), 1)], "tweet_date DATE, n INT"
+    )
+    overwrite_partitions(days, folder, ["tweet_date"])
+    overwrite_partitions(days.where("day(tweet_date) = 2").withColumn("n", F.lit(9)), folder, ["tweet_date"])
+    rows = spark.read.parquet(folder).orderBy("tweet_date").collect()
+    assert [r.n for r in rows] == [1, 9]
+
+
+def test_append_adds_files_by_date(spark, folder):
+    df = process_messages(raw(spark, message("1"), message("2", created="2024-01-11T00:00:00")))
+    append_messages(df, folder)
+    append_messages(df, folder)
+    assert spark.read.parquet(folder).count() == 4
+    assert len(glob.glob(f"{folder}/tweet_date=*")) == 2
+
+
+def test_csv_is_one_file_with_header(spark, folder):
+    write_csv(spark.range(100).repartition(4).orderBy(F.desc("id")), f"{folder}/x")
+    (part,) = glob.glob(f"{folder}/x/*.csv")
+    lines = open(part).read().split()
+    assert lines == ["id"] + [str(i) for i in range(99, -1, -1)]
+
+
+def test_catalog_tables_views_and_parameters(spark, folder):
+    land(f"{folder}/in", "a.json", [record(1), record(2, "This is terrible!", "2024-01-09T05:00:00+00:00")])
+    store = Store(f"{folder}/tables")
+    ingest_file(spark, f"{folder}/in/a.json", store)
+    database = f"db_{uuid.uuid4().hex}"
+    for _ in range(2):
+        create_catalog(spark, store, database)
+        refresh_catalog(spark, database)
+    rows = execute_query(
+        spark,
+        f"SELECT tweet_date, sentiment_category FROM {database}.sentiment_trends"
+        " WHERE tweet_date >= date_sub(:as_of, :n) ORDER BY tweet_date",
+        {"as_of": dt.date(2024, 1, 10), "n": 1},
+    ).collect()
+    assert [r.sentiment_category for r in rows] == ["Very Negative", "Very Positive"]
+    pivot = execute_query(spark, f"SELECT * FROM {database}.hourly_trends ORDER BY tweet_date").collect()
+    assert [tuple(r)[1:] for r in pivot] == [(5, 0, 1, 0, 1), (12, 1, 0, 0, 1)]
+    assert spark.table(f"{database}.raw_tweets").count() == 2
+    # A later batch shows after the next refresh.
+    land(f"{folder}/in", "b.json", [record(3)])
+    ingest_file(spark, f"{folder}/in/b.json", store)
+    refresh_catalog(spark, database)
+    assert spark.table(f"{database}.processed_tweets").count() == 3
+
+
+def test_freshness_of_files_and_messages(spark, folder):
+    def fresh(df):
+        return df.first().is_fresh
+
+    assert fresh(landing_freshness(spark, f"{folder}/none")) is False
+    land(f"{folder}/in", "a.json", [record(1)])
+    assert fresh(landing_freshness(spark, f"{folder}/in")) is True
+    later = dt.datetime.now() + dt.timedelta(hours=2)
+    assert fresh(landing_freshness(spark, f"{folder}/in", later)) is False
+    messages = read_messages(spark, f"{folder}/in")
+    collected = dt.datetime(2024, 1, 10, 13, 0, 0, 123456)
+    assert fresh(message_freshness(messages, collected + dt.timedelta(seconds=3600))) is True
+    assert fresh(message_freshness(messages, collected + dt.timedelta(seconds=3601))) is False
+    assert fresh(message_freshness(messages.where("false"))) is False
+
+
+def test_health_report(spark, folder):
+    land(f"{folder}/in", "a.json", [record(1), record(2, lang="de")])
+    store = Store(f"{folder}/tables")
+    ingest_file(spark, f"{folder}/in", store)
+    report = health_report(spark, f"{folder}/in", store)
+    save_health_report(report, f"{folder}/reports")
+    row = spark.read.json(f"{folder}/reports").first()
+    assert (row.data_freshness, row.raw_tweets_rows, row.processed_tweets_rows) == (True, 2, 1)

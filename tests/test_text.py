@@ -1,0 +1,75 @@
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from helpers import TOKEN, clean
+from murmura.functions.text import any_keyword, clean_text, search_expression, strip_markup, tokens
+
+
+def cleaned(spark, texts):
+    rows = [(i, t) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "i INT, t STRING")
+    return [r[0] for r in df.orderBy("i").select(clean_text(F.col("t"))).collect()]
+
+
+def test_removes_link_mention_and_hashtag(spark):
+    text = "Check out this link: https://example.com @user #hashtag"
+    assert cleaned(spark, [text]) == ["Check out this link:"]
+
+
+def test_hostile_texts_as_python_cleans_them(spark):
+    texts = [
+        "", "   ", "y@z.com", "wwwhat is", "HTTP://X stays", "a b", "a\u001cb \u001d c",
+        "#café au lait", "@用户 hi", "#²x y", "@áb", "http", "www", "http://a\u001fb",
+        "x@", "##a", "@_a-b", "line\none\r\n two", " wide　", "www.a.b#c d", "a​b",
+        "don@x't", "😀 @😀 #tag😀", "https://", "\u0085x\u0085",
+    ]
+    assert cleaned(spark, texts) == [clean(t) for t in texts]
+
+
+def test_null_stays_null(spark):
+    assert cleaned(spark, [None]) == [None]
+
+
+ALPHABET = st.sampled_from(list("ab1_'!@#.:/ \t\n") + ["http", "www", "é", "²", " ", "\u001c", "用"])
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.lists(ALPHABET, max_size=25).map("".join), min_size=1, max_size=60))
+def test_cleaning_matches_python(spark, texts):
+    assert cleaned(spark, texts) == [clean(t) for t in texts]
+
+
+def test_blank_collapse_changes_no_token(spark):
+    texts = ["a  b!\t!", " it's so 'good' !!", "x@y don't #t http://z end", "É日本語 ÀB"]
+    df = spark.createDataFrame([(t,) for t in texts], "t STRING")
+    rows = df.select(
+        tokens(strip_markup(F.col("t"))).alias("a"), tokens(clean_text(F.col("t"))).alias("b"), "t"
+    ).collect()
+    for r in rows:
+        assert r.a == r.b == TOKEN.findall(clean(r.t).lower())
+
+
+KEYWORD_CASES = [
+    ("AI is here", True), ("said", False), ("ai_x", False), ("(ai)", True), ("#ai", True),
+    ("the machine is learning", True), ("machine", False), ("biotechnology", False),
+    ("Technology!", True), ("", False), (None, None), ("日ai", False), ("x\nai\ny", True),
+]
+
+
+def test_keywords(spark):
+    df = spark.createDataFrame(KEYWORD_CASES, "t STRING, want BOOLEAN")
+    found = any_keyword(F.col("t"), ["technology", "ai", "machine learning"])
+    assert df.where(~found.eqNullSafe(F.col("want"))).collect() == []
+
+
+def test_keywords_are_not_patterns(spark):
+    df = spark.createDataFrame([("c++ code",), ("ccc code",)], "t STRING")
+    assert [r[0] for r in df.where(any_keyword(F.col("t"), ["c++"])).collect()] == ["c++ code"]
+    with pytest.raises(ValueError):
+        any_keyword(F.col("t"), [" "])
+
+
+def test_search_expression():
+    assert search_expression(["technology", "ai"]) == "technology OR ai"
