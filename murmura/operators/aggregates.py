@@ -7,6 +7,8 @@ and a date that holds most of the rows costs no more than any other.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -51,18 +53,22 @@ def create_aggregated_views(scored: DataFrame) -> dict[str, DataFrame]:
     }
 
 
-def sentiment_rollup(scored: DataFrame, min_likes: int = MIN_LIKES) -> DataFrame:
+def sentiment_rollup(
+    scored: DataFrame, min_likes: int = MIN_LIKES, by: Sequence[str] = ()
+) -> DataFrame:
     """Sums and counts per (date, hour, label) from which every aggregate follows.
 
     One pass over the messages in place of one per aggregate. At most 24 rows
-    per date and label, so everything derived from it is cheap.
+    per date and label, so everything derived from it is cheap. ``by`` adds
+    columns to the key. Rows for parts of the messages add up to the rows for
+    all of them, so new messages never need the old ones read again.
     """
     hot = F.col("like_count") > min_likes
 
     def when_hot(c: str) -> Column:
         return F.when(hot, F.col(c))
 
-    return scored.groupBy(DATE, "tweet_hour", "sentiment_label").agg(
+    return scored.groupBy(DATE, "tweet_hour", "sentiment_label", *by).agg(
         F.count("*").alias("messages"),
         F.sum("polarity").alias("polarity_sum"),
         F.count("polarity").alias("polarity_rows"),
@@ -77,27 +83,31 @@ def sentiment_rollup(scored: DataFrame, min_likes: int = MIN_LIKES) -> DataFrame
     )
 
 
-def _mean(name: str) -> Column:
+def rollup_mean(name: str) -> Column:
+    """Average of a measure over rollup rows; NULL where no message had a value."""
     return F.try_divide(F.sum(f"{name}_sum"), F.sum(f"{name}_rows"))
 
 
 def views_from_rollup(rollup: DataFrame) -> dict[str, DataFrame]:
-    """The frames of ``create_aggregated_views`` without reading messages again."""
+    """The frames of ``create_aggregated_views`` without reading messages again.
+
+    ``rollup`` may hold several rows per (date, hour, label), one per batch.
+    """
     return {
         "hourly_sentiment": rollup.groupBy(DATE, "tweet_hour", "sentiment_label").agg(
             F.sum("messages").alias("tweet_count"),
-            _mean("polarity").alias("avg_polarity"),
-            _mean("confidence").alias("avg_confidence"),
+            rollup_mean("polarity").alias("avg_polarity"),
+            rollup_mean("confidence").alias("avg_confidence"),
         ),
         "daily_sentiment": rollup.groupBy(DATE, "sentiment_label").agg(
             F.sum("messages").alias("tweet_count"),
-            _mean("polarity").alias("avg_polarity"),
+            rollup_mean("polarity").alias("avg_polarity"),
             F.sum("likes").alias("total_likes"),
             F.sum("retweets").alias("total_retweets"),
         ),
         "trending_topics": rollup.where(F.col("hot_messages") > 0).groupBy(DATE).agg(
             F.sum("hot_likes").alias("total_engagement"),
             F.sum("hot_messages").alias("tweet_count"),
-            _mean("hot_polarity").alias("avg_sentiment"),
+            rollup_mean("hot_polarity").alias("avg_sentiment"),
         ),
     }

@@ -18,6 +18,7 @@ from murmura.functions.measures import (
     sentiment_category,
     sentiment_strength,
 )
+from murmura.operators.aggregates import rollup_mean
 from murmura.schemas import DATE
 
 # Look-back spans in days.
@@ -99,13 +100,12 @@ def dashboard_summary(scored: DataFrame, as_of: AsOf = None) -> dict[str, DataFr
 def summary_from_rollup(rollup: DataFrame, as_of: AsOf = None) -> dict[str, DataFrame]:
     """``dashboard_summary`` from the rollup, without reading messages."""
     recent = rollup.where(within_days(F.col(DATE), SUMMARY_DAYS, as_of))
-    mean = F.try_divide(F.sum("polarity_sum"), F.sum("polarity_rows"))
     return {
         "total_tweets": rollup.agg(F.coalesce(F.sum("messages"), F.lit(0)).alias("total")),
         "sentiment_distribution": recent.groupBy("sentiment_label").agg(
             F.sum("messages").alias("count")
         ),
-        "avg_sentiment": recent.agg(mean.alias("avg_sentiment")),
+        "avg_sentiment": recent.agg(rollup_mean("polarity").alias("avg_sentiment")),
     }
 
 
@@ -141,15 +141,12 @@ def dashboard_dataset_from_rollup(
 ) -> DataFrame:
     """``dashboard_dataset`` from the rollup, without reading messages."""
     recent = rollup.where(within_days(F.col(DATE), days, as_of))
-    grouped = recent.select(
-        DATE,
-        "tweet_hour",
-        "sentiment_label",
-        F.col("messages").alias("tweet_count"),
-        F.try_divide("polarity_sum", "polarity_rows").alias("avg_polarity"),
-        F.try_divide("confidence_sum", "confidence_rows").alias("avg_confidence"),
-        F.col("likes").alias("total_likes"),
-        F.col("retweets").alias("total_retweets"),
+    grouped = recent.groupBy(DATE, "tweet_hour", "sentiment_label").agg(
+        F.sum("messages").alias("tweet_count"),
+        rollup_mean("polarity").alias("avg_polarity"),
+        rollup_mean("confidence").alias("avg_confidence"),
+        F.sum("likes").alias("total_likes"),
+        F.sum("retweets").alias("total_retweets"),
     )
     return _with_measures(grouped)
 

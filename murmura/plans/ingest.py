@@ -68,6 +68,11 @@ def ingest_batch(
     fresh = drop_known(latest_by_id(process_messages(landed)), earlier)
     scored = score_sentiment(fresh, lexicon).withColumn(BATCH, F.lit(batch))
     overwrite_partitions(scored, store.path("processed_tweets"), [DATE, BATCH])
+
+    # Only this batch's messages are read; the rollup rows of earlier batches stand.
+    written = store.read_batch(spark, "processed_tweets", batch)
+    rollup = sentiment_rollup(written, by=[BATCH])
+    overwrite_partitions(rollup, store.path("sentiment_rollup"), [DATE, BATCH])
     refresh_aggregates(spark, store, dates)
     return dates
 
@@ -84,13 +89,15 @@ def ingest_file(
 
 
 def refresh_aggregates(spark: SparkSession, store: Store, dates: Sequence[dt.date | None]) -> None:
-    """Recompute whole dates from the stored messages and replace only those dates.
-
-    The messages are read once, for the rollup; the three aggregates are then
-    derived from its stored rows.
-    """
-    messages = store.read_dates(spark, "processed_tweets", dates)
-    overwrite_partitions(sentiment_rollup(messages), store.path("sentiment_rollup"), [DATE])
+    """Derive the three aggregates of some dates from the stored rollup and replace them."""
     rollup = store.read_dates(spark, "sentiment_rollup", dates)
     for table, view in views_from_rollup(rollup).items():
         overwrite_partitions(view, store.path(table), [DATE])
+
+
+def rebuild_aggregates(spark: SparkSession, store: Store, dates: Sequence[dt.date | None]) -> None:
+    """Recompute some dates from their stored messages, rollup included."""
+    messages = store.read_dates(spark, "processed_tweets", dates)
+    rollup = sentiment_rollup(messages, by=[BATCH])
+    overwrite_partitions(rollup, store.path("sentiment_rollup"), [DATE, BATCH])
+    refresh_aggregates(spark, store, dates)

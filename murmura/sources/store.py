@@ -18,7 +18,7 @@ from murmura.sources.landing import if_present
 TABLES: dict[str, tuple[T.StructType, list[str]]] = {
     "raw_tweets": (schemas.RAW_LINES, [DATE, BATCH]),
     "processed_tweets": (schemas.SCORED, [DATE, BATCH]),
-    "sentiment_rollup": (schemas.ROLLUP, [DATE]),
+    "sentiment_rollup": (schemas.ROLLUP, [DATE, BATCH]),
     "hourly_sentiment": (schemas.HOURLY, [DATE]),
     "daily_sentiment": (schemas.DAILY, [DATE]),
     "trending_topics": (schemas.TRENDING, [DATE]),

@@ -9,7 +9,7 @@ from murmura.operators.aggregates import create_aggregated_views
 from murmura.operators.messages import process_messages
 from murmura.operators.scoring import score_sentiment
 from murmura.plans.dashboard import export_dataset, export_extracts, run_all
-from murmura.plans.ingest import ingest_batch, ingest_file
+from murmura.plans.ingest import ingest_batch, ingest_file, rebuild_aggregates
 from murmura.sources.landing import read_records, stream_messages
 from murmura.sources.store import Store
 from murmura.streaming.ingest import ingest_landing
@@ -94,6 +94,10 @@ def test_later_batch_does_not_wipe_a_shared_date(spark, folder):
     assert store.read(spark, "raw_tweets").count() == 3
     (day,) = store.read(spark, "trending_topics").collect()
     assert (day.total_engagement, day.tweet_count) == (23, 2)
+    tables = ("sentiment_rollup", "hourly_sentiment", "daily_sentiment", "trending_topics")
+    before = [content(spark, store, t) for t in tables]
+    rebuild_aggregates(spark, store, [dt.date(2024, 1, 10)])
+    assert [content(spark, store, t) for t in tables] == before
 
 
 def test_nothing_landed_yet(spark, folder):
