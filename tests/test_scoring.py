@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from checks.messages import WORDS
-from helpers import brute_score, clean
+from plain_rule import brute_score, clean
 from murmura.operators.lexicon import MODIFIERS, NEGATORS, TERMS, load_lexicon
 from murmura.operators.scoring import (
     analyze_text,

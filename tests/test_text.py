@@ -3,7 +3,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from helpers import TOKEN, clean
+from plain_rule import TOKEN, clean
 from murmura.functions.text import any_keyword, clean_text, search_expression, strip_markup, tokens
 
 
