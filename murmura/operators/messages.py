@@ -64,18 +64,22 @@ def process_messages(raw: DataFrame, language: str = LANGUAGE) -> DataFrame:
 def latest_by_id(messages: DataFrame, version: str = "collected_at") -> DataFrame:
     """One row per id, the latest collected; rows without an id are all kept.
 
-    The maximum is taken over the whole row, so ties have one answer. Copies of
-    a hot id collapse before the shuffle because ``max`` aggregates map-side.
+    Repeated ids are found from the id column alone. Rows whose id occurs once,
+    normally nearly all of them, then pass without a shuffle of their texts, and
+    only repeated ones are grouped. The maximum is taken over the whole row, so
+    ties have one answer; it aggregates map-side, so the copies of a hot id
+    collapse before the shuffle. ``messages`` is read more than once and should
+    be a stored table or cheap to compute.
     """
     rest = [c for c in messages.columns if c not in ("id", version)]
+    repeated = messages.groupBy("id").count().where("id IS NOT NULL AND count > 1").select("id")
     newest = (
-        messages.where(F.col("id").isNotNull())
+        messages.join(repeated, "id", "left_semi")
         .groupBy("id")
         .agg(F.max(F.struct(version, *rest)).alias("newest"))
         .select("id", "newest.*")
-        .select(*messages.columns)
     )
-    return newest.unionByName(messages.where(F.col("id").isNull()))
+    return messages.join(repeated, "id", "left_anti").unionByName(newest)
 
 
 def drop_known(messages: DataFrame, stored: DataFrame) -> DataFrame:

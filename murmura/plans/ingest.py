@@ -65,8 +65,9 @@ def ingest_batch(
     if not dates:
         return []
     earlier = store.read_dates(spark, "processed_tweets", dates).where(F.col(BATCH) != batch)
-    fresh = drop_known(latest_by_id(process_messages(landed)), earlier)
-    scored = score_sentiment(fresh, lexicon).withColumn(BATCH, F.lit(batch))
+    # Repeats are taken out before the text is looked at, so finding them reads ids only.
+    fresh = drop_known(latest_by_id(landed), earlier)
+    scored = score_sentiment(process_messages(fresh), lexicon).withColumn(BATCH, F.lit(batch))
     overwrite_partitions(scored, store.path("processed_tweets"), [DATE, BATCH])
 
     # Only this batch's messages are read; the rollup rows of earlier batches stand.
