@@ -265,6 +265,11 @@ def oracle_sql() -> dict[str, str]:
                 epoch(TIMESTAMP '2024-01-31 01:00:00' - newest) <= 3600 AS is_fresh
                 FROM (SELECT max(collected_at) AS newest FROM messages)""",
         ),
+        "health_report": _with(
+            *base,
+            select="SELECT TRUE AS data_freshness, (SELECT count(*) FROM messages) AS raw_tweets_rows, "
+            "(SELECT count(*) FROM processed) AS processed_tweets_rows",
+        ),
         "stream_dedup": _with(
             MESSAGES,
             select="SELECT id, text, created_at, author_id, lang, retweet_count FROM messages",
