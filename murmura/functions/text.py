@@ -65,27 +65,29 @@ def tokens(text: Column) -> Column:
 
 
 def any_keyword(text: Column, keywords: Sequence[str]) -> Column:
-    """True where any keyword occurs as a whole token, whatever its case.
+    """True where any keyword occurs as a whole token, compared in lower case.
 
     A keyword of several words needs each of its words somewhere in the text.
     All one-word keywords share a single pass over the text.
     """
-    split = [k.split() for k in keywords if k.split()]
+    split = [k.lower().split() for k in keywords if k.split()]
     if not split:
         raise ValueError("at least one keyword is needed")
+    lowered = F.lower(text)
     singles = sorted({words[0] for words in split if len(words) == 1})
-    tests = [_whole_token(text, singles)] if singles else []
+    tests = [_whole_token(lowered, singles)] if singles else []
     for words in split:
         if len(words) > 1:
-            tests.append(reduce(and_, [_whole_token(text, [w]) for w in words]))
+            tests.append(reduce(and_, [_whole_token(lowered, [w]) for w in words]))
     return reduce(or_, tests)
 
 
 def _whole_token(text: Column, words: Sequence[str]) -> Column:
+    """The substring test comes first: texts without the word skip the regex."""
+    present = reduce(or_, [F.contains(text, F.lit(w)) for w in words])
     options = "|".join(re.escape(w) for w in words)
-    return F.rlike(
-        text, F.lit(f"(?iu)(?:^|[^{WORD_CHAR}])(?:{options})(?:[^{WORD_CHAR}]|$)")
-    )
+    bounded = f"(?:^|[^{WORD_CHAR}])(?:{options})(?:[^{WORD_CHAR}]|$)"
+    return present & F.rlike(text, F.lit(bounded))
 
 
 def search_expression(keywords: Sequence[str]) -> str:
