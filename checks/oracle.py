@@ -109,9 +109,9 @@ def days(n: int) -> str:
 
 
 HOURLY_SELECT = """SELECT tweet_date, tweet_hour, sentiment_label, tweet_count,
-    round(avg_polarity, 9) AS avg_polarity, round(avg_confidence, 9) AS avg_confidence FROM hourly"""
+    round(avg_polarity + 1e-12, 9) AS avg_polarity, round(avg_confidence + 1e-12, 9) AS avg_confidence FROM hourly"""
 DAILY_SELECT = """SELECT tweet_date, sentiment_label, tweet_count,
-    round(avg_polarity, 9) AS avg_polarity, total_likes, total_retweets FROM daily"""
+    round(avg_polarity + 1e-12, 9) AS avg_polarity, total_likes, total_retweets FROM daily"""
 HOURLY_PIVOT = """SELECT tweet_date, tweet_hour,
     CAST(sum(CASE WHEN sentiment_label = 'positive' THEN tweet_count ELSE 0 END) AS BIGINT) AS positive_count,
     CAST(sum(CASE WHEN sentiment_label = 'negative' THEN tweet_count ELSE 0 END) AS BIGINT) AS negative_count,
@@ -119,17 +119,19 @@ HOURLY_PIVOT = """SELECT tweet_date, tweet_hour,
     CAST(sum(tweet_count) AS BIGINT) AS total_count
 FROM hourly {where} GROUP BY tweet_date, tweet_hour ORDER BY tweet_date DESC, tweet_hour"""
 TRENDS = f"""SELECT tweet_date, sentiment_label, tweet_count,
-    round(avg_polarity, 9) AS avg_polarity,
+    round(avg_polarity + 1e-12, 9) AS avg_polarity,
     {sentiment_category_sql('avg_polarity').replace('D THEN', '::DOUBLE THEN')} AS sentiment_category
 FROM daily WHERE {days(7)} ORDER BY tweet_date DESC, sentiment_label"""
 TRENDING = """SELECT tweet_date, CAST(sum(like_count) AS BIGINT) AS total_engagement,
-    count(*) AS tweet_count, round(avg(polarity), 9) AS avg_sentiment
+    count(*) AS tweet_count, round(avg(polarity) + 1e-12, 9) AS avg_sentiment
 FROM scored WHERE like_count > 10 GROUP BY tweet_date"""
-DATASET = f"""SELECT *, total_likes + total_retweets AS engagement_score,
-    abs(avg_polarity) AS sentiment_strength,
+DATASET = f"""SELECT * REPLACE (round(avg_polarity + 1e-12, 9) AS avg_polarity,
+                    round(avg_confidence + 1e-12, 9) AS avg_confidence),
+    total_likes + total_retweets AS engagement_score,
+    round(abs(avg_polarity) + 1e-12, 9) AS sentiment_strength,
     CAST(tweet_date AS TIMESTAMP) + to_hours(tweet_hour) AS datetime
 FROM (SELECT tweet_date, tweet_hour, sentiment_label, count(*) AS tweet_count,
-             round(avg(polarity), 9) AS avg_polarity, round(avg(confidence), 9) AS avg_confidence,
+             avg(polarity) AS avg_polarity, avg(confidence) AS avg_confidence,
              CAST(sum(like_count) AS BIGINT) AS total_likes,
              CAST(sum(retweet_count) AS BIGINT) AS total_retweets
       FROM scored WHERE {days(30)} GROUP BY tweet_date, tweet_hour, sentiment_label)
@@ -138,7 +140,7 @@ SUMMARY = f"""SELECT count(*)::DOUBLE AS total, 'total_tweets' AS metric_type,
     NULL::VARCHAR AS sentiment_label, NULL::DOUBLE AS count, NULL::DOUBLE AS avg_sentiment FROM scored
 UNION ALL SELECT NULL, 'sentiment_distribution', sentiment_label, count(*)::DOUBLE, NULL
     FROM scored WHERE {days(1)} GROUP BY sentiment_label
-UNION ALL SELECT NULL, 'avg_sentiment', NULL, NULL, round(avg(polarity), 9)
+UNION ALL SELECT NULL, 'avg_sentiment', NULL, NULL, round(avg(polarity) + 1e-12, 9)
     FROM scored WHERE {days(1)}"""
 
 
@@ -179,13 +181,13 @@ def oracle_sql() -> dict[str, str]:
         ),
         "sentiment_scores": _with(
             *full,
-            select="SELECT id, round(polarity, 9) AS polarity, round(subjectivity, 9) AS subjectivity, "
-            "sentiment_label, round(confidence, 9) AS confidence FROM scored",
+            select="SELECT id, round(polarity + 1e-12, 9) AS polarity, round(subjectivity + 1e-12, 9) AS subjectivity, "
+            "sentiment_label, round(confidence + 1e-12, 9) AS confidence FROM scored",
         ),
         "sentiment_scores_joined": _with(
             *full,
-            select="SELECT id, round(polarity, 9) AS polarity, "
-            "round(subjectivity, 9) AS subjectivity FROM scored",
+            select="SELECT id, round(polarity + 1e-12, 9) AS polarity, "
+            "round(subjectivity + 1e-12, 9) AS subjectivity FROM scored",
         ),
         "sentiment_label": _with(
             *full,
@@ -197,8 +199,8 @@ def oracle_sql() -> dict[str, str]:
             scores("turns", "n"),
             labelled("turns", "n", "analyzed"),
             select=f"SELECT conv_id, turn, role, text, {cleaned('text')} AS cleaned_text, "
-            "round(polarity, 9) AS polarity, round(subjectivity, 9) AS subjectivity, "
-            "sentiment_label, round(confidence, 9) AS confidence FROM analyzed",
+            "round(polarity + 1e-12, 9) AS polarity, round(subjectivity + 1e-12, 9) AS subjectivity, "
+            "sentiment_label, round(confidence + 1e-12, 9) AS confidence FROM analyzed",
         ),
         "hourly_sentiment": _with(*hourly, select=HOURLY_SELECT),
         "daily_sentiment": _with(*daily, select=DAILY_SELECT),
@@ -206,12 +208,12 @@ def oracle_sql() -> dict[str, str]:
         "sentiment_rollup": _with(
             *full,
             select="""SELECT tweet_date, tweet_hour, sentiment_label, count(*) AS messages,
-                round(sum(polarity), 9) AS polarity_sum, count(polarity) AS polarity_rows,
-                round(sum(confidence), 9) AS confidence_sum, count(confidence) AS confidence_rows,
+                round(sum(polarity) + 1e-12, 9) AS polarity_sum, count(polarity) AS polarity_rows,
+                round(sum(confidence) + 1e-12, 9) AS confidence_sum, count(confidence) AS confidence_rows,
                 CAST(sum(like_count) AS BIGINT) AS likes, CAST(sum(retweet_count) AS BIGINT) AS retweets,
                 count(*) FILTER (WHERE like_count > 10) AS hot_messages,
                 CAST(coalesce(sum(like_count) FILTER (WHERE like_count > 10), 0) AS BIGINT) AS hot_likes,
-                round(coalesce(sum(polarity) FILTER (WHERE like_count > 10), 0), 9) AS hot_polarity_sum,
+                round(coalesce(sum(polarity) FILTER (WHERE like_count > 10), 0) + 1e-12, 9) AS hot_polarity_sum,
                 count(polarity) FILTER (WHERE like_count > 10) AS hot_polarity_rows
                 FROM scored GROUP BY tweet_date, tweet_hour, sentiment_label""",
         ),
@@ -229,7 +231,7 @@ def oracle_sql() -> dict[str, str]:
         ),
         "avg_sentiment": _with(
             *full,
-            select=f"SELECT round(avg(polarity), 9) AS avg_sentiment FROM scored WHERE {days(1)}",
+            select=f"SELECT round(avg(polarity) + 1e-12, 9) AS avg_sentiment FROM scored WHERE {days(1)}",
         ),
         "summary_stats": _with(*full, select=SUMMARY),
         "dashboard_dataset": _with(*full, select=DATASET),
@@ -242,7 +244,7 @@ def oracle_sql() -> dict[str, str]:
             *daily,
             select=f"""SELECT tweet_date, sentiment_label,
                 tweet_count * CASE WHEN tweet_date = DATE '{ONE_DATE}' THEN 2 ELSE 1 END AS tweet_count,
-                round(avg_polarity, 9) AS avg_polarity, total_likes, total_retweets FROM daily""",
+                round(avg_polarity + 1e-12, 9) AS avg_polarity, total_likes, total_retweets FROM daily""",
         ),
         "collect_messages": _with(
             MESSAGES,
@@ -250,8 +252,8 @@ def oracle_sql() -> dict[str, str]:
         ),
         "stream_process_equals_batch": _with(
             *full,
-            select="SELECT * REPLACE (round(polarity, 9) AS polarity, "
-            "round(subjectivity, 9) AS subjectivity, round(confidence, 9) AS confidence) FROM scored",
+            select="SELECT * REPLACE (round(polarity + 1e-12, 9) AS polarity, "
+            "round(subjectivity + 1e-12, 9) AS subjectivity, round(confidence + 1e-12, 9) AS confidence) FROM scored",
         ),
         "ingest_twice": _with(*daily, select=DAILY_SELECT),
         "stored_hourly_sentiment": _with(*hourly, select=HOURLY_SELECT),
@@ -261,7 +263,7 @@ def oracle_sql() -> dict[str, str]:
         "summary_job": _with(*full, select=SUMMARY),
         "freshness": _with(
             MESSAGES,
-            select="""SELECT newest, round(epoch(TIMESTAMP '2024-01-31 01:00:00' - newest), 9) AS age_seconds,
+            select="""SELECT newest, round(epoch(TIMESTAMP '2024-01-31 01:00:00' - newest) + 1e-12, 9) AS age_seconds,
                 epoch(TIMESTAMP '2024-01-31 01:00:00' - newest) <= 3600 AS is_fresh
                 FROM (SELECT max(collected_at) AS newest FROM messages)""",
         ),

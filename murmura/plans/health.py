@@ -19,7 +19,8 @@ def _now(as_of: dt.datetime | None) -> Column:
 
 
 def _judge(newest: DataFrame, as_of: dt.datetime | None, limit: int) -> DataFrame:
-    age = _now(as_of).cast("double") - F.col("newest").cast("timestamp").cast("double")
+    micros = F.unix_micros(_now(as_of)) - F.unix_micros(F.col("newest").cast("timestamp"))
+    age = micros / F.lit(1e6)
     return newest.select("newest", age.alias("age_seconds")).select(
         "*", F.coalesce(F.col("age_seconds") <= limit, F.lit(False)).alias("is_fresh")
     )
