@@ -122,3 +122,47 @@ def components(edges: DataFrame) -> DataFrame:
     return now.select(F.col("b").alias("id"), F.col("a").alias("component")).union(
         now.select(F.col("a").alias("id"), F.col("a").alias("component")).distinct()
     )
+
+
+def summed(df: DataFrame, measure, size: int, slots: int = 16) -> np.ndarray:
+    """Sum over all rows of ``measure(batch) -> float64[size]``, a partition at a time.
+
+    Partition sums meet in at most ``slots`` rows before the driver adds those up, so what
+    arrives there is bounded however many partitions there are.
+    """
+
+    def one(batches):
+        total, used = np.zeros(size), 0
+        for batch in batches:
+            if batch.num_rows:
+                total += measure(batch)
+                used += 1
+        if used:
+            slot = int(xxhash.xxh32_intdigest(total.tobytes())) % slots
+            yield pa.RecordBatch.from_arrays([pa.array([slot], pa.int32()), pa.array([total.tobytes()])], ["slot", "part"])
+
+    def add(part: pa.Table) -> pa.Table:
+        total = np.zeros(size)
+        for x in part.column("part"):
+            total += np.frombuffer(x.as_py())
+        return pa.table({"part": [total.tobytes()]})
+
+    parts = df.mapInArrow(one, "slot int, part binary").groupBy("slot").applyInArrow(add, "part binary").collect()
+    total = np.zeros(size)
+    for row in sorted(bytes(x["part"]) for x in parts):
+        total += np.frombuffer(row)
+    return total
+
+
+def labelled(docs: DataFrame, labels: DataFrame, column: str, most: int) -> DataFrame:
+    """``docs`` (with doc_id) of the training folds with their ``label``; about ``most`` rows at most.
+
+    Repeated labels of a document are averaged, null ones left out. Beyond ``most`` labels, a hash of
+    the id decides which ones stay, so the sample is the same on every run.
+    """
+    one = labels.select(F.col("doc_id").cast("long"), F.col(column).cast("double").alias("label")).dropna()
+    one = one.where(fold()).groupBy("doc_id").agg((F.avg("label") >= 0.5).cast("double").alias("label"))
+    count = one.count()
+    if count > most:
+        one = one.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(most / count * (1 << 20)))
+    return docs.join(one, "doc_id")

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from murmura.llm import minhash
+from murmura.llm import html_text, minhash, pii, quality, substrings
 from murmura.llm.common import table
 
 
@@ -15,7 +15,31 @@ def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op5_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_text.extract_pages(table(spark, sf_dir, "pages"))
+
+
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document."""
+    return quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document."""
+    return pii.find_personal_data(table(spark, sf_dir, "documents"))
+
+
+def op9_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words left of every document once repeated passages are gone."""
+    return substrings.dedup(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op3_minhash": op3_minhash,
+        "op5_html": op5_html,
+        "op7_quality": op7_quality,
+        "op8_pii": op8_pii,
+        "op9_substrings": op9_substrings,
     }
