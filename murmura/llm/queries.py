@@ -6,10 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from murmura.llm import html_text, minhash, pii, quality, substrings
+from murmura.llm import html_text, minhash, pii, quality, substrings, toxicity
 from murmura.llm.common import table
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score and offending spans of every document."""
+    return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Class and component of every document; contract columns in this order."""
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
@@ -37,6 +42,7 @@ def op9_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_toxicity": op1_toxicity,
         "op3_minhash": op3_minhash,
         "op5_html": op5_html,
         "op7_quality": op7_quality,
