@@ -6,9 +6,10 @@ All coordinates of a signature come from two permutations of the 32-bit universe
 one shuffles the shingles, the second one is shifted circularly by k for coordinate k.
 
 Copies of one set are one class from the start. In every band bucket, members are compared
-with the bucket's smallest id, then with the smallest id outside that id's component; only
-members still in other components than the bucket's first are compared one by one. So a group
-of n copies costs about n comparisons, and no link that would join two components is lost.
+with the bucket's smallest id. Only buckets that then still hold several components go on:
+members outside the first one's component are compared with the members of all others, one by
+one in small buckets, in blocks by products of incidence matrices in large ones. So a group of n
+linked copies costs about n comparisons, and no link that would join two components is lost.
 
 Cases: a text that is null, empty or white space has an empty set and links with nothing.
 Rows that repeat a doc_id are separate documents of that id. A row without doc_id links with
@@ -28,6 +29,8 @@ from murmura.llm.common import byte_words, components, hash_words, mix64, run_ha
 BANDS, ROWS = 20, 6  # at a similarity of 0.85 a pair shares a bucket with probability 0.9999
 WORDS = 5
 LEAST = 85  # hundredths
+#: Buckets of more members than this are compared in blocks of about so many sets and shingles.
+SMALL, BLOCK, BLOCK_SHINGLES = 32, 400, 150_000
 
 
 def _first_permutation(x: np.ndarray) -> np.ndarray:
@@ -171,20 +174,13 @@ def near_duplicates(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, least
         "minhash-links",
     )
     group = components(found)
-    for kind in ("hub", "rest"):
-        open_now = settle(_open_buckets(shared, group), "minhash-open")
-        if open_now.isEmpty():
-            break
-        pairs = _second_hub(open_now) if kind == "hub" else _across(open_now)
-        more = settle(
-            verified(
-                pairs.where(close("n_a", "n_b")).select("a", "b").distinct(), texts, least
-            ),
-            "minhash-links",
-        )
+    open_now = settle(_open_buckets(shared, group), "minhash-open")
+    if not open_now.isEmpty():
+        pairs = _across(open_now.where(F.col("members") <= SMALL)).where(close("n_a", "n_b"))
+        more = verified(pairs.select("a", "b").distinct(), texts, least)
+        more = settle(more.union(_in_blocks(open_now.where(F.col("members") > SMALL), texts, least)), "minhash-links")
         if not more.isEmpty():
-            found = found.union(more)
-            group = components(found)
+            group = components(found.union(more))
     named = classes.select("set_key", "rep").join(group, F.col("rep") == F.col("id"), "left").select(
         "set_key", F.coalesce("component", "rep").alias("component")
     )
@@ -207,21 +203,9 @@ def _open_buckets(shared: DataFrame, group: DataFrame) -> DataFrame:
     state = members.groupBy("band", "key").agg(
         F.min("component").alias("low"), F.max("component").alias("high"),
         F.max(F.when(F.col("rep") == F.col("hub"), F.col("component"))).alias("first"),
-    )
-    return members.join(state.where("low < high").select("band", "key", "first"), ["band", "key"])
-
-
-def _second_hub(members: DataFrame) -> DataFrame:
-    """Each bucket's members against the smallest member outside the first component."""
-    outside = members.where("component <> first").groupBy("band", "key").agg(
-        F.min(F.struct("rep", "n_shingles", "component")).alias("second")
-    )
-    return members.join(outside, ["band", "key"]).where(
-        (F.col("component") != F.col("second.component")) & (F.col("rep") != F.col("hub"))
-    ).select(
-        F.col("rep").alias("a"), F.col("second.rep").alias("b"),
-        F.col("n_shingles").alias("n_a"), F.col("second.n_shingles").alias("n_b"),
-    )
+        F.count("*").alias("members"), F.sum("n_shingles").alias("size"),
+    ).where("low < high").drop("low", "high")
+    return members.join(state, ["band", "key"])
 
 
 def _across(members: DataFrame) -> DataFrame:
@@ -239,6 +223,67 @@ def _across(members: DataFrame) -> DataFrame:
     ).select("a", "b", "n_a", "n_b")
 
 
+def _in_blocks(members: DataFrame, texts: DataFrame, least: int) -> DataFrame:
+    """Links across components in large buckets, block by block.
+
+    A bucket's members fall into blocks of about BLOCK sets and BLOCK_SHINGLES shingles; every block of
+    members outside the first component meets every block of all members in one group. Of the links
+    found there, those that join components leave it: fewer than there are members.
+    """
+    blocks = F.greatest(F.ceil(F.col("members") / BLOCK), F.ceil(F.col("size") / BLOCK_SHINGLES)).cast("int")
+    own = members.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("rep"), "blocks").cast("int"))
+    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    keys = ["band", "key", "l", "r", "side", "rep", "component"]
+    left = own.where("component <> first").withColumns({"l": F.col("block"), "side": F.lit(0)}).withColumn("r", every).select(keys)
+    right = own.withColumns({"r": F.col("block"), "side": F.lit(1)}).withColumn("l", every).select(keys)
+    rows = left.union(right).join(texts.select(F.col("doc_id").alias("rep"), "text"), "rep")
+
+    def compare(part: pa.Table) -> pa.Table:
+        side = part.column("side").to_numpy()
+        reps, label = part.column("rep").to_pylist(), part.column("component").to_pylist()
+        sets = shingle_sets(part.column("text").to_pylist())
+        a, b = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+        both = intersections([sets[i] for i in a], [sets[i] for i in b])
+        n = np.array([len(x) for x in sets])
+        hits = np.argwhere(100 * both >= least * (n[a][:, None] + n[b][None, :] - both))
+        parent = {c: c for c in label}
+        found = []
+        for i, j in hits:
+            x, y = (_root(parent, label[k]) for k in (a[i], b[j]))
+            if x != y:
+                parent[max(x, y)] = min(x, y)
+                found.append((reps[a[i]], reps[b[j]]))
+        return pa.table({"a": pa.array([x for x, _ in found], pa.int64()), "b": pa.array([y for _, y in found], pa.int64())})
+
+    return rows.groupBy("band", "key", "l", "r").applyInArrow(compare, "a long, b long")
+
+
+def _root(parent: dict, x):
+    while parent[x] != x:
+        parent[x] = parent[parent[x]]
+        x = parent[x]
+    return x
+
+
+def intersections(left: list[np.ndarray], right: list[np.ndarray], width: int = 8192) -> np.ndarray:
+    """Sizes of the intersections of every left with every right set (sorted distinct values)."""
+    out = np.zeros((len(left), len(right)))
+    if not left or not right:
+        return out
+    shared = np.intersect1d(np.concatenate(left), np.concatenate(right))
+    at_l = [np.searchsorted(shared, x[np.isin(x, shared, assume_unique=True)]) for x in left]
+    at_r = [np.searchsorted(shared, x[np.isin(x, shared, assume_unique=True)]) for x in right]
+    for start in range(0, len(shared), width):
+        m = []
+        for sets in (at_l, at_r):
+            block = np.zeros((len(sets), min(width, len(shared) - start)), np.float32)
+            for i, x in enumerate(sets):
+                block[i, x[np.searchsorted(x, start) : np.searchsorted(x, start + width)] - start] = 1
+            m.append(block)
+        out += m[0] @ m[1].T
+    return out
+
+
 def keep_one(docs: DataFrame, **settings) -> DataFrame:
     """``docs`` without the near-duplicates of an earlier document; same columns."""
     gone = near_duplicates(docs, **settings).where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
