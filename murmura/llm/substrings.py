@@ -24,6 +24,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -45,6 +46,23 @@ def _group_starts(order_keys: list[np.ndarray]) -> np.ndarray:
     return new
 
 
+def _squeeze(values: np.ndarray, ascending: bool = False) -> bytes:
+    """An array by byte planes, compressed; of ascending values, the steps."""
+    if ascending:
+        values = np.diff(values, prepend=values.dtype.type(0))
+    planes = np.ascontiguousarray(values.view(np.uint8).reshape(len(values), values.itemsize).T)
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+
+
+def _unsqueeze(packed: list[bytes], kind, ascending: bool = False) -> np.ndarray:
+    opener, parts = zstandard.ZstdDecompressor(), []
+    for one in packed:
+        planes = np.frombuffer(opener.decompress(one), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+        values = np.ascontiguousarray(planes.T).reshape(-1).view(kind)
+        parts.append(np.cumsum(values, dtype=kind) if ascending else values)
+    return np.concatenate(parts) if parts else np.empty(0, kind)
+
+
 def _pack(keys: list[np.ndarray], doc: np.ndarray, pos: np.ndarray, buckets: int):
     """Rows (bucket, keys, doc, pos, known, more_doc, more_pos) of one block of documents.
 
@@ -66,8 +84,8 @@ def _pack(keys: list[np.ndarray], doc: np.ndarray, pos: np.ndarray, buckets: int
         part = slice(cuts[i], cuts[i + 1])
         f, m = first[part], again[part]
         rows.append((
-            int(i), *(k[part][f].tobytes() for k in keys), doc[part][f].tobytes(), pos[part][f].tobytes(),
-            known[part][f].tobytes(), doc[part][m].tobytes(), pos[part][m].tobytes(),
+            int(i), *(_squeeze(k[part][f], k is keys[0]) for k in keys), _squeeze(doc[part][f]), _squeeze(pos[part][f]),
+            _squeeze(known[part][f]), _squeeze(doc[part][m]), _squeeze(pos[part][m]),
         ))
     names = ["bucket", *(f"key{i}" for i in range(len(keys))), "doc", "pos", "known", "more_doc", "more_pos"]
     columns = list(zip(*rows)) if rows else [()] * len(names)
@@ -85,7 +103,7 @@ def _repeats(packed: DataFrame, keys: int, keep_first: bool) -> DataFrame:
     """(doc, pos) of keys that occur twice; without the earliest place if ``keep_first``."""
 
     def joined(part: pa.Table, name: str, kind) -> np.ndarray:
-        return np.frombuffer(b"".join(part.column(name).to_pylist()), kind)
+        return _unsqueeze(part.column(name).to_pylist(), kind, name == "key0")
 
     def find(part: pa.Table) -> pa.Table:
         hashed = [joined(part, f"key{i}", np.uint64) for i in range(keys)]
