@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from murmura.llm import html_text, minhash, pii, quality, substrings, toxicity
+from murmura.llm import decontaminate, embeddings, html_text, minhash, pii, quality, substrings, toxicity
 from murmura.llm.common import table
 
 
@@ -25,6 +25,11 @@ def op5_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract_pages(table(spark, sf_dir, "pages"))
 
 
+def op6_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and component of every vector."""
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document."""
     return quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -40,12 +45,19 @@ def op9_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.dedup(table(spark, sf_dir, "documents"))
 
 
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold benchmark items, with the verified overlap."""
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_toxicity": op1_toxicity,
         "op3_minhash": op3_minhash,
         "op5_html": op5_html,
+        "op6_embeddings": op6_embeddings,
         "op7_quality": op7_quality,
         "op8_pii": op8_pii,
         "op9_substrings": op9_substrings,
+        "op10_decontaminate": op10_decontaminate,
     }
