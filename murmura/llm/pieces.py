@@ -85,6 +85,10 @@ class Codec:
                 self.near.add(piece[cut - 1 : cut + 1])
                 if left is not None and right is not None:
                     self.merges[left << 20 | right] = i
+        self.by_code = np.full(0x110000, -1, np.int32)
+        for p, i in self.ids.items():
+            if len(p) == 1:
+                self.by_code[ord(p)] = i
         self._table()
         self.limit = np.uint64(min(int(rate * 2**64), 2**64 - 1))
         self.cache: list[dict[str, bytes]] = [{} for _ in range(self.variants)]
@@ -179,11 +183,11 @@ class Codec:
         """Words of similar, small length through their agendas in step."""
         n, width = len(words), max(map(len, words))
         symbols = np.full((n, width + 1), -1, np.int32)
-        for row, word in enumerate(words):
-            symbols[row, : len(word)] = self._symbols(word)
-        length = np.array([len(w) for w in words])
+        length = np.fromiter(map(len, words), np.int64, n)
         start = np.arange(width + 1)
         alive = start[None, :] < length[:, None]
+        codes = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)
+        symbols[alive] = self.by_code[codes]
         after = np.tile(np.arange(1, width + 2), (n, 1)).astype(np.int16)
         before = np.tile(np.arange(-1, width), (n, 1)).astype(np.int16)
         best = np.full((n, width), _NONE, np.int32)
@@ -226,10 +230,11 @@ class Codec:
         flat_rows, flat_at = np.nonzero(alive)
         final, ends = symbols[flat_rows, flat_at], after[flat_rows, flat_at]
         cuts = np.searchsorted(flat_rows, np.arange(n + 1))
-        whole = np.logical_and.reduceat(final >= 0, cuts[:-1]) if n else []
-        for row in range(n):
-            a, b = cuts[row], cuts[row + 1]
-            out.append(final[a:b].tobytes() if whole[row] else self._ids(words[row], final[a:b].tolist(), ends[a:b].tolist()))
+        whole = np.logical_and.reduceat(final >= 0, cuts[:-1])
+        packed = final.tobytes()
+        bounds = cuts.tolist()
+        for word, a, b, plain in zip(words, bounds, bounds[1:], whole.tolist()):
+            out.append(packed[4 * a : 4 * b] if plain else self._ids(word, final[a:b].tolist(), ends[a:b].tolist()))
         return out
 
     def encode_words(self, words: list[str], variant: int) -> list[bytes]:
