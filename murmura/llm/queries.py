@@ -6,7 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from murmura.llm import decontaminate, embeddings, html_text, minhash, pii, quality, substrings, toxicity
+import corpus_pipeline
+from murmura.llm import (
+    decontaminate,
+    embeddings,
+    html_text,
+    licenses,
+    minhash,
+    pieces,
+    pii,
+    quality,
+    substrings,
+    toxicity,
+)
 from murmura.llm.common import table
 
 
@@ -15,11 +27,21 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of every document under merge-dropout, checked by decoding them."""
+    return pieces.encode(table(spark, sf_dir, "documents"))
+
+
 def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Class and component of every document; contract columns in this order."""
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License notices in every document."""
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op5_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     return html_text.extract_pages(table(spark, sf_dir, "pages"))
@@ -53,11 +75,14 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_toxicity": op1_toxicity,
+        "op2_sentencepiece": op2_sentencepiece,
         "op3_minhash": op3_minhash,
+        "op4_licenses": op4_licenses,
         "op5_html": op5_html,
         "op6_embeddings": op6_embeddings,
         "op7_quality": op7_quality,
         "op8_pii": op8_pii,
         "op9_substrings": op9_substrings,
         "op10_decontaminate": op10_decontaminate,
+        "pipeline": corpus_pipeline.run,
     }
