@@ -30,6 +30,14 @@ def settle(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, with underscores in front until no column of ``df`` is called so."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def fold(column: str = "doc_id", keep: str = "0,1,3") -> Column:
     """True for rows whose crc32 of the id as text, mod 4, is one of ``keep``."""
     rest = F.crc32(F.col(column).cast("string").cast("binary")) % 4

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from murmura.llm.common import NO_ID, run_hashes, settle, slices
+from murmura.llm.common import NO_ID, fresh, run_hashes, settle, slices
 
 #: Selected positions are 1; ignored ones may be substituted.
 MASKS = ("111111", "11101011", "101001000111", "1101100010001")
@@ -175,5 +175,6 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     Rows without doc_id cannot be told apart; if one of them overlaps, they all go.
     """
-    gone = contaminated(docs, benchmark).select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"].cast("long").eqNullSafe(F.col("_gone")), "left_anti")
+    name = fresh(docs, "_gone")
+    gone = contaminated(docs, benchmark).select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(gone, F.col("doc_id").cast("long").eqNullSafe(F.col(name)), "left_anti")

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from murmura.llm.common import byte_words, components, hash_words, mix64, run_hashes, settle, slices
+from murmura.llm.common import byte_words, components, fresh, hash_words, mix64, run_hashes, settle, slices
 
 BANDS, ROWS = 20, 6  # at a similarity of 0.85 a pair shares a bucket with probability 0.9999
 WORDS = 5
@@ -285,6 +285,10 @@ def intersections(left: list[np.ndarray], right: list[np.ndarray], width: int =
 
 
 def keep_one(docs: DataFrame, **settings) -> DataFrame:
-    """``docs`` without the near-duplicates of an earlier document; same columns."""
-    gone = near_duplicates(docs, **settings).where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"].cast("long") == F.col("_gone"), "left_anti")
+    """``docs`` without the near-duplicates of an earlier document; same columns.
+
+    Rows that repeat a doc_id are one document and stay or go together.
+    """
+    name = fresh(docs, "_gone")
+    gone = near_duplicates(docs, **settings).where(~F.col("kept")).select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(gone, F.col("doc_id").cast("long") == F.col(name), "left_anti")

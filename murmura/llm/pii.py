@@ -192,8 +192,7 @@ def redact(docs: DataFrame) -> DataFrame:
     Spans that overlap become one mark, named by the first of them. Texts without spans,
     null ones too, stay as they are.
     """
-    columns = docs.columns
-    df = with_spans(docs)
+    df = with_spans(docs.select(F.struct(*docs.columns).alias("row"), "text"))
     text = F.col("text")
 
     def step(acc: Column, s: Column) -> Column:
@@ -208,9 +207,11 @@ def redact(docs: DataFrame) -> DataFrame:
     done = F.aggregate("_spans", zero, step)
     df = df.withColumn("_done", F.when(F.size("_spans") > 0, done))
     new = F.concat(F.col("_done.out"), F.substring(text, (F.col("_done.at") + 1).cast("int"), F.length(text)))
-    df = df.withColumn("text", F.when(F.col("_done").isNotNull(), new).otherwise(text))
-    if "n_chars" in columns:
-        df = df.withColumn(
-            "n_chars", F.when(F.col("_done").isNotNull(), F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
-        )
-    return df.select(*columns)
+    df = df.withColumn("new", F.when(F.col("_done").isNotNull(), new))
+    changed = {"text": F.col("new")}
+    if "n_chars" in docs.columns:
+        changed["n_chars"] = F.length("new").cast(docs.schema["n_chars"].dataType)
+    return df.select(*[
+        F.when(F.col("new").isNotNull(), changed[c]).otherwise(F.col("row")[c]).alias(c) if c in changed else F.col("row")[c].alias(c)
+        for c in docs.columns
+    ])

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from murmura.llm.common import fold, labelled, settle, slices, summed
+from murmura.llm.common import fold, fresh, labelled, settle, slices, summed
 
 #: Labelled documents that training reads at most.
 FIT_ROWS = 200_000
@@ -190,12 +190,12 @@ def keep_good(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> DataF
     The text alone decides, so equal texts share their fate.
     """
     model = fit(settle(with_statistics(docs), "quality-statistics"), labels, rows)
-    names = docs.columns
+    names, own = docs.columns, fresh(docs, "_text")
 
     def run(batches):
-        for part in slices(batches, "_text"):
-            x = np.vstack([statistics(t) for t in part.column("_text").to_pylist()])
+        for part in slices(batches, own):
+            x = np.vstack([statistics(t) for t in part.column(own).to_pylist()])
             keep = pa.array(model.score(x) >= THRESHOLD)
             yield part.select(names).filter(keep)
 
-    return docs.withColumn("_text", F.col("text").cast("binary")).mapInArrow(run, docs.schema)
+    return docs.withColumn(own, F.col("text").cast("binary")).mapInArrow(run, docs.schema)
