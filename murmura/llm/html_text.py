@@ -108,8 +108,16 @@ def _tree(page: str) -> tuple[_Node, list[_Node], list[tuple[_Node, str, int]]]:
             if stack[i].tag in until:
                 return
 
-    at, in_link = 0, 0
-    size = len(page)
+    def close_inline(name: str) -> None:
+        """End the innermost such element of this block, if there is one; the text goes on."""
+        for i in range(len(stack) - 1, 0, -1):
+            if stack[i].tag == name:
+                del stack[i:]
+                return
+            if stack[i].tag not in INLINE:
+                return
+
+    at, size = 0, len(page)
     while at < size:
         found = _TOKEN.search(page, at)
         end = found.start() if found else size
@@ -131,7 +139,7 @@ def _tree(page: str) -> tuple[_Node, list[_Node], list[tuple[_Node, str, int]]]:
             if name in VOID or name in ("html", "body"):
                 continue
             if name in INLINE:
-                close((name,))
+                close_inline(name)
             else:
                 close((name,), ())
             continue
@@ -152,7 +160,7 @@ def _tree(page: str) -> tuple[_Node, list[_Node], list[tuple[_Node, str, int]]]:
             if name in CLOSES:
                 close(CLOSES[name], ("ul", "ol", "dl", "table", "body") if name != "tr" else ("table", "body"))
         elif name == "a":
-            close(("a",), SCOPE | {"p"})
+            close_inline("a")
         node = _Node(name, stack[-1], name in NEVER or _labelled(attributes))
         if name in ("article", "main") and not node.drop or name == "body":
             node.drop = False
