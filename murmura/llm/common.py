@@ -166,11 +166,12 @@ def labelled(docs: DataFrame, labels: DataFrame, column: str, most: int) -> Data
     """``docs`` (with doc_id) of the training folds with their ``label``; about ``most`` rows at most.
 
     Repeated labels of a document are averaged, null ones left out. Beyond ``most`` labels, a hash of
-    the id decides which ones stay, so the sample is the same on every run.
+    the id decides which ones stay, so the sample is the same on every run. The ids and labels, bounded
+    by ``most``, go to the documents; the documents are not shuffled.
     """
     one = labels.select(F.col("doc_id").cast("long"), F.col(column).cast("double").alias("label")).dropna()
     one = one.where(fold()).groupBy("doc_id").agg((F.avg("label") >= 0.5).cast("double").alias("label"))
     count = one.count()
     if count > most:
         one = one.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(most / count * (1 << 20)))
-    return docs.join(one, "doc_id")
+    return docs.join(F.broadcast(one), "doc_id")
