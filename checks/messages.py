@@ -53,14 +53,12 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw messages.
 
     Documents are spread by the join key before the join: a file may be one
-    block, and at scale the join would shuffle them by that key anyway. Their
-    lengths differ a thousandfold, so there are several tasks per core.
+    block, and at scale the join would shuffle them by that key anyway.
     """
     pin_utc(spark)
-    tasks = 4 * spark.sparkContext.defaultParallelism
     joined = spark.sql(
         MESSAGES_SQL.replace("{text_type}", "STRING"),
-        documents=table(spark, sf_dir, "documents").repartition(tasks, "doc_id"),
+        documents=table(spark, sf_dir, "documents").repartition("doc_id"),
         counted=table(spark, sf_dir, "documents"),
         events=table(spark, sf_dir, "events"),
     )

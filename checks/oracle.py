@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from checks.messages import MESSAGES_SQL, WORDS
 from checks.queries import AS_OF, KEYWORDS, NEWEST, ONE_DATE
-from murmura.functions.measures import sentiment_category_sql
 
 # DuckDB's \s and \w know ASCII only, so the classes are spelled out.
 BLANK = r"\s\x{0b}\x{1c}-\x{1f}\x{85}\p{Z}"
@@ -108,6 +107,10 @@ def days(n: int) -> str:
     return f"tweet_date BETWEEN {AS_OF_SQL} - {n} AND {AS_OF_SQL}"
 
 
+# The bands of the sentiment category.
+CATEGORY = """CASE WHEN avg_polarity > 0.3::DOUBLE THEN 'Very Positive' WHEN avg_polarity > 0.1::DOUBLE THEN 'Positive'
+         WHEN avg_polarity > -0.1::DOUBLE THEN 'Neutral' WHEN avg_polarity > -0.3::DOUBLE THEN 'Negative'
+         ELSE 'Very Negative' END"""
 HOURLY_SELECT = """SELECT tweet_date, tweet_hour, sentiment_label, tweet_count,
     round(avg_polarity + 1e-12, 9) AS avg_polarity, round(avg_confidence + 1e-12, 9) AS avg_confidence FROM hourly"""
 DAILY_SELECT = """SELECT tweet_date, sentiment_label, tweet_count,
@@ -120,8 +123,8 @@ HOURLY_PIVOT = """SELECT tweet_date, tweet_hour,
 FROM hourly {where} GROUP BY tweet_date, tweet_hour ORDER BY tweet_date DESC, tweet_hour"""
 TRENDS = f"""SELECT tweet_date, sentiment_label, tweet_count,
     round(avg_polarity + 1e-12, 9) AS avg_polarity,
-    {sentiment_category_sql('avg_polarity').replace('D THEN', '::DOUBLE THEN')} AS sentiment_category
-FROM daily WHERE {days(7)} ORDER BY tweet_date DESC, sentiment_label"""
+    {CATEGORY} AS sentiment_category
+FROM daily WHERE {{days}} ORDER BY tweet_date DESC, sentiment_label"""
 TRENDING = """SELECT tweet_date, CAST(sum(like_count) AS BIGINT) AS total_engagement,
     count(*) AS tweet_count, round(avg(polarity) + 1e-12, 9) AS avg_sentiment
 FROM scored WHERE like_count > 10 GROUP BY tweet_date"""
@@ -186,8 +189,8 @@ def oracle_sql() -> dict[str, str]:
         ),
         "sentiment_scores_joined": _with(
             *full,
-            select="SELECT id, round(polarity + 1e-12, 9) AS polarity, "
-            "round(subjectivity + 1e-12, 9) AS subjectivity FROM scored",
+            select="SELECT id, round(polarity + 1e-12, 9) AS polarity, round(subjectivity + 1e-12, 9) AS subjectivity, "
+            "sentiment_label, round(confidence + 1e-12, 9) AS confidence FROM scored",
         ),
         "sentiment_label": _with(
             *full,
@@ -217,7 +220,7 @@ def oracle_sql() -> dict[str, str]:
                 count(polarity) FILTER (WHERE like_count > 10) AS hot_polarity_rows
                 FROM scored GROUP BY tweet_date, tweet_hour, sentiment_label""",
         ),
-        "sentiment_trends": _with(*daily, select=TRENDS),
+        "sentiment_trends": _with(*daily, select=TRENDS.format(days=days(7))),
         "hourly_trends": _with(*hourly, select=HOURLY_PIVOT.format(where="")),
         "hourly_trends_for_date": _with(
             *hourly, select=HOURLY_PIVOT.format(where=f"WHERE tweet_date = DATE '{ONE_DATE}'")
@@ -236,9 +239,12 @@ def oracle_sql() -> dict[str, str]:
         "summary_stats": _with(*full, select=SUMMARY),
         "dashboard_dataset": _with(*full, select=DATASET),
         "json_landing_roundtrip": _with(MESSAGES, select="SELECT * FROM messages"),
-        "parquet_roundtrip": _with(
-            *base, select=f"SELECT * FROM processed WHERE tweet_date = DATE '{ONE_DATE}'"
+        "json_landing_text_counters": _with(
+            *base,
+            select="SELECT id, retweet_count, like_count, CAST(NULL AS INT) AS reply_count, "
+            "CAST(NULL AS INT) AS quote_count FROM processed",
         ),
+        "parquet_roundtrip": _with(*base, select="SELECT * FROM processed"),
         "csv_extract_roundtrip": _with(*full, select=DATASET),
         "dynamic_overwrite": _with(
             *daily,
@@ -256,9 +262,22 @@ def oracle_sql() -> dict[str, str]:
             "round(subjectivity + 1e-12, 9) AS subjectivity, round(confidence + 1e-12, 9) AS confidence) FROM scored",
         ),
         "ingest_twice": _with(*daily, select=DAILY_SELECT),
+        "ingest_rotated_folder": _with(*daily, select=DAILY_SELECT),
+        "collect_all": _with(
+            MESSAGES, select=f"SELECT {RAW_COLUMNS} FROM messages WHERE {has_keyword('text')}"
+        ),
+        "rebuild_after_correction": _with(
+            *full,
+            "corrected AS (SELECT * REPLACE (least(like_count, 10) AS like_count) FROM scored "
+            f"WHERE sentiment_label <> 'negative' AND tweet_date <> DATE '{ONE_DATE}')",
+            DAILY.replace("FROM scored", "FROM corrected"),
+            select=DAILY_SELECT,
+        ),
         "stored_hourly_sentiment": _with(*hourly, select=HOURLY_SELECT),
         "stored_trending_topics": _with(*full, select=TRENDING),
-        "catalog_sentiment_trends": _with(*daily, select=TRENDS),
+        "catalog_sentiment_trends": _with(*daily, select=TRENDS.format(days=days(7))),
+        "export_trends": _with(*daily, select=TRENDS.format(days=days(30))),
+        "catalog_hourly_trends": _with(*hourly, select=HOURLY_PIVOT.format(where="")),
         "dashboard_job": _with(*full, select=DATASET),
         "summary_job": _with(*full, select=SUMMARY),
         "freshness": _with(
@@ -269,8 +288,9 @@ def oracle_sql() -> dict[str, str]:
         ),
         "health_report": _with(
             *base,
-            select="SELECT TRUE AS data_freshness, (SELECT count(*) FROM messages) AS raw_tweets_rows, "
-            "(SELECT count(*) FROM processed) AS processed_tweets_rows",
+            select="SELECT age AS \"timestamp\", TRUE AS newest_file, age AS age_seconds, age <= 3600 AS data_freshness, "
+            "(SELECT count(*) FROM messages) AS raw_tweets_rows, (SELECT count(*) FROM processed) AS processed_tweets_rows "
+            "FROM (VALUES (3600.0::DOUBLE), (7201.0::DOUBLE)) AS ages(age)",
         ),
         "stream_dedup": _with(
             MESSAGES,
@@ -283,4 +303,8 @@ def oracle_sql() -> dict[str, str]:
                       <= (SELECT max(created_at) FROM processed) - INTERVAL 1 HOUR""",
         ),
     }
+    again = (MESSAGES, recollected, """newest AS (SELECT * FROM recollected
+        QUALIFY row_number() OVER (PARTITION BY id ORDER BY collected_at DESC) = 1)""",
+        PROCESSED.replace("FROM messages", "FROM newest"), SCORED, DAILY)
+    sql["ingest_recollected"] = sql["ingest_recollected_at_once"] = _with(*again, select=DAILY_SELECT)
     return sql

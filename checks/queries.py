@@ -20,12 +20,19 @@ from murmura.operators.messages import (
     process_messages,
 )
 from murmura.operators.scoring import batch_analyze, score_sentiment
-from murmura.plans.dashboard import export_dataset, refresh_dashboard
+from murmura.plans.dashboard import export_dataset, export_extracts, refresh_dashboard
 from murmura.plans.health import health_report, message_freshness
-from murmura.plans.ingest import collect_messages, ingest_file
+from murmura.plans.ingest import collect_messages, ingest_file, rebuild_aggregates
 from murmura.schemas import COUNTERS, DATE
 from murmura.session import pin_utc, scratch_dir
-from murmura.sources.landing import land_messages, read_messages, read_records, stream_messages
+from murmura.sources.landing import (
+    LANDED_TIME,
+    land_messages,
+    newest_file_time,
+    read_messages,
+    read_records,
+    stream_messages,
+)
 from murmura.sources.store import (
     Store,
     append_messages,
@@ -136,6 +143,107 @@ def ingest_again(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.read(spark, "daily_sentiment").transform(plain)
 
 
+def ingest_recollected(files_per_batch: int) -> Callable[[SparkSession, str], DataFrame]:
+    """Messages and their later copies landed in several files, ingested in batches of so many."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        root = scratch_dir(spark, "recollected")
+        land_messages(_recollected(spark, sf_dir).repartition(4), f"{root}/landing")
+        store = Store(f"{root}/tables")
+        ingest_landing(
+            spark, f"{root}/landing", store, f"{root}/checkpoint",
+            lexicon=lexicon(spark), files_per_batch=files_per_batch,
+        ).awaitTermination()
+        return store.read(spark, "daily_sentiment").transform(plain)
+
+    return run
+
+
+def ingest_rotated_folder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One path ingested twice, with other files the second time."""
+    root = scratch_dir(spark, "rotated")
+    store, landing = Store(f"{root}/tables"), f"{root}/landing"
+    half = F.pmod(F.xxhash64("id"), F.lit(2))
+    for part in (0, 1):
+        now = messages(spark, sf_dir).where(half == part)
+        now.write.mode("overwrite").option("timestampFormat", LANDED_TIME).json(landing)
+        ingest_file(spark, landing, store, lexicon(spark))
+    return store.read(spark, "daily_sentiment").transform(plain)
+
+
+def text_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counters landed as text, as decimals and as junk, beside a line that is no JSON."""
+    folder = scratch_dir(spark, "counters")
+    first = messages(spark, sf_dir).where("lang = 'en'")
+    first.select(
+        "id", "text", "lang", "created_at",
+        F.col("retweet_count").cast("string").alias("retweet_count"),
+        F.col("like_count").cast("double").alias("like_count"),
+        F.concat(F.lit("x"), F.col("reply_count").cast("string")).alias("reply_count"),
+    ).write.option("timestampFormat", LANDED_TIME).json(folder)
+    first.select(F.concat(F.lit("{"), "id").alias("value")).write.mode("append").text(folder)
+    read = process_messages(read_messages(spark, folder).where("_corrupt_record IS NULL"))
+    return read.select("id", *COUNTERS)
+
+
+def rebuild_after_correction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored messages corrected so that a label, all hot messages and a whole date vanish."""
+    root = scratch_dir(spark, "corrected")
+    store = Store(f"{root}/tables")
+    land_messages(messages(spark, sf_dir), f"{root}/landing")
+    dates = ingest_file(spark, f"{root}/landing", store, lexicon(spark))
+    kept = settled_copy(store.read(spark, "processed_tweets"), root).where(
+        (F.col("sentiment_label") != "negative") & (F.col(DATE) != F.lit(ONE_DATE))
+    ).withColumn("like_count", F.least("like_count", F.lit(10)))
+    named = store.read(spark, "processed_tweets").select(DATE, "ingest_batch").distinct().collect()
+    store.replace(kept, "processed_tweets", named)
+    rebuild_aggregates(spark, store, dates)
+    days = store.read(spark, "daily_sentiment").select(
+        DATE, "sentiment_label", "tweet_count", "avg_polarity", "total_likes", "total_retweets"
+    )
+    hot = store.read(spark, "trending_topics").select(
+        DATE, F.lit("hot").alias("sentiment_label"), "tweet_count", F.col("avg_sentiment").alias("avg_polarity"),
+        F.col("total_engagement").alias("total_likes"), F.lit(0).cast("long").alias("total_retweets"),
+    )
+    return plain(days.unionByName(hot))
+
+
+def settled_copy(df: DataFrame, root: str) -> DataFrame:
+    df.write.parquet(f"{root}/copy")
+    return df.sparkSession.read.parquet(f"{root}/copy")
+
+
+def collect_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every match collected and landed."""
+    root = scratch_dir(spark, "collect-all")
+    nested = messages(spark, sf_dir).select(
+        "id", "text", "created_at", "author_id", "lang", F.struct(*COUNTERS).alias("public_metrics")
+    )
+    collect_messages(nested, f"{root}/landing", KEYWORDS)
+    landed = read_messages(spark, f"{root}/landing")
+    return plain(landed.drop("_corrupt_record", "collected_at"))
+
+
+def trends_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The month of trends as the extract job writes it."""
+    store, _ = stored(spark, sf_dir)
+    out = scratch_dir(spark, "extracts")
+    export_extracts(spark, store, out, AS_OF)
+    columns = (
+        f"{DATE} DATE, sentiment_label STRING, tweet_count BIGINT, avg_polarity DOUBLE, sentiment_category STRING"
+    )
+    return plain(spark.read.option("header", True).schema(columns).csv(f"{out}/sentiment_trends"))
+
+
+def catalog_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The catalog's hourly view."""
+    store, _ = stored(spark, sf_dir)
+    database = "sentiment_db_" + store.root.rstrip("/").split("-")[-1].split("/")[0]
+    create_catalog(spark, store, database)
+    refresh_catalog(spark, database)
+    return execute_query(spark, f"SELECT * FROM {database}.hourly_trends")
+
+
 def stored_aggregate(name: str) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return plain(stored(spark, sf_dir)[0].read(spark, name))
@@ -180,10 +288,10 @@ def collect_job(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Append, then a scan that prunes to one date."""
+    """Everything appended and read back."""
     folder = scratch_dir(spark, "parquet")
     append_messages(processed(spark, sf_dir), folder)
-    return plain(spark.read.parquet(folder).where(F.col(DATE) == F.lit(ONE_DATE)))
+    return plain(spark.read.parquet(folder))
 
 
 def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -224,9 +332,18 @@ def summary_job(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def health(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The report without the times of the moment."""
+    """The report an hour, and once more two hours and a second, after the newest file landed."""
     store, landing = stored(spark, sf_dir)
-    return health_report(spark, landing, store).drop("timestamp", "newest_file", "age_seconds")
+    newest = newest_file_time(spark, landing).first()["newest"]
+    reports = [
+        health_report(spark, landing, store, newest + dt.timedelta(seconds=s)).withColumns({
+            "timestamp": F.round((F.unix_micros("timestamp") - F.unix_micros("newest_file")) / 1e6, 3),
+            "newest_file": F.col("newest_file").isNotNull(),
+            "age_seconds": F.round("age_seconds", 3),
+        })
+        for s in (3600, 7201)
+    ]
+    return reports[0].unionByName(reports[1])
 
 
 def _run_stream(spark: SparkSession, stream: DataFrame, name: str) -> DataFrame:
@@ -287,9 +404,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "id", clean_text(F.col("text")).alias("cleaned_text")
     )
     q["sentiment_scores"] = lambda s, d: plain(_scores(scored(s, d)))
-    q["sentiment_scores_joined"] = lambda s, d: plain(
-        scored(s, d, inline_rows=0).select("id", "polarity", "subjectivity")
-    )
+    q["sentiment_scores_joined"] = lambda s, d: plain(_scores(scored(s, d, joined=True)))
     q["sentiment_label"] = lambda s, d: (
         scored(s, d).select("id", sentiment_label(F.col("polarity"), 0.25).alias("strict_label"))
     )
@@ -328,6 +443,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
     # Sinks
     q["json_landing_roundtrip"] = json_roundtrip
+    q["json_landing_text_counters"] = text_counters
     q["parquet_roundtrip"] = parquet_roundtrip
     q["csv_extract_roundtrip"] = csv_roundtrip
     q["dynamic_overwrite"] = dynamic_overwrite
@@ -336,6 +452,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["collect_messages"] = collect_job
     q["stream_process_equals_batch"] = stream_ingest
     q["ingest_twice"] = ingest_again
+    q["collect_all"] = collect_all
+    q["ingest_recollected"] = ingest_recollected(1)
+    q["ingest_recollected_at_once"] = ingest_recollected(1000)
+    q["ingest_rotated_folder"] = ingest_rotated_folder
+    q["rebuild_after_correction"] = rebuild_after_correction
+    q["export_trends"] = trends_extract
+    q["catalog_hourly_trends"] = catalog_hours
     q["stored_hourly_sentiment"] = stored_aggregate("hourly_sentiment")
     q["stored_trending_topics"] = stored_aggregate("trending_topics")
     q["catalog_sentiment_trends"] = catalog_trends

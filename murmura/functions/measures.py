@@ -56,3 +56,8 @@ def sentiment_strength(avg_polarity: Column) -> Column:
 def bucket_start(date: Column, hour: Column) -> Column:
     """The timestamp at which an hourly (date, hour) bucket starts."""
     return F.timestamp_add("HOUR", hour, date.cast("timestamp"))
+
+
+def counter(value: Column) -> Column:
+    """A count out of a number or its text: 7, "7" and 7.0 are 7; what cannot be read is NULL."""
+    return value.try_cast("decimal(38,6)").try_cast("int")

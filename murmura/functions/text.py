@@ -18,6 +18,7 @@ TAG = r"[@#][\p{L}\p{N}_]+"
 BLANKS = r"(?U)[\s\x1c-\x1f]+"
 WORD_CHAR = r"\p{L}\p{N}_"
 TOKEN = r"[a-z\p{L}]+(?:'[a-z\p{L}]+)*|!"
+APOSTROPHE = "\u2019"  # as typed on most phones; the same as '
 
 
 def remove_links(text: Column) -> Column:
@@ -26,11 +27,6 @@ def remove_links(text: Column) -> Column:
     return F.when(has_link, F.regexp_replace(text, LINK, "")).otherwise(text)
 
 
-def remove_tags(text: Column) -> Column:
-    """Drop every @mention and #hashtag."""
-    return F.when(_has_tag(text), F.regexp_replace(text, TAG, "")).otherwise(text)
-
-
 def _has_tag(text: Column) -> Column:
     return F.contains(text, F.lit("@")) | F.contains(text, F.lit("#"))
 
@@ -61,7 +57,12 @@ def tokens(text: Column) -> Column:
     No token contains a blank, so ``tokens(strip_markup(t))`` equals
     ``tokens(clean_text(t))`` and scoring can leave out the blank collapse.
     """
-    return F.regexp_extract_all(F.lower(text), F.lit(TOKEN), F.lit(0))
+    lowered = F.translate(F.lower(text), APOSTROPHE, "'")
+    # Without an apostrophe, splitting gives the same tokens at half the price.
+    spaced = F.replace(lowered, F.lit("!"), F.lit(" ! "))
+    return F.when(
+        F.contains(lowered, F.lit("'")), F.regexp_extract_all(lowered, F.lit(TOKEN), F.lit(0))
+    ).otherwise(F.array_remove(F.split(spaced, r"[^\p{L}!]+"), ""))
 
 
 def any_keyword(text: Column, keywords: Sequence[str]) -> Column:
@@ -91,5 +92,5 @@ def _whole_token(text: Column, words: Sequence[str]) -> Column:
 
 
 def search_expression(keywords: Sequence[str]) -> str:
-    """The keywords as one search string."""
+    """The keywords as one search string, as a search service takes them."""
     return " OR ".join(keywords)

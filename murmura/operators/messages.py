@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from murmura.functions.dates import instant
 from murmura.functions.text import any_keyword
-from murmura.schemas import COUNTERS, DATE
+from murmura.functions.measures import counter
+from murmura.schemas import BATCH, COUNTERS, DATE
 
 # Search defaults, the language kept, the mark of a re-post.
 DEFAULT_KEYWORDS = ["technology", "ai", "machine learning"]
@@ -53,7 +54,7 @@ def process_messages(raw: DataFrame, language: str = LANGUAGE) -> DataFrame:
         created.alias("created_at"),
         F.col("author_id").cast("string").alias("author_id"),
         "lang",
-        *[F.col(c).try_cast("int").alias(c) for c in COUNTERS],
+        *[counter(F.col(c)).alias(c) for c in COUNTERS],
         instant(F.col("collected_at")).alias("collected_at"),
         F.current_timestamp().alias("processed_at"),
         F.to_date(created).alias(DATE),
@@ -64,31 +65,33 @@ def process_messages(raw: DataFrame, language: str = LANGUAGE) -> DataFrame:
 def latest_by_id(messages: DataFrame, version: str = "collected_at") -> DataFrame:
     """One row per id, the latest collected; rows without an id are all kept.
 
-    Repeated ids are found from the id column alone. Rows whose id occurs once,
-    normally nearly all of them, then pass without a shuffle of their texts, and
-    only repeated ones are grouped. The maximum is taken over the whole row, so
-    ties have one answer; it aggregates map-side, so the copies of a hot id
-    collapse before the shuffle. ``messages`` is read more than once and should
-    be a stored table or cheap to compute.
+    Copies of one time are told apart by their counters, then by the other columns, so
+    ties have one answer. The maximum is a partial aggregate: the copies of a hot id
+    collapse before the one exchange. Rows without an id never take part in it.
     """
-    rest = [c for c in messages.columns if c not in ("id", version)]
-    repeated = messages.groupBy("id").count().where("id IS NOT NULL AND count > 1").select("id")
+    counts = [c for c in COUNTERS if c in messages.columns and c != version]
+    rest = [c for c in messages.columns if c not in ("id", version, *counts)]
     newest = (
-        messages.join(repeated, "id", "left_semi")
-        .groupBy("id")
-        .agg(F.max(F.struct(version, *rest)).alias("newest"))
-        .select("id", "newest.*")
+        messages.where("id IS NOT NULL").groupBy("id")
+        .agg(F.max(F.struct(version, *counts, *rest)).alias("newest"))
+        .select("id", *[F.col("newest")[c].alias(c) for c in messages.columns if c != "id"])
+        .select(*messages.columns)
     )
-    return messages.join(repeated, "id", "left_anti").unionByName(newest)
+    return newest.unionByName(messages.where("id IS NULL"))
 
 
-def drop_known(messages: DataFrame, stored: DataFrame) -> DataFrame:
-    """Messages whose id is not among the stored ones; rows without an id stay.
+def newest_batches(versions: DataFrame, ids: DataFrame, batch: str = BATCH) -> DataFrame:
+    """For each of the ids, the batch that holds its newest stored copy.
 
-    The stored ids are first cut down to those of this batch. That leaves a set
-    no larger than the batch, and lets the optimizer send the batch's ids to the
-    stored files instead of shuffling a whole day of ids.
+    ``versions`` are stored raw rows; only ids, times and counters are read. Copies that
+    agree in these are one version, which belongs to the batch with the larger name, so
+    the answer depends neither on the order of batches nor on their size.
     """
-    ids = messages.select("id").distinct()
-    known = stored.select("id").join(ids, "id", "left_semi").distinct()
-    return messages.join(known, "id", "left_anti")
+    named = ids.select("id").where("id IS NOT NULL").distinct()
+    return (
+        versions.select("id", "collected_at", *COUNTERS, batch)
+        .join(named, "id", "left_semi")
+        .groupBy("id")
+        .agg(F.max(F.struct("collected_at", *COUNTERS, batch)).alias("newest"))
+        .select("id", F.col("newest")[batch].alias(batch))
+    )

@@ -9,11 +9,14 @@ tokens around it:
 * polarity = clamp(p * factor * boost, -1, 1), times -0.5 when negated;
 * subjectivity = clamp(s * factor, 0, 1).
 
-A message has the mean of both over its terms, and 0.0 when it has none.
-
-There are two physical plans for this one rule. A word list of checked size
-travels inside the plan as literals, and scoring is a projection: no shuffle,
-no Python worker, and it works unchanged on a stream. A larger list is joined.
+A message has the mean of both over its terms, added up in text order, and 0.0
+when it has none.
+
+There are two physical plans for this one rule, with the same results to the last
+bit; the caller chooses. By default the word list travels inside the plan as
+literals, and scoring is a projection: no shuffle, no Python worker, and it works
+unchanged on a stream. A list of more than ``INLINE_ROWS`` rows is refused there. With
+``joined=True`` the list, of any size, is joined; a stream cannot take that plan.
 """
 
 from __future__ import annotations
@@ -34,7 +37,7 @@ from murmura.operators.lexicon import default_lexicon, normalise
 BOOST = 1.25
 NEGATION = -0.5
 
-# Word lists up to this many rows are put into the plan; about 1 MB of literals.
+# Word lists up to this many rows may be put into the plan; about 1 MB of literals.
 INLINE_ROWS = 20_000
 # Ways to split the copies of one text, and the occurrences of one word, on the join path.
 COPY_SALT = 1024
@@ -43,19 +46,23 @@ WORD_SALT = 32
 
 @dataclass(frozen=True)
 class WordList:
-    """A lexicon made ready: its table, and its rows when there are few enough."""
+    """A lexicon made ready: its table, and its rows unless it is to be joined."""
 
     table: DataFrame
     rows: list[Row] | None
 
 
 def prepare_lexicon(
-    spark: SparkSession, lexicon: DataFrame | None = None, inline_rows: int = INLINE_ROWS
+    spark: SparkSession, lexicon: DataFrame | None = None, joined: bool = False
 ) -> WordList:
     """Normalise a lexicon and check its size; do it once and score many batches."""
     words = normalise(default_lexicon(spark) if lexicon is None else lexicon)
-    rows = words.limit(inline_rows + 1).collect()
-    return WordList(words, rows if len(rows) <= inline_rows else None)
+    if joined:
+        return WordList(words, None)
+    rows = words.limit(INLINE_ROWS + 1).collect()
+    if len(rows) > INLINE_ROWS:
+        raise ValueError(f"the word list has more than {INLINE_ROWS} rows: score it with joined=True")
+    return WordList(words, rows)
 
 
 def score_sentiment(
@@ -65,7 +72,7 @@ def score_sentiment(
     threshold: float = LABEL_THRESHOLD,
     keep_cleaned: bool = False,
     scorer: Callable[[Column], Column] | None = None,
-    inline_rows: int = INLINE_ROWS,
+    joined: bool = False,
 ) -> DataFrame:
     """``messages`` plus polarity, subjectivity, sentiment_label and confidence.
 
@@ -83,10 +90,12 @@ def score_sentiment(
         words = (
             lexicon
             if isinstance(lexicon, WordList)
-            else prepare_lexicon(messages.sparkSession, lexicon, inline_rows)
+            else prepare_lexicon(messages.sparkSession, lexicon, joined)
         )
         if words.rows is not None:
             scored = _score_inline(messages, words.rows, text)
+        elif messages.isStreaming:
+            raise ValueError("a stream needs a word list that is not joined")
         else:
             scored = _score_joined(messages, words.table, text)
     columns = list(messages.columns)
@@ -141,7 +150,9 @@ def _score_inline(messages: DataFrame, rows: list[Row], text: str) -> DataFrame:
         r.word: {"p": r.polarity or 0.0, "s": r.subjectivity or 0.0}
         for r in rows if r.kind == "term"
     }
-    modifiers = {r.word: r.intensity or 1.0 for r in rows if r.kind == "modifier"}
+    modifiers = {
+        r.word: 1.0 if r.intensity is None else r.intensity for r in rows if r.kind == "modifier"
+    }
     negators = [r.word for r in rows if r.kind == "negator"]
     term = _lookup(terms, "struct<p:double,s:double>")
     intensity = _lookup(modifiers, "double")
@@ -182,6 +193,12 @@ def _score_inline(messages: DataFrame, rows: list[Row], text: str) -> DataFrame:
     )
 
 
+def _mean(terms: str, measure: str) -> Column:
+    """The mean over the terms of a text, added up in their order."""
+    total = F.aggregate(terms, F.lit(0.0), lambda acc, one: acc + one["t"][measure])
+    return total / F.size(terms)
+
+
 def _among(word: Column, words) -> Column:
     return word.isin(list(words)) if words else F.lit(False)
 
@@ -223,6 +240,7 @@ def _score_joined(messages: DataFrame, words: DataFrame, text: str) -> DataFrame
                 "_words",
                 lambda w, i: F.struct(
                     w.alias("word"),
+                    i.alias("at"),
                     F.pmod(i, F.lit(WORD_SALT)).alias("_split"),
                     F.get("_words", i - 1).alias("prev"),
                     F.get("_words", i - 2).alias("prev2"),
@@ -235,7 +253,8 @@ def _score_joined(messages: DataFrame, words: DataFrame, text: str) -> DataFrame
     splits = F.explode(F.sequence(F.lit(0), F.lit(WORD_SALT - 1))).alias("_split")
 
     def entries(kind: str) -> DataFrame:
-        return words.where(F.col("kind") == kind).select("*", splits).drop("kind")
+        # Spark's estimate does not count the copies, so it must not decide to broadcast them.
+        return words.where(F.col("kind") == kind).select("*", splits).drop("kind").hint("merge")
 
     terms = entries("term").select(
         "word", "_split",
@@ -261,11 +280,12 @@ def _score_joined(messages: DataFrame, words: DataFrame, text: str) -> DataFrame
     )
     scores = (
         flagged.select(
-            "_text", "_copy",
+            "_text", "_copy", "at",
             _term_score(F.col("p"), F.col("s"), F.col("factor"), negated, F.col("boosted")).alias("t"),
         )
         .groupBy("_text", "_copy")
-        .agg(F.avg("t.polarity").alias("polarity"), F.avg("t.subjectivity").alias("subjectivity"))
+        .agg(F.sort_array(F.collect_list(F.struct("at", "t"))).alias("terms"))  # those of one text
+        .select("_text", "_copy", *[_mean("terms", c).alias(c) for c in ("polarity", "subjectivity")])
     )
     return keyed.join(scores, ["_text", "_copy"], "left").select(
         *messages.columns,

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from murmura.functions.dates import AsOf
 from murmura.operators import serving
 from murmura.operators.messages import DEFAULT_KEYWORDS
-from murmura.plans.ingest import COLLECT_LIMIT, collect_messages
+from murmura.plans.ingest import collect_messages
 from murmura.sources.store import Store, write_csv
 from murmura.streaming.ingest import ingest_landing
 
@@ -17,7 +17,7 @@ from murmura.streaming.ingest import ingest_landing
 def refresh_dashboard(spark: SparkSession, store: Store, out: str, as_of: AsOf = None) -> None:
     """The short extract: a week of trends and the summary."""
     trends = serving.sentiment_trends(store.read(spark, "daily_sentiment"), as_of=as_of)
-    write_csv(trends, f"{out}/sentiment_trends")
+    write_csv(trends, f"{out}/sentiment_trends", single_file=True)
     _write_summary(spark, store, out, as_of)
 
 
@@ -26,10 +26,10 @@ def export_extracts(spark: SparkSession, store: Store, out: str, as_of: AsOf = N
     trends = serving.sentiment_trends(
         store.read(spark, "daily_sentiment"), serving.EXTRACT_DAYS, as_of
     )
-    write_csv(trends, f"{out}/sentiment_trends")
+    write_csv(trends, f"{out}/sentiment_trends", single_file=True)
     hourly = serving.hourly_trends_recent(store.read(spark, "hourly_sentiment"), as_of=as_of)
     if not hourly.isEmpty():
-        write_csv(hourly, f"{out}/hourly_trends")
+        write_csv(hourly, f"{out}/hourly_trends", single_file=True)
     _write_summary(spark, store, out, as_of)
 
 
@@ -40,13 +40,13 @@ def export_dataset(
     dataset = serving.dashboard_dataset_from_rollup(
         store.read(spark, "sentiment_rollup"), as_of=as_of
     )
-    write_csv(dataset, f"{out}/main_sentiment_data")
+    write_csv(dataset, f"{out}/main_sentiment_data", single_file=True)
     return dataset
 
 
 def _write_summary(spark: SparkSession, store: Store, out: str, as_of: AsOf) -> None:
     summary = serving.summary_from_rollup(store.read(spark, "sentiment_rollup"), as_of)
-    write_csv(serving.summary_stats(summary), f"{out}/summary_stats")
+    write_csv(serving.summary_stats(summary), f"{out}/summary_stats", single_file=True)
 
 
 def run_all(
@@ -56,7 +56,7 @@ def run_all(
     checkpoint: str,
     out: str,
     keywords: Sequence[str] = DEFAULT_KEYWORDS,
-    max_results: int = COLLECT_LIMIT,
+    max_results: int | None = None,
     as_of: AsOf = None,
     lexicon: DataFrame | None = None,
 ) -> None:

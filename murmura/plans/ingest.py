@@ -3,8 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-import hashlib
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,31 +12,28 @@ from murmura.functions.dates import instant
 from murmura.operators.aggregates import sentiment_rollup, views_from_rollup
 from murmura.operators.messages import (
     DEFAULT_KEYWORDS,
-    drop_known,
     flatten_records,
     keyword_filter,
     latest_by_id,
     most_recent,
+    newest_batches,
     process_messages,
 )
 from murmura.operators.scoring import WordList, score_sentiment
 from murmura.schemas import BATCH, DATE
-from murmura.sources.landing import if_present, land_messages, read_messages
-from murmura.sources.store import Store, overwrite_partitions
-
-# Fixed value: messages kept per collection run.
-COLLECT_LIMIT = 500
+from murmura.sources.landing import content_name, if_present, land_messages, read_messages
+from murmura.sources.store import Store
 
 
 def collect_messages(
     records: DataFrame,
     landing: str,
     keywords: Sequence[str] = DEFAULT_KEYWORDS,
-    max_results: int = COLLECT_LIMIT,
+    max_results: int | None = None,
 ) -> None:
-    """Search service records and land the newest matches."""
+    """Search service records and land the matches: all, or the newest ``max_results``."""
     found = keyword_filter(flatten_records(records), keywords)
-    land_messages(most_recent(found, max_results), landing)
+    land_messages(found if max_results is None else most_recent(found, max_results), landing)
 
 
 def ingest_batch(
@@ -45,60 +41,83 @@ def ingest_batch(
 ) -> list[dt.date | None]:
     """Store one batch of raw messages and bring its dates' aggregates up to date.
 
+    Of all copies of a message, in this batch and in others, the newest one is kept; a copy
+    that another batch stored before is taken out there. So the tables depend on what landed,
+    not on how it was cut into batches. A message's ``created_at`` never changes, so its
+    other copies lie in the same date, and only the batch's dates are searched.
+
     Each step replaces what the same batch wrote before, so running a batch
     again after a failure, at whatever step, ends in the same tables. Returns
     the dates the batch touched.
-
-    Messages already stored by another batch are left out. A message's
-    ``created_at`` never changes, so its earlier copy can only lie in the same
-    date, and only those dates are searched.
     """
     spark = raw.sparkSession
     stamped = raw.withColumns(
         {DATE: F.to_date(instant(F.col("created_at"))), BATCH: F.lit(batch)}
     )
-    overwrite_partitions(stamped, store.path("raw_tweets"), [DATE, BATCH])
-
-    landed = store.read_batch(spark, "raw_tweets", batch)
     # One row per calendar date of the batch comes to the driver, to name folders.
-    dates = [row[0] for row in landed.select(DATE).distinct().collect()]
+    had = _dates(store.read_batch(spark, "raw_tweets", batch))
+    gone = store.replace(stamped, "raw_tweets", [(d, batch) for d in had])
+    dates = _dates(store.read_batch(spark, "raw_tweets", batch)) | had
     if not dates:
         return []
-    earlier = store.read_dates(spark, "processed_tweets", dates).where(F.col(BATCH) != batch)
+    landed = store.read_batch(spark, "raw_tweets", batch, dates)
+    versions = store.read_dates(spark, "raw_tweets", dates)
+    won = newest_batches(versions, landed).where(F.col(BATCH) == batch).select("id")
     # Repeats are taken out before the text is looked at, so finding them reads ids only.
-    fresh = drop_known(latest_by_id(landed), earlier)
+    latest = latest_by_id(landed)
+    fresh = latest.join(won, "id", "left_semi").unionByName(latest.where("id IS NULL"))
     scored = score_sentiment(process_messages(fresh), lexicon).withColumn(BATCH, F.lit(batch))
-    overwrite_partitions(scored, store.path("processed_tweets"), [DATE, BATCH])
+    had_messages = _dates(store.read_batch(spark, "processed_tweets", batch, dates))
+    store.replace(scored, "processed_tweets", [(d, batch) for d in had_messages])
 
-    # Only this batch's messages are read; the rollup rows of earlier batches stand.
-    written = store.read_batch(spark, "processed_tweets", batch)
-    rollup = sentiment_rollup(written, by=[BATCH])
-    overwrite_partitions(rollup, store.path("sentiment_rollup"), [DATE, BATCH])
+    # Batches whose copy of a message is no longer the newest.
+    messages = store.read_dates(spark, "processed_tweets", dates)
+    others = messages.where(F.col(BATCH) != batch)
+    stale = [tuple(r) for r in others.join(won, "id", "left_semi").select(DATE, BATCH).distinct().collect()]
+    if stale:
+        kept = others.where(F.col(BATCH).isin(sorted({b for _, b in stale}))).join(won, "id", "left_anti")
+        store.replace(kept, "processed_tweets", stale)
+
+    # Only these batches' messages are read; the rollup rows of all others stand.
+    changed = sorted({batch, *(b for _, b in stale)})
+    written = store.read_dates(spark, "processed_tweets", dates).where(F.col(BATCH).isin(changed))
+    named = [*stale, *((d, batch) for d in had_messages)]
+    store.replace(sentiment_rollup(written, by=[BATCH]), "sentiment_rollup", named)
     refresh_aggregates(spark, store, dates)
-    return dates
+    return sorted(dates - {d for d, _ in gone}, key=str)
+
+
+def _dates(df: DataFrame) -> set[dt.date | None]:
+    return {row[0] for row in df.select(DATE).distinct().collect()}
 
 
 def ingest_file(
     spark: SparkSession, path: str, store: Store, lexicon: DataFrame | None = None
 ) -> list[dt.date | None]:
-    """Store one named file or glob of landed messages; nothing there is not an error."""
+    """Store one named file or glob of landed messages; nothing there is not an error.
+
+    The batch is named by the files it reads, so the same path with other files is another batch.
+    """
     raw = if_present(lambda: read_messages(spark, path))
     if raw is None or raw.isEmpty():
         return []
-    name = hashlib.sha256(path.encode()).hexdigest()[:16]
-    return ingest_batch(raw, f"file-{name}", store, lexicon)
+    return ingest_batch(raw, f"file-{content_name(spark, path)}", store, lexicon)
 
 
-def refresh_aggregates(spark: SparkSession, store: Store, dates: Sequence[dt.date | None]) -> None:
-    """Derive the three aggregates of some dates from the stored rollup and replace them."""
+def refresh_aggregates(spark: SparkSession, store: Store, dates: Iterable[dt.date | None]) -> None:
+    """Derive the three aggregates of some dates from the stored rollup and replace them.
+
+    A date without rows in an aggregate loses the rows it had there.
+    """
     rollup = store.read_dates(spark, "sentiment_rollup", dates)
     for table, view in views_from_rollup(rollup).items():
-        overwrite_partitions(view, store.path(table), [DATE])
+        had = _dates(store.read_dates(spark, table, dates))
+        store.replace(view, table, [(d,) for d in had])
 
 
-def rebuild_aggregates(spark: SparkSession, store: Store, dates: Sequence[dt.date | None]) -> None:
+def rebuild_aggregates(spark: SparkSession, store: Store, dates: Iterable[dt.date | None]) -> None:
     """Recompute some dates from their stored messages, rollup included."""
     messages = store.read_dates(spark, "processed_tweets", dates)
-    rollup = sentiment_rollup(messages, by=[BATCH])
-    overwrite_partitions(rollup, store.path("sentiment_rollup"), [DATE, BATCH])
+    had = store.read_dates(spark, "sentiment_rollup", dates).select(DATE, BATCH).distinct().collect()
+    store.replace(sentiment_rollup(messages, by=[BATCH]), "sentiment_rollup", had)
     refresh_aggregates(spark, store, dates)

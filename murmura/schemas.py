@@ -22,12 +22,13 @@ _DBL, _TS, _DAY = T.DoubleType(), T.TimestampType(), T.DateType()
 _HEAD = {"id": _STR, "text": _STR, "created_at": _TS, "author_id": _STR, "lang": _STR}
 _COUNTS = {name: _INT for name in COUNTERS}
 
-# JSON lines as they land. Ids are read as text so that both 17 and "17" are accepted.
+# JSON lines as they land. Ids and counters are read as text, so that 17, "17" and 17.0 are accepted.
+LANDED = _struct(_HEAD | {name: _STR for name in COUNTERS} | {"collected_at": _TS, CORRUPT: _STR})
 RAW = _struct(_HEAD | _COUNTS | {"collected_at": _TS})
 RAW_LINES = _struct(_HEAD | _COUNTS | {"collected_at": _TS, CORRUPT: _STR})
 
 # One record as the search service returns it, counters nested.
-API_RECORD = _struct(_HEAD | {"public_metrics": _struct(_COUNTS)})
+API_RECORD = _struct(_HEAD | {"public_metrics": _struct({name: _STR for name in COUNTERS})})
 
 PROCESSED = _struct(
     _HEAD | _COUNTS | {"collected_at": _TS, "processed_at": _TS, DATE: _DAY, "tweet_hour": _INT}

@@ -7,9 +7,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from murmura.schemas import API_RECORD, CORRUPT, RAW_LINES
+from murmura.functions.measures import counter
+from murmura.schemas import API_RECORD, CORRUPT, COUNTERS, LANDED
 
 
+# A file's age never keeps it out of the stream.
+ANY_AGE = "36500d"
 # Fixed value: times are landed in full, with their zone.
 LANDED_TIME = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
@@ -25,18 +28,43 @@ def _line_reader(reader, schema: T.StructType):
 
 def read_messages(spark: SparkSession, path: str) -> DataFrame:
     """Flat raw messages. A line that cannot be read is a row with ``_corrupt_record``."""
-    return _line_reader(spark.read, RAW_LINES).json(path)
+    return _typed(_line_reader(spark.read, LANDED).json(path))
 
 
 def read_records(spark: SparkSession, path: str) -> DataFrame:
     """Nested service records."""
-    return _line_reader(spark.read, API_RECORD).json(path)
+    records = _line_reader(spark.read, API_RECORD).json(path)
+    metrics = F.struct(*[counter(F.col(f"public_metrics.{c}")).alias(c) for c in COUNTERS])
+    return records.withColumn("public_metrics", metrics)
 
 
-def stream_messages(spark: SparkSession, folder: str, files_per_batch: int = 1000) -> DataFrame:
-    """New landing files as a stream of raw messages."""
-    reader = spark.readStream.option("maxFilesPerTrigger", files_per_batch)
-    return _line_reader(reader, RAW_LINES).json(folder)
+def _typed(lines: DataFrame) -> DataFrame:
+    return lines.withColumns({c: counter(F.col(c)) for c in COUNTERS})
+
+
+def stream_messages(
+    spark: SparkSession, folder: str, files_per_batch: int = 1000, archive: str | None = None
+) -> DataFrame:
+    """New landing files as a stream of raw messages, whatever their age.
+
+    With ``archive``, files that were read move there (outside the landing folder), so
+    that listing the folder and remembering its files stay cheap.
+    """
+    reader = spark.readStream.option("maxFilesPerTrigger", files_per_batch).option("maxFileAge", ANY_AGE)
+    if archive is not None:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
+    return _typed(_line_reader(reader, LANDED).json(folder))
+
+
+def content_name(spark: SparkSession, path: str) -> str:
+    """A name for the files of a path out of their names, sizes and times; reads none of them."""
+    row = (
+        spark.read.format("binaryFile").load(path)
+        .select(F.xxhash64("path", "modificationTime", "length").alias("h"))
+        .agg(F.count("*").alias("n"), F.bit_xor("h").alias("x"), F.sum(F.pmod("h", F.lit(1_000_003))).alias("s"))
+        .first()
+    )
+    return f"{row['n']}-{(row['x'] or 0) & (2**64 - 1):016x}-{row['s'] or 0:x}"
 
 
 def land_messages(messages: DataFrame, folder: str) -> None:

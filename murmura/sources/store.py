@@ -43,9 +43,36 @@ class Store:
         listed = ",".join(sorted({_folder(d) for d in dates}))
         return self._load(spark, table, f"{self.path(table)}/{DATE}={{{listed}}}")
 
-    def read_batch(self, spark: SparkSession, table: str, batch: str) -> DataFrame:
-        """The rows one ingest batch wrote."""
-        return self._load(spark, table, f"{self.path(table)}/{DATE}=*/{BATCH}={batch}")
+    def read_batch(
+        self, spark: SparkSession, table: str, batch: str, dates: Iterable[dt.date] | None = None
+    ) -> DataFrame:
+        """The rows one ingest batch wrote; without ``dates``, every date's folder is looked at."""
+        listed = "*" if dates is None else "{" + ",".join(sorted({_folder(d) for d in dates})) + "}"
+        return self._load(spark, table, f"{self.path(table)}/{DATE}={listed}/{BATCH}={batch}")
+
+    def clear(self, spark: SparkSession, table: str, *values) -> None:
+        """Empty one partition: an empty file takes the place of its rows."""
+        columns, keys = TABLES[table]
+        rest = T.StructType([f for f in columns.fields if f.name not in keys])
+        folder = "/".join(
+            f"{k}={_folder(v) if k == DATE else v}" for k, v in zip(keys, values, strict=True)
+        )
+        empty = spark.createDataFrame([], rest).coalesce(1)
+        empty.write.mode("overwrite").parquet(f"{self.path(table)}/{folder}")
+
+    def replace(self, df: DataFrame, table: str, named: Iterable[tuple]) -> set[tuple]:
+        """Replace the partitions ``df`` has rows for, and empty those of ``named`` it has none for.
+
+        ``named`` lists partitions that hold earlier results. Only where there are any is ``df``
+        asked which ones it still has. Returns the partitions that became empty.
+        """
+        keys = TABLES[table][1]
+        named = {tuple(n) for n in named}
+        kept = {tuple(r) for r in df.select(*keys).distinct().collect()} if named else set()
+        overwrite_partitions(df, self.path(table), keys)
+        for values in named - kept:
+            self.clear(df.sparkSession, table, *values)
+        return named - kept
 
     def _load(self, spark: SparkSession, table: str, path: str) -> DataFrame:
         columns, keys = TABLES[table]
@@ -84,11 +111,11 @@ def _balanced(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.hint("rebalance", *keys)
 
 
-def write_csv(df: DataFrame, folder: str, single_file: bool = True) -> None:
+def write_csv(df: DataFrame, folder: str, single_file: bool = False) -> None:
     """CSV with a header and no index.
 
-    One file suits dashboard extracts, which hold at most one row per hour and
-    label of a fixed span; leave ``single_file`` off for anything larger.
+    ``single_file`` suits dashboard extracts, which hold at most one row per hour
+    and label of a fixed span.
     """
     out = df.coalesce(1) if single_file else df
     out.write.mode("overwrite").option("header", True).csv(folder)
@@ -128,11 +155,24 @@ def create_catalog(spark: SparkSession, store: Store, database: str = "sentiment
 
 
 def refresh_catalog(spark: SparkSession, database: str = "sentiment_db") -> None:
-    """Let the catalog see partitions that were written by path."""
+    """Let the catalog see all partitions that were written by path."""
     for table in TABLES:
         spark.catalog.recoverPartitions(f"{database}.{table}")
 
 
+def register_batch(
+    spark: SparkSession, batch: str, dates: Iterable[dt.date | None], database: str = "sentiment_db"
+) -> None:
+    """Let the catalog see what one batch wrote, without looking at any other partition."""
+    for table, (_, keys) in TABLES.items():
+        parts = []
+        for date in dates:
+            day = "NULL" if date is None else f"DATE'{date.isoformat()}'"
+            parts.append(f"PARTITION ({DATE}={day}" + (f", {BATCH}='{batch}')" if BATCH in keys else ")"))
+        if parts:
+            spark.sql(f"ALTER TABLE {database}.{table} ADD IF NOT EXISTS {' '.join(parts)}")
+
+
 def execute_query(spark: SparkSession, query: str, args: dict | None = None) -> DataFrame:
     """Run SQL with named parameters; the result stays distributed."""
     return spark.sql(query, args=args or {})

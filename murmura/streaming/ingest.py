@@ -24,15 +24,17 @@ def ingest_landing(
     interval_seconds: int | None = None,
     lexicon: DataFrame | None = None,
     files_per_batch: int = 1000,
+    archive: str | None = None,
 ) -> StreamingQuery | None:
     """Process every landed file once. None when nothing has ever landed.
 
     Without an interval the query takes what is there and ends, which is the
     batch run; with one (see ``INTERVAL_SECONDS``) it goes on. The checkpoint
     remembers the files, and a batch that is run again after a failure replaces
-    its own partitions, so no message is stored twice.
+    its own partitions, so no message is stored twice. ``archive`` is a folder
+    that files move to once they are read.
     """
-    stream = if_present(lambda: stream_messages(spark, landing, files_per_batch))
+    stream = if_present(lambda: stream_messages(spark, landing, files_per_batch, archive))
     if stream is None:
         return None
     words = prepare_lexicon(spark, lexicon)

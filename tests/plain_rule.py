@@ -18,7 +18,7 @@ def brute_score(text, words):
     terms = {w: (p, s) for w, kind, p, s, _ in words if kind == "term"}
     modifiers = {w: k for w, kind, _, _, k in words if kind == "modifier"}
     negators = {w for w, kind, *_ in words if kind == "negator"}
-    t = TOKEN.findall(clean(text).lower())
+    t = TOKEN.findall(clean(text).lower().replace("\u2019", "'"))
     found = []
     for i, word in enumerate(t):
         if word not in terms:

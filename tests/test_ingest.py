@@ -1,5 +1,7 @@
 import datetime as dt
 import glob
+import os
+import time
 
 from pyspark.sql import functions as F
 
@@ -9,8 +11,9 @@ from murmura.operators.aggregates import create_aggregated_views
 from murmura.operators.messages import process_messages
 from murmura.operators.scoring import score_sentiment
 from murmura.plans.dashboard import export_dataset, export_extracts, run_all
-from murmura.plans.ingest import ingest_batch, ingest_file, rebuild_aggregates
-from murmura.sources.landing import read_records, stream_messages
+from murmura.plans.ingest import collect_messages, ingest_batch, ingest_file, rebuild_aggregates
+from murmura.schemas import COUNTERS
+from murmura.sources.landing import read_messages, read_records, stream_messages
 from murmura.sources.store import Store
 from murmura.streaming.ingest import ingest_landing
 from murmura.streaming.live import hourly_counts, unique_by_id
@@ -20,7 +23,7 @@ TEXTS = ["I love this!", "This is terrible!", "Just a message.", "RT @a good", "
 
 def records(n, start=0, **more):
     return [
-        record(i, TEXTS[i % 5], f"2024-01-{8 + i % 3:02d}T{i % 24:02d}:30:00+00:00", likes=i, **more)
+        record(i, more.get("text", TEXTS[i % 5]), f"2024-01-{8 + i % 3:02d}T{i % 24:02d}:30:00+00:00", **({"likes": i} | {k: v for k, v in more.items() if k != "text"}))
         for i in range(start, start + n)
     ]
 
@@ -39,14 +42,16 @@ def content(spark, store, table, *drop):
 def test_stream_equals_batch_and_second_run_adds_nothing(spark, folder):
     for k in range(4):
         land(f"{folder}/in", f"{k}.json", records(10, 10 * k))
-    # The same messages once more in a later file.
-    land(f"{folder}/in", "9.json", records(10))
+    # The same messages once more in a later file, collected earlier, later and at the same time.
+    land(f"{folder}/in", "9.json", records(4, collected_at="2024-01-01T00:00:00", likes=77))
+    land(f"{folder}/in", "8.json", records(8, 4, collected_at="2024-02-01T00:00:00", likes=50, text="This is terrible!"))
+    land(f"{folder}/in", "7.json", records(4, 12))
     streamed, batch = Store(f"{folder}/a"), Store(f"{folder}/b")
     ingest(spark, folder, streamed, files_per_batch=2)
     ingest_file(spark, f"{folder}/in/*.json", batch)
     messages = content(spark, streamed, "processed_tweets", "ingest_batch")
     assert messages == content(spark, batch, "processed_tweets", "ingest_batch")
-    assert len(messages) == 32
+    assert len(messages) == 33
     direct = create_aggregated_views(batch.read(spark, "processed_tweets"))
     for table in ("hourly_sentiment", "daily_sentiment", "trending_topics"):
         assert content(spark, streamed, table) == content(spark, batch, table)
@@ -93,13 +98,82 @@ def test_later_batch_does_not_wipe_a_shared_date(spark, folder):
     assert store.read(spark, "processed_tweets").count() == 2
     assert store.read(spark, "raw_tweets").count() == 3
     (day,) = store.read(spark, "trending_topics").collect()
-    assert (day.total_engagement, day.tweet_count) == (23, 2)
+    # Copies of one time: the one with more likes is the newer one.
+    assert (day.total_engagement, day.tweet_count) == (111, 2)
+    ingest_batch(raw(spark, message("1", likes=1, collected="2024-01-10T14:00:00")), "b3", store)
+    (day,) = store.read(spark, "trending_topics").collect()
+    assert (day.total_engagement, day.tweet_count) == (12, 1)
+    assert store.read(spark, "processed_tweets").count() == 2
     tables = ("sentiment_rollup", "hourly_sentiment", "daily_sentiment", "trending_topics")
     before = [content(spark, store, t) for t in tables]
     rebuild_aggregates(spark, store, [dt.date(2024, 1, 10)])
     assert [content(spark, store, t) for t in tables] == before
 
 
+def test_newest_copy_in_another_language_takes_the_message_out(spark, folder):
+    for name, order in (("a", (0, 1)), ("b", (1, 0))):
+        store = Store(f"{folder}/{name}")
+        copies = [message("1", likes=20), message("1", lang="de", likes=30, collected="2024-01-11T00:00:00")]
+        for i in order:
+            ingest_batch(raw(spark, copies[i]), f"b{i}", store)
+        assert store.read(spark, "processed_tweets").count() == 0
+        assert store.read(spark, "trending_topics").count() == 0 == store.read(spark, "daily_sentiment").count()
+
+
+def test_batch_that_keeps_nothing_on_the_second_run(spark, folder):
+    store = Store(folder)
+    ingest_batch(raw(spark, message("1", likes=20), message("2", created="2024-01-11T00:00:00")), "b", store)
+    ingest_batch(raw(spark, message("3", created="2024-01-12T00:00:00", likes=20)), "b", store)
+    assert [r.id for r in store.read(spark, "raw_tweets").collect()] == ["3"]
+    assert [r.id for r in store.read(spark, "processed_tweets").collect()] == ["3"]
+    assert [r.tweet_date.day for r in store.read(spark, "daily_sentiment").collect()] == [12]
+
+
+def test_one_path_with_other_files_is_another_batch(spark, folder):
+    store = Store(f"{folder}/tables")
+    land(f"{folder}/in", "a.json", [record(1)])
+    ingest_file(spark, f"{folder}/in", store)
+    land(f"{folder}/in", "a.json", [])
+    land(f"{folder}/in", "b.json", [record(2)])
+    for _ in range(2):
+        ingest_file(spark, f"{folder}/in", store)
+    assert sorted(r.id for r in store.read(spark, "processed_tweets").collect()) == ["1", "2"]
+    assert store.read(spark, "raw_tweets").count() == 2
+
+
+def test_old_files_are_read_and_archived(spark, folder):
+    store, old = Store(f"{folder}/tables"), time.time() - 40 * 86400
+    for k in range(2):
+        land(f"{folder}/in", f"{k}.json", [record(k)])
+        if k:
+            os.utime(f"{folder}/in/{k}.json", (old, old))
+        ingest(spark, folder, store, archive=f"{folder}/read")
+    ingest(spark, folder, store, archive=f"{folder}/read")
+    assert sorted(r.id for r in store.read(spark, "processed_tweets").collect()) == ["0", "1"]
+
+
+def test_stream_with_an_interval(spark, folder):
+    land(f"{folder}/in", "a.json", [record(1)])
+    store = Store(f"{folder}/tables")
+    query = ingest_landing(spark, f"{folder}/in", store, f"{folder}/c", interval_seconds=1)
+    try:
+        query.processAllAvailable()
+        land(f"{folder}/in", "b.json", [record(2)])
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert sorted(r.id for r in store.read(spark, "processed_tweets").collect()) == ["1", "2"]
+
+
+def test_collection_is_whole_unless_cut(spark, folder):
+    df = raw(spark, *[message(str(i), "ai", created=f"2024-01-01T00:{i // 60:02d}:{i % 60:02d}") for i in range(700)])
+    nested = df.select("id", "text", "created_at", "author_id", "lang", F.struct(*COUNTERS).alias("public_metrics"))
+    collect_messages(nested, f"{folder}/all")
+    collect_messages(nested, f"{folder}/some", max_results=500)
+    counts = [read_messages(spark, f"{folder}/{n}").count() for n in ("all", "some")]
+    assert counts == [700, 500]
+
+
 def test_nothing_landed_yet(spark, folder):
     assert ingest_landing(spark, f"{folder}/none", Store(folder), f"{folder}/c") is None
 

@@ -4,11 +4,11 @@ from pyspark.sql import functions as F
 
 from helpers import message, raw
 from murmura.operators.messages import (
-    drop_known,
     flatten_records,
     keyword_filter,
     latest_by_id,
     most_recent,
+    newest_batches,
     process_messages,
 )
 from murmura.schemas import PROCESSED
@@ -95,9 +95,22 @@ def test_ties_have_one_answer(spark):
         assert latest_by_id(raw(spark, *order).repartition(4)).first().like_count == 19
 
 
-def test_drop_known(spark):
-    batch = raw(spark, message("1"), message("2"), message(None))
-    stored = raw(spark, message("2"), message("9"), message(None))
-    left = drop_known(batch, stored)
-    assert sorted(r.id or "-" for r in left.collect()) == ["-", "1"]
-    assert left.columns == batch.columns
+def test_newest_batches(spark):
+    stored = raw(
+        spark,
+        message("1", likes=1, collected="2024-01-10T13:00:00"), message("2", likes=2), message("2", likes=5),
+        message("3"), message("9"), message(None),
+    ).withColumn("ingest_batch", F.when(F.col("like_count") == 5, "b").otherwise("a"))
+    later = raw(spark, message("1", collected="2024-01-10T15:00:00"), message("3"), message(None)).withColumn(
+        "ingest_batch", F.lit("b"))
+    versions = stored.unionByName(later)
+    for order in (versions, versions.orderBy(F.desc("ingest_batch"))):
+        got = newest_batches(order, raw(spark, message("1"), message("2"), message("3"), message(None)))
+        assert {r.id: r.ingest_batch for r in got.collect()} == {"1": "b", "2": "b", "3": "b"}
+
+
+def test_counters_in_memory(spark):
+    df = raw(spark, message()).withColumns({
+        "like_count": F.lit("7.0"), "retweet_count": F.lit(7.9), "reply_count": F.lit("x7"), "quote_count": F.lit("99999999999")})
+    row = process_messages(df).first()
+    assert (row.like_count, row.retweet_count, row.reply_count, row.quote_count) == (7, 7, None, None)

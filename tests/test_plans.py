@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from helpers import land, message, raw, record
 from murmura.operators import aggregates, serving
-from murmura.operators.messages import drop_known, latest_by_id, most_recent, process_messages
+from murmura.operators.messages import latest_by_id, most_recent, newest_batches, process_messages
 from murmura.operators.scoring import batch_analyze, score_sentiment
 from murmura.plans.ingest import ingest_file
 from murmura.sources import store as store_module
@@ -62,15 +62,32 @@ def test_only_wanted_date_folders_are_listed(spark, store):
     assert dict(some.dtypes)["tweet_date"] == "date"
 
 
-def test_finding_repeats_reads_ids_only(spark, store):
-    landed = store.read(spark, "raw_tweets")
-    known = store.read(spark, "processed_tweets")
-    plan = drop_known(latest_by_id(landed), known)._jdf.queryExecution().toString()
-    physical = plan[plan.index("Physical Plan"):]
-    shuffled = [line for line in physical.splitlines() if "Exchange hashpartitioning" in line]
-    assert shuffled and all("hashpartitioning(id#" in line for line in shuffled)
-    # Texts cross a shuffle only in the branch that groups repeated ids.
-    assert physical.count("ReadSchema: struct<id:string>") >= 3
+def test_texts_cross_one_exchange(spark, store, folder):
+    """Also where nothing is small enough to broadcast, and with a hot id and rows without one."""
+    rows = [message("hot", likes=i) for i in range(50)] + [message(None, f"t{i}") for i in range(20)] + [message(str(i)) for i in range(30)]
+    raw(spark, *rows).write.parquet(f"{folder}/raw")
+    landed = spark.read.parquet(f"{folder}/raw")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        latest = latest_by_id(landed)
+        versions = store.read(spark, "raw_tweets")
+        won = newest_batches(versions, landed).select("id")
+        kept = latest.join(won, "id", "left_anti")
+        assert sorted((r.id or "", r.like_count) for r in latest.collect() if r.id in (None, "hot")) == [("", 0)] * 20 + [("hot", 49)]
+        physical = kept._jdf.queryExecution().executedPlan().toString()
+        # An exchange below the partial maximum of whole rows carries texts; the others carry ids.
+        whole = [i for i, line in enumerate(physical.splitlines()) if "partial_max(struct(collected_at" in line and "text#" in line]
+        assert len(whole) == 1
+        assert all("hashpartitioning(id#" in line for line in physical.splitlines() if "Exchange hashpartitioning" in line)
+        assert physical.count("text:string") == 2  # one scan of rows with an id, one of rows without
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_a_batch_is_read_by_its_dates(spark, store):
+    (batch,) = {r[0] for r in store.read(spark, "raw_tweets").select("ingest_batch").collect()}
+    some = store.read_batch(spark, "raw_tweets", batch, [dt.date(2024, 1, 3)])
+    assert {f.split("tweet_date=")[1][:10] for f in some.inputFiles()} == {"2024-01-03"}
 
 
 def test_top_n_is_not_a_full_sort(spark):

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from checks.messages import WORDS
 from plain_rule import brute_score, clean
+from murmura.operators import scoring
 from murmura.operators.lexicon import MODIFIERS, NEGATORS, TERMS, load_lexicon
 from murmura.operators.scoring import (
     analyze_text,
@@ -16,6 +17,7 @@ from murmura.operators.scoring import (
 from murmura.schemas import LEXICON
 
 
+# Acceptance sentences and their labels.
 EXAMPLES = [
     ("I love this amazing product! It's fantastic!", "positive"),
     ("This is terrible! I hate it so much!", "negative"),
@@ -33,6 +35,7 @@ def test_example_labels(spark):
 
 
 def test_batch_keeps_rows_order_and_columns(spark):
+    # The acceptance batch.
     texts = ["I love this!", "This is awful!", "This is okay."]
     df = spark.createDataFrame([(t,) for t in texts], "text STRING")
     rows = batch_analyze(df).collect()
@@ -75,13 +78,13 @@ def random_texts(n, seed):
     return [" ".join(rng.choices(pool, k=rng.randint(0, 30))) for _ in range(n)] + [None, "", "!"]
 
 
-@pytest.mark.parametrize("inline_rows", [20_000, 0], ids=["inline", "joined"])
-def test_matches_brute_force(spark, inline_rows):
+@pytest.mark.parametrize("joined", [False, True], ids=["inline", "joined"])
+def test_matches_brute_force(spark, joined):
     texts = random_texts(300, 1)
     # Half of all rows are copies of one text, some of them alike in every column.
     texts += ["from the thing then only trash !"] * 300
     df = spark.createDataFrame([(i % 450, t) for i, t in enumerate(texts)], "id INT, text STRING")
-    rows = score_sentiment(df, words(spark), inline_rows=inline_rows).collect()
+    rows = score_sentiment(df, words(spark), joined=joined).collect()
     assert len(rows) == len(texts)
     for r in rows:
         p, s = brute_score(r.text, WORDS)
@@ -93,18 +96,40 @@ def test_matches_brute_force(spark, inline_rows):
 def test_joined_with_text_as_the_only_column(spark):
     texts = random_texts(50, 2) + ["thing"] * 50
     df = spark.createDataFrame([(t,) for t in texts], "text STRING")
-    rows = score_sentiment(df, words(spark), inline_rows=0).collect()
+    rows = score_sentiment(df, words(spark), joined=True).collect()
     assert sorted((r.text or "", round(r.polarity, 9)) for r in rows) == sorted(
         (t or "", round(brute_score(t, WORDS)[0], 9)) for t in texts
     )
 
 
-def test_large_list_takes_the_join(spark):
+def test_large_list_asks_for_the_join(spark, monkeypatch, folder):
     rows = WORDS + [(f"filler{i}", "term", 0.1, 0.1, None) for i in range(200)]
-    ready = prepare_lexicon(spark, words(spark, rows), inline_rows=100)
-    assert ready.rows is None
+    monkeypatch.setattr(scoring, "INLINE_ROWS", 100)
+    with pytest.raises(ValueError, match="joined=True"):
+        prepare_lexicon(spark, words(spark, rows))
+    ready = prepare_lexicon(spark, words(spark, rows), joined=True)
     df = spark.createDataFrame([("the thing",)], "text STRING")
     assert score_sentiment(df, ready).first().polarity == pytest.approx(0.9)
+    df.write.parquet(f"{folder}/t")
+    with pytest.raises(ValueError, match="stream"):
+        score_sentiment(spark.readStream.schema("text STRING").parquet(f"{folder}/t"), ready)
+
+
+def test_both_plans_agree_to_the_last_bit(spark):
+    rows = [("good", "term", 0.3, 0.5, None), ("fine", "term", 0.1, 0.2, None), ("bad", "term", -0.1, 0.7, None),
+            ("kinda", "modifier", None, None, 0.0)]
+    texts = ["good fine bad", "bad good fine", "fine bad good", "good bad", "kinda good", "kinda bad fine good!", "don\u2019t good"] * 3
+    df = spark.createDataFrame(list(enumerate(texts)), "id INT, text STRING").repartition(4)
+    columns = ["id", "polarity", "subjectivity", "sentiment_label"]
+    both = [score_sentiment(df, words(spark, rows), joined=j).select(columns).orderBy("id").collect() for j in (False, True)]
+    assert both[0] == both[1]
+    assert {r.sentiment_label for r in both[0] if texts[r.id] == "kinda good"} == {"neutral"}
+
+
+def test_typographic_apostrophe_is_an_apostrophe(spark):
+    rows = [("don't", "negator", None, None, None), ("like", "term", 0.5, 0.5, None)]
+    for text in ("don't like", "don\u2019t like", "I DON\u2019T like"):
+        assert analyze_text(spark, text, words(spark, rows)).first().polarity == pytest.approx(-0.25)
 
 
 def test_large_inline_list_finds_every_word(spark):
@@ -124,9 +149,9 @@ def test_senses_are_averaged_and_case_is_ignored(spark):
 def test_term_that_is_also_a_modifier(spark):
     rows = [("pretty", "term", 0.5, 0.5, None), ("pretty", "modifier", None, None, 0.5),
             ("bad", "term", -0.6, 0.6, None)]
-    for inline_rows in (10, 0):
+    for joined in (False, True):
         df = spark.createDataFrame([("pretty bad",)], "text STRING")
-        row = score_sentiment(df, words(spark, rows), inline_rows=inline_rows).first()
+        row = score_sentiment(df, words(spark, rows), joined=joined).first()
         assert row.polarity == pytest.approx((0.5 - 0.3) / 2)
 
 

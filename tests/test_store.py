@@ -16,6 +16,7 @@ from murmura.sources.store import (
     execute_query,
     overwrite_partitions,
     refresh_catalog,
+    register_batch,
     write_csv,
 )
 
@@ -34,6 +35,36 @@ def test_junk_counter_spoils_only_itself(spark, folder):
     assert (row.id, row.like_count, row.retweet_count) == ("1", None, 2)
 
 
+def test_counters_as_text_and_decimals(spark, folder):
+    land(folder, "a.json", [record(1, likes="7", retweet_count=7.0, reply_count="8.0"), "{broken"])
+    for read in (read_messages(spark, folder), process_messages(read_messages(spark, folder))):
+        row = read.where("id = '1'").first()
+        assert (row.like_count, row.retweet_count, row.reply_count, row.quote_count) == (7, 7, 8, 0)
+
+
+def test_replace_empties_partitions_without_rows(spark, folder):
+    store = Store(folder)
+    day = lambda n: (dt.date(2024, 1, n), "positive", 1, 0.5, 1, 1)
+    schema = "tweet_date DATE, sentiment_label STRING, tweet_count BIGINT, avg_polarity DOUBLE, total_likes BIGINT, total_retweets BIGINT"
+    df = spark.createDataFrame([day(1), day(2), day(3)], schema)
+    store.replace(df, "daily_sentiment", [])
+    gone = store.replace(df.where("day(tweet_date) = 2"), "daily_sentiment", [(dt.date(2024, 1, n),) for n in (1, 2)])
+    assert gone == {(dt.date(2024, 1, 1),)}
+    assert sorted(r.tweet_date.day for r in store.read(spark, "daily_sentiment").collect()) == [2, 3]
+
+
+def test_register_batch_adds_only_what_it_wrote(spark, folder):
+    land(f"{folder}/in", "a.json", [record(1), record(2, created="junk")])
+    store = Store(f"{folder}/tables")
+    database = f"db_{uuid.uuid4().hex}"
+    create_catalog(spark, store, database)
+    dates = ingest_file(spark, f"{folder}/in", store)
+    (batch,) = {r[0] for r in store.read(spark, "raw_tweets").select("ingest_batch").collect()}
+    register_batch(spark, batch, [d for d in dates if d], database)
+    assert spark.table(f"{database}.processed_tweets").count() == 1
+    assert spark.table(f"{database}.daily_sentiment").count() == 1
+
+
 def test_times_are_landed_in_full(spark, folder):
     land(folder, "a.json", [record(1, created="2024-01-10T12:00:00.000001+02:00")])
     first = read_messages(spark, folder)
@@ -74,7 +105,7 @@ def test_append_adds_files_by_date(spark, folder):
 
 
 def test_csv_is_one_file_with_header(spark, folder):
-    write_csv(spark.range(100).repartition(4).orderBy(F.desc("id")), f"{folder}/x")
+    write_csv(spark.range(100).repartition(4).orderBy(F.desc("id")), f"{folder}/x", single_file=True)
     (part,) = glob.glob(f"{folder}/x/*.csv")
     lines = open(part).read().split()
     assert lines == ["id"] + [str(i) for i in range(99, -1, -1)]
