@@ -294,7 +294,7 @@ def oracle_sql() -> dict[str, str]:
         ),
         "stream_dedup": _with(
             MESSAGES,
-            select="SELECT id, text, created_at, author_id, lang, retweet_count FROM messages",
+            select="SELECT * FROM messages",
         ),
         "stream_hourly": _with(
             *hourly,

@@ -87,18 +87,21 @@ def _summary(df: DataFrame) -> DataFrame:
     return plain(df.withColumns({c: F.col(c).cast("double") for c in ("total", "count")}))
 
 
-def _recollected(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All messages, those of views collected once more two hours later with more likes."""
+def _collected_again(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The messages of views, collected once more two hours later with more likes."""
     first = messages(spark, sf_dir)
     events = table(spark, sf_dir, "events").where("event_type = 'view'")
     viewed = first.join(events.select(F.col("event_id").cast("string").alias("id")), "id", "left_semi")
-    again = viewed.withColumns(
+    return viewed.withColumns(
         {
             "like_count": F.col("like_count") + 5,
             "collected_at": F.timestamp_add("HOUR", F.lit(2), "collected_at"),
         }
     )
-    return first.unionByName(again)
+
+
+def _recollected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return messages(spark, sf_dir).unionByName(_collected_again(spark, sf_dir))
 
 
 # --- stored tables, written once per session and scale ---------------------------------
@@ -125,6 +128,23 @@ def stored(spark: SparkSession, sf_dir: str) -> tuple[Store, str]:
     return _stores[key]
 
 
+_ordered: dict[tuple[str, str], str] = {}
+
+
+def in_time_order(spark: SparkSession, sf_dir: str) -> str:
+    """A landing folder filled in four rounds in order of time, one file a core each; once per session."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _ordered:
+        _, landing = stored(spark, sf_dir)
+        rows = read_messages(spark, landing).drop("_corrupt_record")
+        bounds = rows.select(F.unix_micros("created_at").alias("t")).approxQuantile("t", [0.25, 0.5, 0.75], 0.01)
+        part = sum(((F.unix_micros("created_at") >= F.lit(int(b))).cast("int") for b in bounds), F.lit(0))
+        _ordered[key] = scratch_dir(spark, "ordered")
+        for i in range(len(bounds) + 1):
+            land_messages(rows.where(part == i).repartition(spark.sparkContext.defaultParallelism), _ordered[key])
+    return _ordered[key]
+
+
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     store, _ = stored(spark, sf_dir)
     kept = store.read(spark, "processed_tweets").drop("processed_at", "ingest_batch")
@@ -362,23 +382,19 @@ def _run_stream(spark: SparkSession, stream: DataFrame, name: str) -> DataFrame:
 
 
 def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Messages landed with repeats, each id kept once."""
+    """Messages landed, then their repeats; over several batches the first copy of each id stays."""
     landing = scratch_dir(spark, "repeats")
-    land_messages(_recollected(spark, sf_dir), landing)
-    unique = unique_by_id(stream_messages(spark, landing), "60 days")
-    # Which of two copies arrives first is open, so their differing columns are left out.
-    kept = unique.select("id", "text", "created_at", "author_id", "lang", "retweet_count")
-    return plain(_run_stream(spark, kept, "dedup"))
+    land_messages(messages(spark, sf_dir), landing)
+    first = len(read_messages(spark, landing).inputFiles())
+    land_messages(_collected_again(spark, sf_dir), landing)
+    unique = unique_by_id(stream_messages(spark, landing, files_per_batch=first), "60 days")
+    return plain(_run_stream(spark, unique.drop("_corrupt_record"), "dedup"))
 
 
 def stream_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Hourly counts of closed hours from a stream that is scored on the way.
-
-    The landed files come in no order of time, so all of them make one batch.
-    """
-    _, landing = stored(spark, sf_dir)
-    files = len(read_messages(spark, landing).inputFiles())
-    live = process_messages(stream_messages(spark, landing, files_per_batch=files))
+    """Hourly counts of closed hours from a stream that is scored on the way, in several batches."""
+    files = spark.sparkContext.defaultParallelism
+    live = process_messages(stream_messages(spark, in_time_order(spark, sf_dir), files_per_batch=files))
     return _run_stream(spark, hourly_counts(score_sentiment(live, lexicon(spark)), "1 hour"), "hourly")
 
 
