@@ -100,14 +100,14 @@ def components(edges: DataFrame) -> DataFrame:
 
     Large-star and small-star rounds: a node's edges move to the smallest neighbour until
     every component is a star. Each round is written to the shared folder; the driver
-    sees two numbers a round. Minima are combined before the shuffle, and the joins
+    sees three numbers a round. Minima are combined before the shuffle, and the joins
     leave hot nodes to the skew split.
     """
 
     def settled(df: DataFrame) -> tuple[DataFrame, tuple]:
         df = settle(df.where(F.col("a") < F.col("b")).distinct(), "components")
         state = df.agg(
-            F.count("*"), F.sum((F.xxhash64("a", "b") % 1_000_003).cast("long"))
+            F.count("*"), F.bit_xor(F.xxhash64("a", "b")), F.sum((F.xxhash64("b", "a") % 1_000_003).cast("long"))
         ).first()
         return df, tuple(state)
 

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from murmura.llm.common import components, settle, summed
+from murmura.llm.common import components, settle, slices, summed
 
 LEAST = 0.9
 SAMPLE, LEAVES, TILE, BLOCK = 20_000, 4096, 8192, 1024
@@ -255,31 +255,29 @@ def _links(classes: DataFrame, length: int, least: float, tile: int, leaves: int
     )
     ends = [f(F.col("lead")[i]).alias(f"{name}{i}") for i in range(lead) for name, f in (("low", F.min), ("high", F.max))]
     boxes = sorted(homed.groupBy("leaf").agg(F.count("*").alias("n"), *ends).collect(), key=lambda r: r["leaf"])  # LEAVES at most
-    tiles = [(r["leaf"], s) for r in boxes for s in range(-(-r["n"] // tile))]
     low = np.array([[r[f"low{i}"] for i in range(lead)] for r in boxes])
     high = np.array([[r[f"high{i}"] for i in range(lead)] for r in boxes])
-    place = {r["leaf"]: k for k, r in enumerate(boxes)}
-    first = {}
-    for k, (leaf, _) in enumerate(tiles):
-        first.setdefault(leaf, k)
-    split = {r["leaf"]: -(-r["n"] // tile) for r in boxes}
-    of_tile = np.array([place[leaf] for leaf, _ in tiles])
+    leaf_of = np.array([r["leaf"] for r in boxes])
+    split = np.array([-(-r["n"] // tile) for r in boxes])
+    first = np.concatenate([[0], np.cumsum(split)[:-1]])  # tiles are numbered leaf by leaf
     reach = 2 * (1 - least) + _SLACK  # squared distance of unit vectors at the threshold
-    known = context.broadcast((low, high, of_tile, first, split))
+    known = context.broadcast((low, high, leaf_of, first, split))
 
     def deal(batches):
         """Each vector once for every pair of its tile with a tile whose box it can reach."""
-        lo, hi, box_of, start, parts = known.value
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        lo, hi, leaves_, start, parts = known.value
+        for batch in slices(batches, "packed", rows=2000):
             y = np.array(batch.column("lead").to_pylist())
-            leaf, rep = batch.column("leaf").to_pylist(), batch.column("rep").to_pylist()
-            own = np.array([start[x] + xxhash.xxh32_intdigest(str(i)) % parts[x] for x, i in zip(leaf, rep)])
+            box = np.searchsorted(leaves_, batch.column("leaf").to_numpy())
+            salt = np.array([xxhash.xxh32_intdigest(str(i)) for i in batch.column("rep").to_pylist()])
+            own = start[box] + salt % parts[box]
             gap = np.zeros((len(y), len(lo)))
             for i in range(y.shape[1]):
                 gap += np.maximum(np.maximum(lo[None, :, i] - y[:, i : i + 1], y[:, i : i + 1] - hi[None, :, i]), 0) ** 2
-            row, other = np.nonzero((gap <= reach)[:, box_of])
+            row, near = np.nonzero(gap <= reach)
+            times = parts[near]
+            step = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+            row, other = np.repeat(row, times), np.repeat(start[near], times) + step
             i, j = np.minimum(own[row], other), np.maximum(own[row], other)
             take = pa.array(row)
             yield pa.RecordBatch.from_arrays(

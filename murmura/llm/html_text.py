@@ -117,9 +117,10 @@ def _tree(page: str) -> tuple[_Node, list[_Node], list[tuple[_Node, str, int]]]:
             if stack[i].tag not in INLINE:
                 return
 
-    at, size = 0, len(page)
+    raw_open = False
+    at, size = 0, page.rfind(">") + 1  # behind that there is only text
     while at < size:
-        found = _TOKEN.search(page, at)
+        found = _TOKEN.search(page, at, size)
         end = found.start() if found else size
         if end > at:
             text = page[at:end]
@@ -131,6 +132,8 @@ def _tree(page: str) -> tuple[_Node, list[_Node], list[tuple[_Node, str, int]]]:
         if not found:
             break
         at = found.end()
+        if found[0].startswith("<!--") and not found[0].endswith("-->"):
+            raw_open = True
         closing, name, attributes = found.group(1, 2, 3) if found.group(2) else found.group(4, 5, 6)
         if not name:
             continue
@@ -146,6 +149,7 @@ def _tree(page: str) -> tuple[_Node, list[_Node], list[tuple[_Node, str, int]]]:
         if name in RAW:
             stop = re.compile(rf"</{re.escape(name)}[^>]*>", re.I).search(page, at)
             at = stop.end() if stop else size
+            raw_open = stop is None
             continue
         if name == "html":
             continue
@@ -175,6 +179,8 @@ def _tree(page: str) -> tuple[_Node, list[_Node], list[tuple[_Node, str, int]]]:
             continue
         nodes.append(node)
         stack.append(node)
+    if not raw_open:
+        held.append(html.unescape(page[size:].partition("<!--")[0]))
     flush()
     return root, nodes, blocks
 
