@@ -315,10 +315,10 @@ def encode(docs: DataFrame, model: str = MODEL, rate: float = RATE, seed: int =
 
     ``lossless`` says that decoding the pieces gave the text back.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(Vocabulary.load(model))
+    vocabulary = Vocabulary.load(model)
 
     def run(batches):
-        codec = Codec(shared.value, rate, seed, variants)
+        codec = Codec(vocabulary, rate, seed, variants)
         for part in slices(batches, rows=1000, limit=2 << 20):
             texts = part.column("text").to_pylist()
             found = codec.encode(texts, part.column("doc_id").to_pylist())
@@ -343,10 +343,10 @@ def encode(docs: DataFrame, model: str = MODEL, rate: float = RATE, seed: int =
 
 def decode(encoded: DataFrame, model: str = MODEL) -> DataFrame:
     """doc_id and the text of its ``pieces``."""
-    shared = encoded.sparkSession.sparkContext.broadcast(Vocabulary.load(model))
+    vocabulary = Vocabulary.load(model)
 
     def run(batches):
-        codec = Codec(shared.value, 0.0)
+        codec = Codec(vocabulary, 0.0)
         for batch in batches:
             texts = [codec.decode(x.values.to_numpy() if x.is_valid else None) for x in batch.column("pieces")]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(texts, pa.string())], ["doc_id", "text"])

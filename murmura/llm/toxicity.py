@@ -316,12 +316,11 @@ def fit(docs: DataFrame, labels: DataFrame, fit_docs: int = FIT_DOCS) -> Field:
     if not samples:
         return Field(share=share)
     model = train_field(samples)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def measure(batches):
         cache: dict = {}
         for part in slices(batches):
-            x = _evidence(*_tokens(shared.value, part.column("text").to_pylist(), cache))
+            x = _evidence(*_tokens(model, part.column("text").to_pylist(), cache))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(x[:, 0]), pa.array(x[:, 1]), part.column("label")], ["peak", "mass", "label"]
             )
@@ -336,12 +335,11 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, fit_docs: int = FIT_DOCS)
 
     ``spans`` lists (start, end, probability) of offending runs in code points.
     """
-    model = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, fit_docs))
+    m = fit(docs, labels, fit_docs)
     span = pa.struct([("start", pa.int32()), ("stop", pa.int32()), ("probability", pa.float64())])
 
     def run(batches):
         cache: dict = {}
-        m = model.value
         for part in slices(batches):
             texts = part.column("text").to_pylist()
             if m.share is not None:

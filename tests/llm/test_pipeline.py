@@ -48,3 +48,21 @@ def test_every_operator_is_registered_once():
     names = [n for n in entry_point.queries() if n.startswith("op")]
     assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
     assert "pipeline" in entry_point.queries()
+
+
+def test_functions_travel_without_the_package(tmp_path):
+    """What tasks get can be opened where this repository is not on the path."""
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+
+    from murmura.llm import html_text, pieces, toxicity
+
+    field = toxicity.Field({b"w:bad": 1.0})
+    parts = [html_text.extract, pieces.Codec, lambda: field.emissions([b"bad"], {}).tolist()]
+    (tmp_path / "parts").write_bytes(cloudpickle.dumps(parts))
+    code = "import pickle; a, b, c = pickle.load(open('parts', 'rb')); print(a('<p>x</p>'), b.__name__, c())"
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    said = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True)
+    assert said.stdout == "x Codec [[1.0, 0.0, 0.0, 0.0]]\n", said.stderr
