@@ -2,12 +2,13 @@
 
 Tokens are runs of letters and digits of the lower-cased text. Fixed masks slide over the tokens; a seed is the
 hash of the tokens that a mask selects, so a substitution under an ignored position does not
-change it. Any 15 tokens with three of them substituted are hit by one mask at least. Seeds of
-documents that may be benchmark seeds (a filter of fixed size, which only ever lets too many through)
+change it. An overlap counts if it has at least 12 tokens, or the whole item where that is shorter, and at
+least 80 % of them are equal. Every such overlap holds a seed: it can be cut down to one of 12 to 23 tokens, and
+any 12 tokens with two substituted, 15 with three and 20 with four are hit by one mask at least; items of fewer than
+12 tokens have masks of their own, for 6 tokens with one substituted and 10 with two. Seeds of documents that may be benchmark seeds (a filter of fixed size, which only ever lets too many through)
 are joined with the benchmark's seeds; each hit names a document, an item and a shift between the two. The texts
-are then compared token by token along that shift: the segment around the hits with the best score (a match
-+1, a substitution -2) counts if it has at least 12 tokens, or the whole item where that is shorter, and
-at least 80 % of its tokens are equal.
+are then compared token by token along that shift, and of all stretches that count, the one with the most equal
+tokens is reported, without substituted tokens at its ends where the least length allows.
 
 The benchmark may have any size: the filter has 8 MB, and seeds, hits and texts meet in joins. Items of
 equal tokens are one item until the end.
@@ -31,8 +32,10 @@ from pyspark.sql import functions as F
 from murmura.llm.common import NO_ID, fresh, run_hashes, settle, slices
 
 #: Selected positions are 1; ignored ones may be substituted.
-MASKS = ("111111", "11101011", "101001000111", "1101100010001")
-LEAST_TOKENS, LEAST_SHARE = 12, 0.8
+MASKS = ("111111", "11101011", "101001000111", "1101100010001", "10011111")
+SHORT_MASKS = ("11111", "101111", "110111", "111011", "111101", "11001011")  # for items of fewer than LEAST_TOKENS
+LEAST_TOKENS, LEAST_ITEM = 12, 6
+LEAST_SHARE = 4, 5  # four fifths
 FILTER_BITS = 26
 _TOKEN = re.compile(r"[^\W_]+")
 
@@ -41,38 +44,43 @@ def tokens(text: str | None) -> list[str]:
     return _TOKEN.findall(text.lower()) if text else []
 
 
-def seeds(words: np.ndarray) -> list[tuple[int, np.ndarray]]:
+def seeds(words: np.ndarray, masks: list[int]) -> list[tuple[int, np.ndarray]]:
     """(mask number, seed hash from each position on) of one run of token hashes."""
-    return [
-        (m, run_hashes(words, len(mask), m + 1, [i for i, x in enumerate(mask) if x == "1"])) for m, mask in enumerate(MASKS)
-    ]
+    every = MASKS + SHORT_MASKS
+    return [(m, run_hashes(words, len(every[m]), m + 1, [i for i, x in enumerate(every[m]) if x == "1"])) for m in masks]
 
 
-def _seeds_of(texts: list[str | None]):
-    """Seeds of many texts at once: (text number, position, seed), none across two texts."""
+def _seeds_of(texts: list[str | None], masks: list[int]):
+    """Seeds of many texts at once: (text number, position, tokens of the text, mask number, seed), none across two texts."""
     lists = [tokens(x) for x in texts]
+    size = np.array([len(x) for x in lists], np.int64)
     starts = np.zeros(len(lists) + 1, np.int64)
-    np.cumsum([len(x) for x in lists], out=starts[1:])
+    np.cumsum(size, out=starts[1:])
     words = np.fromiter(map(xxhash.xxh64_intdigest, (w for x in lists for w in x)), np.uint64, int(starts[-1]))
-    row = np.repeat(np.arange(len(lists)), np.diff(starts))
+    row = np.repeat(np.arange(len(lists)), size)
     left = starts[1:][row] - np.arange(len(words)) if len(words) else np.empty(0, np.int64)
-    for m, hashed in seeds(words):
-        at = np.flatnonzero(left[: len(hashed)] >= len(MASKS[m]))
-        yield row[at], at - starts[row[at]], hashed[at]
+    for m, hashed in seeds(words, masks):
+        at = np.flatnonzero(left[: len(hashed)] >= len((MASKS + SHORT_MASKS)[m]))
+        yield row[at], at - starts[row[at]], size[row[at]], m, hashed[at]
 
 
 def benchmark_seeds(items: DataFrame) -> DataFrame:
-    """(item, item_pos, seed) of every distinct item text."""
+    """(item, item_pos, mask, seed) of every distinct item text, by the masks for its length."""
 
     def run(batches):
         for part in slices(batches):
-            for row, pos, hashed in _seeds_of(part.column("text").to_pylist()):
+            for row, pos, size, m, hashed in _seeds_of(part.column("text").to_pylist(), list(range(len(MASKS + SHORT_MASKS)))):
+                own = size >= LEAST_TOKENS if m < len(MASKS) else (size >= LEAST_ITEM) & (size < LEAST_TOKENS)
+                row, pos, hashed = row[own], pos[own], hashed[own]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("item").take(pa.array(row)), pa.array(pos.astype(np.int32)), pa.array(hashed.view(np.int64))],
-                    ["item", "item_pos", "seed"],
+                    [
+                        part.column("item").take(pa.array(row)), pa.array(pos.astype(np.int32)),
+                        pa.array(np.full(len(row), m, np.int32)), pa.array(hashed.view(np.int64)),
+                    ],
+                    ["item", "item_pos", "mask", "seed"],
                 )
 
-    return items.mapInArrow(run, "item binary, item_pos int, seed long")
+    return items.mapInArrow(run, "item binary, item_pos int, mask int, seed long")
 
 
 def _filter(found: DataFrame) -> np.ndarray:
@@ -96,12 +104,27 @@ def _may_be(hashed: np.ndarray, bits: np.ndarray) -> np.ndarray:
     return found[((bits[high >> np.uint64(6)] >> (high & np.uint64(63))) & np.uint64(1)).astype(bool)]
 
 
-def best_segment(equal: np.ndarray) -> tuple[int, int]:
-    """Start and end of the stretch with the highest score, a match +1 and a substitution -2."""
-    total = np.concatenate([[0], np.cumsum(np.where(equal, 1, -2))])
-    low = np.minimum.accumulate(total)
-    end = int(np.argmax(total - low))
-    return int(np.flatnonzero(total[: end + 1] == low[end])[-1]), end
+def best_stretch(equal: np.ndarray, least: int) -> tuple[int, int] | None:
+    """Start and end of the stretch of at least ``least`` tokens and LEAST_SHARE with the most equal tokens, the first of such.
+
+    For every end the earliest start that keeps the share gives the most equal tokens; earliest starts lie
+    where the prefix sum of the share's surplus reaches a new low.
+    """
+    over, of = LEAST_SHARE
+    same = np.concatenate([[0], np.cumsum(equal)])
+    surplus = of * same - over * np.arange(len(same))
+    start = np.searchsorted(-np.minimum.accumulate(surplus), -surplus, "left")
+    end = np.arange(len(same))
+    found = np.where(end - start >= least, same - same[start], -1)
+    b = int(np.argmax(found))
+    if found[b] <= 0:
+        return None
+    a = int(start[b])
+    while b - a > least and not equal[a]:
+        a += 1
+    while b - a > least and not equal[b - 1]:
+        b -= 1
+    return a, b
 
 
 def overlap(doc: list[str], item: list[str], shift: int) -> tuple[int, int, int] | None:
@@ -110,11 +133,11 @@ def overlap(doc: list[str], item: list[str], shift: int) -> tuple[int, int, int]
     if b <= a:
         return None
     equal = np.array([x == y for x, y in zip(doc[a:b], item[a - shift : b - shift])])
-    start, end = best_segment(equal)
-    n, same = end - start, int(equal[start:end].sum())
-    if n < min(LEAST_TOKENS, len(item)) or same < LEAST_SHARE * n:
+    found = best_stretch(equal, min(LEAST_TOKENS, len(item)))
+    if found is None:
         return None
-    return a + start, n, same
+    start, end = found
+    return a + start, end - start, int(equal[start:end].sum())
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -126,10 +149,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     items = named.groupBy("item").agg(F.first("text").alias("text"))
     known = settle(benchmark_seeds(items), "benchmark-seeds")
     bits = spark.sparkContext.broadcast(_filter(known))
+    masks = sorted(r.mask for r in known.select("mask").distinct().collect())
 
     def run(batches):
         for part in slices(batches):
-            for row, pos, hashed in _seeds_of(part.column("text").to_pylist()):
+            for row, pos, _, _, hashed in _seeds_of(part.column("text").to_pylist(), masks):
                 at = _may_be(hashed, bits.value)
                 if len(at):
                     yield pa.RecordBatch.from_arrays(

@@ -240,6 +240,50 @@ def test_masks_reach_three_substitutions_of_fifteen():
     assert all(any(p.isdisjoint(s) for p in places) for s in combinations(range(15), 3))
 
 
+def holds(equal, least):
+    """The rule itself: some stretch of at least ``least`` tokens has four fifths of them equal; the most equal tokens of such."""
+    n = len(equal)
+    return max((sum(equal[a:b]) for a in range(n) for b in range(a + least, n + 1) if 5 * sum(equal[a:b]) >= 4 * (b - a)), default=0)
+
+
+def test_every_overlap_of_the_rule_counts():
+    from itertools import combinations
+
+    rng = np.random.default_rng(7)
+    cases = [(n, at) for n, k in ((6, 1), (10, 2), (12, 2), (15, 2), (15, 3), (16, 4)) for at in combinations(range(n), k)]
+    cases += [(n, tuple(np.flatnonzero(rng.random(n) < share))) for n in (12, 20, 33, 60) for share in (0.1, 0.2, 0.3) for _ in range(20)]
+    cases.append((72, tuple(range(12, 72, 4))))  # 12 equal tokens, then three of four
+    for n, at in cases:
+        item = [f"q{i}" for i in range(n)]
+        doc = ["x", *("zz" if i in at else w for i, w in enumerate(item)), "y"]
+        hit = decontaminate.overlap(doc, item, 1)
+        most = holds([i not in at for i in range(n)], min(12, n))
+        assert (hit[2] if hit else 0) == most, (n, at)
+        if hit:
+            assert hit[1] >= min(12, n) and 5 * hit[2] >= 4 * hit[1]
+            assert hit[2] == sum(i not in at for i in range(hit[0] - 1, hit[0] - 1 + hit[1]))
+
+
+def test_seeds_reach_every_overlap_of_the_rule():
+    from itertools import combinations
+
+    for masks, n, k in [(decontaminate.MASKS, *x) for x in ((12, 2), (15, 3), (20, 4))] + [(decontaminate.SHORT_MASKS, *x) for x in ((6, 1), (10, 2))]:
+        places = [frozenset(o + i for i, x in enumerate(m) if x == "1") for m in masks for o in range(n + 1 - len(m))]
+        assert all(any(p.isdisjoint(s) for p in places) for s in combinations(range(n), k)), (n, k)
+
+
+def test_substitutions_anywhere_are_reported(spark):
+    cases = [(15, (0, 3)), (15, (0, 3, 14)), (12, (0, 11)), (12, (5, 6)), (12, (3, 8)), (6, (2,)), (7, (3,)), (8, (3,)), (10, (4, 5)), (11, (0, 6)), (72, tuple(range(12, 72, 4)))]
+    items = [[f"w{n}x{i}" for i in range(n)] for n in sorted({n for n, _ in cases})] + [[f"s{i}" for i in range(5)]]
+    whole = {len(x): x for x in items}
+    docs = [" ".join(["a", *("zz" if i in at else w for i, w in enumerate(whole[n])), "b"]) for n, at in cases] + [" ".join(whole[5])]
+    bench = spark.createDataFrame([(len(x), " ".join(x)) for x in items], "item_id long, text string")
+    got = {(r.doc_id, r.item_id, r.n_equal) for r in decontaminate.contaminated(named(spark, docs), bench).collect()}
+    assert got == {(i, n, holds([j not in at for j in range(n)], min(12, n))) for i, (n, at) in enumerate(cases)}
+    before = decontaminate.drop_contaminated(named(spark, docs), bench).collect()
+    assert [r.doc_id for r in before] == [len(cases)]
+
+
 # pieces
 
 ROUND = [
