@@ -3,12 +3,12 @@
 A text is escaped the usual way (a space mark in front, spaces as space marks) and every character is a
 symbol. The agenda holds the neighbouring pairs that form a piece, best score first, then leftmost; a pair
 whose turn comes is skipped for good when its keyed hash falls below the dropout rate. The key is the seed,
-the variant, the word and the place in it, so a run repeats exactly, and different variants
-segment a word differently. Each occurrence of a word takes one of VARIANTS variants by a hash of seed,
-doc_id and its number in the text. A rate of 0 gives the plain segmentation.
+the doc_id, the word's number in the text and the pair's place in the word, so a run repeats exactly, and every
+occurrence of a word has draws of its own. A rate of 0 gives the plain segmentation.
 
 No piece crosses a word boundary (a space mark after another character, a line feed) or a pair of characters
-that no piece contains, so texts are cut there, and each word and variant is encoded once a slice. Short words
+that no piece contains, so texts are cut there. The draws of an occurrence for all pairs that its word can ever
+offer decide its pieces; occurrences of a word with equal draws are encoded once a slice. Short words
 go through their agendas together, one numpy step for all; long ones have a heap each.
 
 Decoding joins the pieces' bytes and is exact for every text: characters without a piece, and the space mark
@@ -26,6 +26,7 @@ import hashlib
 import heapq
 import re
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -36,10 +37,12 @@ from pyspark.sql import functions as F
 from murmura.llm.common import mix64, slices
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-RATE, SEED, VARIANTS = 0.1, 17, 4
+RATE, SEED = 0.1, 17
 MARK, LITERAL = "▁", "\udfff"  # the space mark, and what stands for one in a text
 SHORT = 40  # symbols; longer words take the heap
-CACHE = 250_000  # words kept for each variant
+CACHE = 250_000  # words whose possible merges are kept
+DRAWS, WORDS = 39, 24  # bits for the draws and for the number of a word where occurrences are compared
+OFTEN = 16  # occurrences in a slice from which on comparing costs less than encoding each
 _NONE = np.int32(2**31 - 1)
 _CUT = re.compile(f"{MARK}+[^{MARK}\n]*|\n|[^{MARK}\n]+")
 
@@ -65,8 +68,8 @@ class Vocabulary:
 class Codec:
     """Encodes and decodes with one vocabulary, dropout rate and seed."""
 
-    def __init__(self, vocabulary: Vocabulary, rate: float = RATE, seed: int = SEED, variants: int = VARIANTS):
-        self.rate, self.seed, self.variants = rate, seed, variants if rate > 0 else 1
+    def __init__(self, vocabulary: Vocabulary, rate: float = RATE, seed: int = SEED):
+        self.rate, self.seed = rate, seed
         v = vocabulary
         self.ids = {p: i for i, p in enumerate(v.pieces) if v.kinds[i] == 0}
         self.bytes = {int(p[3:5], 16): i for i, p in enumerate(v.pieces) if v.kinds[i] == 1}
@@ -91,7 +94,10 @@ class Codec:
                 self.by_code[ord(p)] = i
         self._table()
         self.limit = np.uint64(min(int(rate * 2**64), 2**64 - 1))
-        self.cache: list[dict[str, bytes]] = [{} for _ in range(self.variants)]
+        made = set(self.merges.values())
+        self.made = {p: i for p, i in self.ids.items() if i in made}
+        self.longest = max(map(len, self.made), default=0)
+        self.cache: dict[str, list[int]] = {}
 
     def _table(self) -> None:
         """The merges as two hash tables (a key lost to a collision in the first goes to the second) and a rest."""
@@ -127,8 +133,14 @@ class Codec:
         return mix64(key ^ (place.astype(np.uint64) << np.uint64(20) | piece.astype(np.uint64))) < self.limit
 
     def key(self, word: str, variant: int) -> int:
+        """A key for a word outside of a text."""
         return xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"), self.seed * 1009 + variant)
 
+    def keys(self, doc, n: int) -> np.ndarray:
+        """The keys of the ``n`` words of a document."""
+        own = xxhash.xxh64_intdigest("" if doc is None else str(doc), self.seed)
+        return mix64(np.arange(n, dtype=np.uint64) + np.uint64(own))
+
     def _symbols(self, word: str) -> list[int]:
         """Ids of the characters; -1 for those that become bytes."""
         get = self.ids.get
@@ -238,20 +250,20 @@ class Codec:
         return out
 
     def encode_words(self, words: list[str], variant: int) -> list[bytes]:
-        keys = np.array([self.key(w, variant) for w in words], np.uint64)
-        out: list[bytes] = [b""] * len(words)
-        groups: dict[int, list[int]] = {}
-        for i, w in enumerate(words):
-            if len(w) > SHORT:
-                out[i] = self.by_heap(w, int(keys[i]))
-            elif w:
-                groups.setdefault(-(-len(w) // 4), []).append(i)
-        for rows in groups.values():
+        return self.encode_keyed(words, np.array([self.key(w, variant) for w in words], np.uint64))
+
+    def encode_keyed(self, words: list[str], keys: np.ndarray) -> list[bytes]:
+        out = np.full(len(words), b"", object)
+        size = np.fromiter(map(len, words), np.int64, len(words))
+        for i in np.flatnonzero(size > SHORT).tolist():
+            out[i] = self.by_heap(words[i], int(keys[i]))
+        steps = -(-size // 4)
+        for step in range(1, -(-SHORT // 4) + 1):
+            rows = np.flatnonzero((steps == step) & (size <= SHORT))
             for a in range(0, len(rows), 20_000):
                 part = rows[a : a + 20_000]
-                for i, packed in zip(part, self.together([words[i] for i in part], keys[part])):
-                    out[i] = packed
-        return out
+                out[part] = self.together([words[i] for i in part.tolist()], keys[part])
+        return out.tolist()
 
     def cut(self, text: str) -> list[str]:
         """The words of a text, space marks and line feeds included; no piece crosses their ends."""
@@ -273,35 +285,68 @@ class Codec:
                 start = i
         return [*parts, word[start:]]
 
+    def _possible(self, word: str) -> list[int]:
+        """place << 20 | piece of every merge that some draws let the word's agenda offer."""
+        get, n, out = self.made.get, len(word), []
+        for i in range(n - 1):
+            for j in range(i + 2, min(n, i + self.longest) + 1):
+                piece = get(word[i:j])
+                if piece is not None:
+                    out.append(i << 20 | piece)
+        return out
+
+    def _kinds(self, words: list[str], number: np.ndarray, keys: np.ndarray) -> np.ndarray:
+        """A number for each occurrence (of word ``number``, with its key); equal ones have the same word and draws."""
+        if self.rate <= 0:
+            return number.astype(np.uint64)
+        often = np.bincount(number, minlength=len(words))
+        shared = np.fromiter((len(w) <= SHORT for w in words), bool, len(words)) & (np.arange(len(words)) < 1 << WORDS)
+        lists: list[list[int]] = [[]] * len(words)
+        for i in np.flatnonzero(shared & (often > 1)).tolist():
+            found = self.cache.get(words[i])
+            if found is None and often[i] >= OFTEN:
+                if len(self.cache) >= CACHE:
+                    self.cache.clear()
+                found = self.cache[words[i]] = self._possible(words[i])
+            if found is None:
+                shared[i] = False
+            else:
+                lists[i] = found
+        size = np.fromiter(map(len, lists), np.int64, len(lists))
+        start = np.cumsum(size) - size
+        codes = np.fromiter(chain.from_iterable(lists), np.uint64, int(size.sum()))
+        shared &= (often > 1) & (size <= DRAWS)
+        kinds = np.arange(len(number), dtype=np.uint64) | np.uint64(1 << 63)
+        drawn = np.flatnonzero(shared[number])
+        for a in range(0, len(drawn), 50_000):
+            rows = drawn[a : a + 50_000]
+            count = size[number[rows]]
+            first = np.cumsum(count) - count
+            bit = np.arange(int(count.sum())) - np.repeat(first, count)
+            code = codes[np.repeat(start[number[rows]], count) + bit]
+            gone = mix64(np.repeat(keys[rows], count) ^ code) < self.limit
+            draws = np.zeros(len(rows), np.uint64)
+            at = np.flatnonzero(gone)
+            owner = np.repeat(np.arange(len(rows)), count)[at]
+            np.bitwise_or.at(draws, owner, np.uint64(1) << bit[at].astype(np.uint64))
+            kinds[rows] = number[rows].astype(np.uint64) << np.uint64(DRAWS) | draws
+        return kinds
+
     def encode(self, texts: list[str | None], ids: list) -> list[np.ndarray | None]:
         """Piece ids of every text."""
-        jobs, wanted = [], [set() for _ in range(self.variants)]
-        for text, doc in zip(texts, ids):
-            if not text:
-                jobs.append((None, None))
-                continue
-            words = self.cut(text)
-            if self.variants == 1:
-                turns = [0] * len(words)
-            else:
-                own = xxhash.xxh64_intdigest("" if doc is None else str(doc), self.seed)
-                turns = (mix64(np.arange(len(words), dtype=np.uint64) + np.uint64(own)) % np.uint64(self.variants)).tolist()
-            jobs.append((words, turns))
-            for w, t in zip(words, turns):
-                if w not in self.cache[t]:
-                    wanted[t].add(w)
-        for t, missing in enumerate(wanted):
-            if len(self.cache[t]) + len(missing) > CACHE:
-                kept = {w: self.cache[t][w] for words, turns in jobs if words for w, u in zip(words, turns) if u == t and w in self.cache[t]}
-                self.cache[t] = kept
-            missing = list(missing)
-            self.cache[t].update(zip(missing, self.encode_words(missing, t)))
-        out, cache = [], self.cache
-        for text, (words, turns) in zip(texts, jobs):
-            if words is None:
-                out.append(None if text is None else np.empty(0, np.int32))
-            else:
-                out.append(np.frombuffer(b"".join([cache[t][w] for w, t in zip(words, turns)]), np.int32))
+        cuts = [self.cut(text) if text else [] for text in texts]
+        ends = np.cumsum([len(x) for x in cuts]).tolist()
+        flat = list(chain.from_iterable(cuts))
+        numbers = {w: i for i, w in enumerate(dict.fromkeys(flat))}
+        words, number = list(numbers), np.fromiter(map(numbers.__getitem__, flat), np.int64, len(flat))
+        keys = np.concatenate([self.keys(doc, len(x)) for x, doc in zip(cuts, ids)] or [np.empty(0, np.uint64)])
+        _, first, kind = np.unique(self._kinds(words, number, keys), return_index=True, return_inverse=True)
+        packed = self.encode_keyed([flat[i] for i in first.tolist()], keys[first])
+        out, start = [], 0
+        for text, end in zip(texts, ends):
+            found = b"".join(map(packed.__getitem__, kind[start:end].tolist()))
+            out.append(None if text is None else np.frombuffer(found, np.int32))
+            start = end
         return out
 
     def decode(self, ids: np.ndarray | None) -> str | None:
@@ -310,7 +355,7 @@ class Codec:
         return b"".join(map(self.joined.__getitem__, ids.tolist())).decode()[1:]
 
 
-def encode(docs: DataFrame, model: str = MODEL, rate: float = RATE, seed: int = SEED, variants: int = VARIANTS) -> DataFrame:
+def encode(docs: DataFrame, model: str = MODEL, rate: float = RATE, seed: int = SEED) -> DataFrame:
     """doc_id, pieces, n_pieces, pieces_sha256 (of the ids as little-endian 32-bit integers), lossless.
 
     ``lossless`` says that decoding the pieces gave the text back.
@@ -318,7 +363,7 @@ def encode(docs: DataFrame, model: str = MODEL, rate: float = RATE, seed: int =
     vocabulary = Vocabulary.load(model)
 
     def run(batches):
-        codec = Codec(vocabulary, rate, seed, variants)
+        codec = Codec(vocabulary, rate, seed)
         for part in slices(batches, rows=1000, limit=2 << 20):
             texts = part.column("text").to_pylist()
             found = codec.encode(texts, part.column("doc_id").to_pylist())

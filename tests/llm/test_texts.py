@@ -343,3 +343,26 @@ def test_pieces_of_documents(spark, vocabulary):
     back = {r.doc_id: r.text for r in pieces.decode(got).collect()}
     assert back == {**dict(enumerate(ROUND)), None: ROUND[-1]}
     assert pieces.encode(df.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("rate", [0.1, 0.5])
+def test_every_occurrence_has_its_own_draws(vocabulary, rate):
+    codec = pieces.Codec(vocabulary, rate)
+    texts, ids = [*ROUND, "international understanding " * 300, "the internationalization"], [*range(len(ROUND) + 1), None]
+    got = codec.encode(texts, ids)
+    for text, doc, found in zip(texts, ids, got):
+        if text:
+            words = codec.cut(text)
+            one_by_one = [codec.by_heap(w, int(k)) for w, k in zip(words, codec.keys(doc, len(words)))]
+            assert found.tobytes() == b"".join(one_by_one)
+    words = codec.cut(texts[-2])
+    forms = {codec.by_heap(w, int(k)) for w, k in zip(words, codec.keys(ids[-2], len(words))) if w == "▁understanding"}
+    assert len(forms) > 4
+    alone = codec.encode(texts[-2:-1], ids[-2:-1])[0]
+    assert np.array_equal(alone, got[-2])
+
+
+def test_a_frequent_word_takes_more_than_four_forms(vocabulary):
+    codec = pieces.Codec(vocabulary, 0.3)
+    texts = ["understanding"] * 400
+    assert len({x.tobytes() for x in codec.encode(texts, range(400))}) > 8
