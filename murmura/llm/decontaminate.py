@@ -26,7 +26,7 @@ import re
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from murmura.llm.common import NO_ID, fresh, run_hashes, settle, slices
@@ -140,10 +140,16 @@ def overlap(doc: list[str], item: list[str], shift: int) -> tuple[int, int, int]
     return a + start, end - start, int(equal[start:end].sum())
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """doc_id, item_id, start_token, n_tokens, n_equal: a row for each document and item that overlap."""
+def _row_key() -> tuple[Column, Column]:
+    """Id and text digest of a row; rows that share both have the same overlaps."""
+    return F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), F.unhex(F.md5(F.col("text").cast("string")))
+
+
+def _proven(docs: DataFrame, benchmark: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The verified overlaps (doc, key, item, start_token, n_tokens, n_equal), and the benchmark with the ``item`` of each row."""
     spark = docs.sparkSession
-    own = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), F.col("text").cast("string").alias("text"))
+    doc, key = _row_key()
+    own = docs.select(doc.alias("doc"), key.alias("key"), F.col("text").cast("string").alias("text"))
     named = benchmark.select("item_id", F.col("text").cast("string").alias("text")).where("text is not null").withColumn(
         "item", F.unhex(F.md5(F.lower("text"))))
     items = named.groupBy("item").agg(F.first("text").alias("text"))
@@ -157,37 +163,46 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                 at = _may_be(hashed, bits.value)
                 if len(at):
                     yield pa.RecordBatch.from_arrays(
-                        [part.column("doc").take(pa.array(row[at])), pa.array(pos[at].astype(np.int32)), pa.array(hashed[at].view(np.int64))],
-                        ["doc", "pos", "seed"],
+                        [
+                            part.column("doc").take(pa.array(row[at])), part.column("key").take(pa.array(row[at])),
+                            pa.array(pos[at].astype(np.int32)), pa.array(hashed[at].view(np.int64)),
+                        ],
+                        ["doc", "key", "pos", "seed"],
                     )
 
-    hits = own.mapInArrow(run, "doc long, pos int, seed long").join(known, "seed").select(
-        "doc", "item", (F.col("pos") - F.col("item_pos")).alias("shift")).distinct()
+    hits = own.mapInArrow(run, "doc long, key binary, pos int, seed long").join(known, "seed").select(
+        "doc", "key", "item", (F.col("pos") - F.col("item_pos")).alias("shift")).distinct()
     hits = settle(hits, "benchmark-hits")
 
     def verify(batches):
         last, words = None, []
         for part in slices(batches):
             rows = []
-            for doc, text, item, other, shift in zip(*(part.column(x).to_pylist() for x in ("doc", "text", "item", "item_text", "shift"))):
+            for doc, key, text, item, other, shift in zip(*(part.column(x).to_pylist() for x in ("doc", "key", "text", "item", "item_text", "shift"))):
                 if text != last:
                     last, words = text, tokens(text)
                 found = overlap(words, tokens(other), shift)
                 if found:
-                    rows.append((doc, item, *found))
-            columns = list(zip(*rows)) if rows else [()] * 5
-            kinds = [pa.int64(), pa.binary(), pa.int32(), pa.int32(), pa.int32()]
+                    rows.append((doc, key, item, *found))
+            columns = list(zip(*rows)) if rows else [()] * 6
+            kinds = [pa.int64(), pa.binary(), pa.binary(), pa.int32(), pa.int32(), pa.int32()]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(columns, kinds)], ["doc", "item", "start_token", "n_tokens", "n_equal"]
+                [pa.array(c, k) for c, k in zip(columns, kinds)], ["doc", "key", "item", "start_token", "n_tokens", "n_equal"]
             )
 
     proven = (
-        hits.join(items.select("item", F.col("text").alias("item_text")), "item").join(own, "doc")
-        .select("doc", "text", "item", "item_text", "shift")
-        .mapInArrow(verify, "doc long, item binary, start_token int, n_tokens int, n_equal int")
-        .groupBy("doc", "item")
-        .agg(F.max(F.struct("n_equal", F.negative("start_token").alias("back"), "n_tokens")).alias("best"))
+        hits.join(items.select("item", F.col("text").alias("item_text")), "item").join(own, ["doc", "key"])
+        .select("doc", "key", "text", "item", "item_text", "shift")
+        .mapInArrow(verify, "doc long, key binary, item binary, start_token int, n_tokens int, n_equal int")
     )
+    return proven, named
+
+
+def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """doc_id, item_id, start_token, n_tokens, n_equal: a row for each document and item that overlap."""
+    proven, named = _proven(docs, benchmark)
+    proven = proven.groupBy("doc", "item").agg(
+        F.max(F.struct("n_equal", F.negative("start_token").alias("back"), "n_tokens")).alias("best"))
     return proven.join(named.select("item", "item_id"), "item").select(
         F.when(F.col("doc") != NO_ID, F.col("doc")).alias("doc_id"), "item_id",
         F.negative("best.back").alias("start_token"), F.col("best.n_tokens").alias("n_tokens"), F.col("best.n_equal").alias("n_equal"),
@@ -195,10 +210,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` without the documents that overlap with an item; same columns.
-
-    Rows without doc_id cannot be told apart; if one of them overlaps, they all go.
-    """
-    name = fresh(docs, "_gone")
-    gone = contaminated(docs, benchmark).select(F.col("doc_id").alias(name)).distinct()
-    return docs.join(gone, F.col("doc_id").cast("long").eqNullSafe(F.col(name)), "left_anti")
+    """``docs`` without the rows that overlap with an item, each judged by its own text; same columns."""
+    name, digest = fresh(docs, "_gone"), fresh(docs, "_gone_text")
+    doc, key = _row_key()
+    gone = _proven(docs, benchmark)[0].select(F.col("doc").alias(name), F.col("key").alias(digest)).distinct()
+    return docs.join(gone, (doc == F.col(name)) & (key == F.col(digest)), "left_anti")

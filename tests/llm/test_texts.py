@@ -284,6 +284,14 @@ def test_substitutions_anywhere_are_reported(spark):
     assert [r.doc_id for r in before] == [len(cases)]
 
 
+def test_rows_of_one_id_go_by_their_own_text(spark):
+    item = " ".join(f"q{i}" for i in range(20))
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    df = named(spark, [item, "clean", None, "b " + item, "also clean", "x"], [None, None, None, 4, 4, 5])
+    kept = decontaminate.drop_contaminated(df, bench).collect()
+    assert sorted((r.doc_id or -1, r.text or "") for r in kept) == [(-1, ""), (-1, "clean"), (4, "also clean"), (5, "x")]
+
+
 # pieces
 
 ROUND = [
