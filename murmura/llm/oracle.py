@@ -113,10 +113,18 @@ SELECT doc_id, count(*) FILTER (WHERE kind = 'email') AS n_email, count(*) FILTE
 FROM texts LEFT JOIN kept USING (doc_id) GROUP BY doc_id"""
 
 
+EXACT = """WITH texts AS (
+    SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents)
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+       doc_id = max(doc_id) OVER same AS kept, sha256(t) AS text_sha256
+FROM texts WINDOW same AS (PARTITION BY t)"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op3_minhash": MINHASH,
         "op6_embeddings": EMBEDDINGS,
         "op8_pii": _pii(),
         "op9_substrings": SUBSTRINGS,
+        "op12_exact": EXACT,
     }

@@ -10,6 +10,7 @@ import corpus_pipeline
 from murmura.llm import (
     decontaminate,
     embeddings,
+    exact,
     html_text,
     licenses,
     minhash,
@@ -72,6 +73,11 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op12_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Group of equal texts of every document."""
+    return exact.exact_duplicates(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_toxicity": op1_toxicity,
@@ -84,5 +90,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_pii": op8_pii,
         "op9_substrings": op9_substrings,
         "op10_decontaminate": op10_decontaminate,
+        "op12_exact": op12_exact,
         "pipeline": corpus_pipeline.run,
     }
