@@ -113,6 +113,66 @@ SELECT doc_id, count(*) FILTER (WHERE kind = 'email') AS n_email, count(*) FILTE
 FROM texts LEFT JOIN kept USING (doc_id) GROUP BY doc_id"""
 
 
+#: crc32 of an ASCII string ``s``, bit by bit.
+_CRC = """xor(list_reduce([CAST(4294967295 AS BIGINT)] || list_transform(string_split(s, ''), lambda c: CAST(ascii(c) AS BIGINT)),
+    lambda c, b: list_reduce([xor(c, b)] || list_transform(range(8), lambda z: CAST(0 AS BIGINT)),
+        lambda x, z: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)), 4294967295)"""
+
+#: Every path of edits, the best one of each state kept row after row; nothing is final before the last row.
+CONVERSATIONS = rf"""WITH RECURSIVE source AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+           coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS s FROM conversations),
+kinds AS (SELECT *, {_CRC} % 20 AS kind FROM source),
+damaged AS (
+    SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+           CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+           unnest(CASE WHEN kind = 3 THEN [1, 2] ELSE [1] END) AS copy
+    FROM kinds WHERE kind <> 0),
+numbered AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST) AS nth,
+           rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS body FROM damaged),
+faults AS MATERIALIZED (
+    SELECT conv_id, turn, role, text, left(role, 1) AS initial,
+           row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, nth) AS i,
+           CASE WHEN body = '' THEN 'blank' WHEN nth > 1 THEN 'duplicate' WHEN right(body, 1) NOT IN ('.', '!', '?') THEN 'truncated' END AS fault
+    FROM numbered),
+counts AS (
+    SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+           count(*) FILTER (WHERE fault = 'blank') AS blank, count(*) FILTER (WHERE fault = 'duplicate') AS duplicate,
+           count(*) FILTER (WHERE fault = 'truncated') AS truncated FROM faults GROUP BY conv_id),
+pairs AS (SELECT conv_id, lag(initial) OVER (PARTITION BY conv_id ORDER BY i) || initial AS pair FROM faults),
+illegal AS (SELECT conv_id, count(*) AS illegal FROM pairs WHERE pair NOT IN ('su', 'ua', 'au') GROUP BY conv_id),
+written(was, initial, state) AS (VALUES ('', 's', 's'), ('', 'u', 'u'), ('s', 'u', 'u'), ('a', 'u', 'u'), ('u', 'a', 'a')),
+inserted(was, state, cost, edits, made) AS (VALUES
+    ('', '', 0, '', ''), ('s', 's', 0, '', ''), ('u', 'u', 0, '', ''), ('a', 'a', 0, '', ''),
+    ('', 'u', 5, 'I', 'user:' || chr(10)), ('s', 'u', 5, 'I', 'user:' || chr(10)), ('a', 'u', 5, 'I', 'user:' || chr(10)),
+    ('u', 'a', 5, 'I', 'assistant:' || chr(10)), ('', 'a', 10, 'II', 'user:' || chr(10) || 'assistant:' || chr(10)),
+    ('s', 'a', 10, 'II', 'user:' || chr(10) || 'assistant:' || chr(10))),
+edits AS MATERIALIZED (
+    SELECT f.conv_id, f.i, w.was, w.state, CASE WHEN fault = 'truncated' THEN 5 ELSE 0 END AS cost, 'K' AS edit, role || ':' || text || chr(10) AS made
+    FROM faults f JOIN written w USING (initial) WHERE coalesce(fault, '') NOT IN ('blank', 'duplicate')
+    UNION ALL SELECT f.conv_id, f.i, w.was, w.state, 1 + CASE WHEN fault = 'truncated' THEN 5 ELSE 0 END, 'R',
+           CASE w.initial WHEN 'u' THEN 'user' ELSE 'assistant' END || ':' || text || chr(10)
+    FROM faults f JOIN written w ON w.initial <> 's' WHERE coalesce(fault, '') NOT IN ('blank', 'duplicate')
+    UNION ALL SELECT f.conv_id, f.i, s.was, s.was, 2, 'D', '' FROM faults f, (SELECT DISTINCT was FROM inserted) s),
+paths AS (
+    SELECT DISTINCT conv_id, CAST(0 AS BIGINT) AS i, '' AS state, {{'cost': CAST(0 AS BIGINT), 'audit': '', 'made': ''}} AS best FROM conversations
+    UNION ALL
+    SELECT p.conv_id, e.i, e.state, min({{'cost': CAST(p.best.cost + x.cost + e.cost AS BIGINT), 'audit': p.best.audit || x.edits || e.edit,
+           'made': p.best.made || x.made || e.made}})
+    FROM paths p JOIN inserted x ON x.was = p.state
+    JOIN edits e ON e.conv_id IS NOT DISTINCT FROM p.conv_id AND e.i = p.i + 1 AND e.was = x.state
+    GROUP BY p.conv_id, e.i, e.state),
+ends AS (
+    SELECT p.conv_id, min({{'cost': CAST(p.best.cost + x.cost AS BIGINT), 'audit': p.best.audit || x.edits, 'made': p.best.made || x.made}}) AS best
+    FROM paths p LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM p.conv_id JOIN inserted x ON x.was = p.state AND x.state IN ('', 'a')
+    WHERE p.i = coalesce(c.n, 0) GROUP BY p.conv_id)
+SELECT e.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, best.cost AS cost, best.audit AS audit,
+       sha256(CASE WHEN best.made = '' THEN '' ELSE left(best.made, length(best.made) - 1) END) AS repaired_sha256
+FROM ends e LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM e.conv_id
+LEFT JOIN illegal l ON l.conv_id IS NOT DISTINCT FROM e.conv_id"""
+
 EXACT = """WITH texts AS (
     SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents)
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
@@ -126,5 +186,6 @@ def oracle_sql() -> dict[str, str]:
         "op6_embeddings": EMBEDDINGS,
         "op8_pii": _pii(),
         "op9_substrings": SUBSTRINGS,
+        "op11_conversations": CONVERSATIONS,
         "op12_exact": EXACT,
     }

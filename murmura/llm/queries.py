@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 from murmura.llm import (
+    conversations,
     decontaminate,
     embeddings,
     exact,
@@ -73,6 +74,11 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cheapest repair of every conversation after its damage."""
+    return conversations.report(conversations.damage(table(spark, sf_dir, "conversations")), mark="present")
+
+
 def op12_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Group of equal texts of every document."""
     return exact.exact_duplicates(table(spark, sf_dir, "documents"))
@@ -90,6 +96,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_pii": op8_pii,
         "op9_substrings": op9_substrings,
         "op10_decontaminate": op10_decontaminate,
+        "op11_conversations": op11_conversations,
         "op12_exact": op12_exact,
         "pipeline": corpus_pipeline.run,
     }
