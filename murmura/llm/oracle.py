@@ -180,6 +180,35 @@ SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_siz
 FROM texts WINDOW same AS (PARTITION BY t)"""
 
 
+#: Equal words at every distance, stretches of them as islands; of one stretch the smallest period counts.
+RUNS = rf"""WITH source AS (
+    SELECT doc_id, coalesce(CAST(doc_id AS VARCHAR), '') AS s, regexp_extract_all(coalesce(text, ''), '{_WORD}') AS w FROM documents),
+hashed AS (SELECT doc_id, w, len(w) AS n, {_CRC} AS h FROM source),
+placed AS (SELECT *, CASE WHEN n > 0 THEN (h // 10) % n END AS a FROM hashed),
+texts AS MATERIALIZED (
+    SELECT doc_id, n, CASE WHEN h % 10 = 0 AND n > 0 THEN list_transform(range(n), lambda i:
+        CASE WHEN i >= a THEN w[a + (i - a) % (1 + (n - a) // (3 + (h // 10) % 8)) + 1] ELSE w[i + 1] END) ELSE w END AS w FROM placed),
+items AS MATERIALIZED (SELECT doc_id, n, unnest(w) AS word, generate_subscripts(w, 1) - 1 AS i FROM texts),
+pairs AS (
+    SELECT x.doc_id, x.i, y.i - x.i AS q FROM items x JOIN items y ON x.doc_id = y.doc_id AND x.word = y.word
+    WHERE y.i > x.i AND 3 * (y.i - x.i) <= x.n),
+islands AS (SELECT doc_id, i, q, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS g FROM pairs),
+stretches AS (SELECT doc_id, q, min(i) AS start, count(*) + q AS length FROM islands GROUP BY doc_id, q, g
+    HAVING count(*) + q >= greatest(24, 3 * q)),
+runs AS MATERIALIZED (SELECT doc_id, start, length, min(q) AS period FROM stretches GROUP BY doc_id, start, length),
+listed AS (
+    SELECT doc_id, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS spans
+    FROM runs GROUP BY doc_id),
+best AS (
+    SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY CAST(length AS DOUBLE) / period DESC, start, period) AS nth FROM runs),
+gone AS (SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM runs),
+kept AS (
+    SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS rest FROM items ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, start, length, period, 1000 * length // period AS exponent_milli,
+       sha256(coalesce(spans, '')) AS runs_sha256, sha256(coalesce(rest, '')) AS collapsed_sha256
+FROM texts LEFT JOIN listed USING (doc_id) LEFT JOIN (SELECT * FROM best WHERE nth = 1) USING (doc_id) LEFT JOIN kept USING (doc_id)"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op3_minhash": MINHASH,
@@ -188,4 +217,5 @@ def oracle_sql() -> dict[str, str]:
         "op9_substrings": SUBSTRINGS,
         "op11_conversations": CONVERSATIONS,
         "op12_exact": EXACT,
+        "op13_runs": RUNS,
     }

@@ -18,6 +18,7 @@ from murmura.llm import (
     pieces,
     pii,
     quality,
+    runs,
     substrings,
     toxicity,
 )
@@ -84,6 +85,11 @@ def op12_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op13_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of every document after its damage."""
+    return runs.report(table(spark, sf_dir, "documents"), damage=True)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_toxicity": op1_toxicity,
@@ -98,5 +104,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_decontaminate": op10_decontaminate,
         "op11_conversations": op11_conversations,
         "op12_exact": op12_exact,
+        "op13_runs": op13_runs,
         "pipeline": corpus_pipeline.run,
     }
