@@ -39,6 +39,8 @@ NEGATION = -0.5
 
 # Word lists up to this many rows may be put into the plan; about 1 MB of literals.
 INLINE_ROWS = 20_000
+# Lists of fewer words than this are not looked up in a hash set (Spark's own limit).
+SET_SIZE = 11
 # Ways to split the copies of one text, and the occurrences of one word, on the join path.
 COPY_SALT = 1024
 WORD_SALT = 32
@@ -200,7 +202,14 @@ def _mean(terms: str, measure: str) -> Column:
 
 
 def _among(word: Column, words) -> Column:
-    return word.isin(list(words)) if words else F.lit(False)
+    """True where ``word`` is one of ``words``.
+
+    Spark looks a word up in a hash set if the list has more than ten entries and compares it with one after
+    the other if not; inside a lambda that is several times as slow. Texts that no token can be fill short lists up.
+    """
+    if not words:
+        return F.lit(False)
+    return word.isin([*words, *(f" {i}" for i in range(SET_SIZE - len(words)))])
 
 
 def _lookup(entries: dict, kind: str) -> Callable[[Column], Column]:

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,13 +18,16 @@ from murmura.operators.messages import (
     keyword_filter,
     latest_by_id,
     most_recent,
-    newest_batches,
     process_messages,
 )
 from murmura.operators.scoring import WordList, score_sentiment
-from murmura.schemas import BATCH, DATE
+from murmura.schemas import BATCH, CORRUPT, DATE
 from murmura.sources.landing import content_name, if_present, land_messages, read_messages
 from murmura.sources.store import Store
+from murmura.sources.versions import VersionLog
+
+# Ids of a batch that may be sent to its rows: about 10 MB.
+FEW_IDS = 200_000
 
 
 def collect_messages(
@@ -44,49 +49,99 @@ def ingest_batch(
     Of all copies of a message, in this batch and in others, the newest one is kept; a copy
     that another batch stored before is taken out there. So the tables depend on what landed,
     not on how it was cut into batches. A message's ``created_at`` never changes, so its
-    other copies lie in the same date, and only the batch's dates are searched.
+    other copies are looked for among the versions of its creation times.
 
-    Each step replaces what the same batch wrote before, so running a batch
-    again after a failure, at whatever step, ends in the same tables. Returns
+    A ledger names the batches that have begun. Each step replaces what the same batch wrote
+    before, so running a batch again after a failure, at whatever step, ends in the same tables; only
+    then is the log of versions derived anew from the raw messages of the batch's dates. Returns
     the dates the batch touched.
     """
     spark = raw.sparkSession
-    stamped = raw.withColumns(
-        {DATE: F.to_date(instant(F.col("created_at"))), BATCH: F.lit(batch)}
-    )
+    log = VersionLog(spark, store)
+    again = store.started(spark, batch)
     # One row per calendar date of the batch comes to the driver, to name folders.
-    had = _dates(store.read_batch(spark, "raw_tweets", batch))
-    gone = store.replace(stamped, "raw_tweets", [(d, batch) for d in had])
-    dates = _dates(store.read_batch(spark, "raw_tweets", batch)) | had
+    had = _dates(store.read_batch(spark, "raw_tweets", batch)) if again else set()
+    store.note(spark, batch, finished=False)
+    created = instant(F.col("created_at"))
+    stamped = raw.withColumns({DATE: F.to_date(created), BATCH: F.lit(batch)})
+    us = F.unix_micros(created)
+    gone, seen = store.replace(stamped, "raw_tweets", [(d, batch) for d in had], {
+        "rows": F.count(F.lit(1)), "broken": F.count(CORRUPT) if CORRUPT in raw.columns else F.lit(0).cast("long"),
+        "dates": F.collect_set(DATE), "dateless": F.count_if(F.col(DATE).isNull()),
+        "first": F.min(us), "last": F.max(us), "newest": F.max(instant(F.col("collected_at"))),
+    })
+    dates = set(seen["dates"]) | had | ({None} if seen["dateless"] else set())
     if not dates:
+        store.note(spark, batch, finished=True, raw_rows=0, broken_rows=0, messages=0, dates=[])
         return []
     landed = store.read_batch(spark, "raw_tweets", batch, dates)
-    versions = store.read_dates(spark, "raw_tweets", dates)
-    won = newest_batches(versions, landed).where(F.col(BATCH) == batch).select("id")
-    # Repeats are taken out before the text is looked at, so finding them reads ids only.
-    latest = latest_by_id(landed)
-    fresh = latest.join(won, "id", "left_semi").unionByName(latest.where("id IS NULL"))
+    span = None if seen["first"] is None else (seen["first"], seen["last"])
+    if again:
+        log.rebuild(dates)
+    else:
+        log.append(log.compare(landed, dates, span))
+    versions = log.rows(dates, span).where(F.col(BATCH) == batch)
+    won = versions.where("won").select("id")
+    # Two counts and the partitions whose copies were replaced, no more than there are partitions.
+    odd, repeated, replaced = versions.agg(
+        F.count_if(F.expr("NOT won OR copies > 1")), F.count_if(F.expr("won AND copies > 1")),
+        F.collect_set(F.when(F.col("replaced").isNotNull(), F.struct(DATE, "replaced"))),
+    ).first()
+    if again:
+        latest = latest_by_id(landed)
+        fresh = latest.join(won, "id", "left_semi").unionByName(latest.where("id IS NULL"))
+    else:
+        fresh = newest_of_batch(landed, versions, odd, repeated)
     scored = score_sentiment(process_messages(fresh), lexicon).withColumn(BATCH, F.lit(batch))
-    had_messages = _dates(store.read_batch(spark, "processed_tweets", batch, dates))
-    store.replace(scored, "processed_tweets", [(d, batch) for d in had_messages])
+    had_messages = _dates(store.read_batch(spark, "processed_tweets", batch, dates)) if again else set()
+    _, kept = store.replace(
+        scored, "processed_tweets", [(d, batch) for d in had_messages], {"rows": F.count(F.lit(1))}
+    )
 
-    # Batches whose copy of a message is no longer the newest.
-    messages = store.read_dates(spark, "processed_tweets", dates)
-    others = messages.where(F.col(BATCH) != batch)
-    stale = [tuple(r) for r in others.join(won, "id", "left_semi").select(DATE, BATCH).distinct().collect()]
+    # Partitions that hold a copy which is no longer the newest.
+    stale = []
+    if again or replaced:
+        others = (
+            store.read_dates(spark, "processed_tweets", dates).where(F.col(BATCH) != batch) if again
+            else store.read_parts(spark, "processed_tweets", map(tuple, replaced))
+        )
+        stale = [tuple(r) for r in others.join(won, "id", "left_semi").select(DATE, BATCH).distinct().collect()]
     if stale:
-        kept = others.where(F.col(BATCH).isin(sorted({b for _, b in stale}))).join(won, "id", "left_anti")
-        store.replace(kept, "processed_tweets", stale)
+        kept_there = store.read_parts(spark, "processed_tweets", stale).join(won, "id", "left_anti")
+        store.replace(kept_there, "processed_tweets", stale)
 
-    # Only these batches' messages are read; the rollup rows of all others stand.
-    changed = sorted({batch, *(b for _, b in stale)})
-    written = store.read_dates(spark, "processed_tweets", dates).where(F.col(BATCH).isin(changed))
+    # Only these partitions' messages are read; the rollup rows of all others stand.
+    changed = {*stale, *((d, batch) for d in dates)}
+    written = store.read_parts(spark, "processed_tweets", changed)
     named = [*stale, *((d, batch) for d in had_messages)]
     store.replace(sentiment_rollup(written, by=[BATCH]), "sentiment_rollup", named)
     refresh_aggregates(spark, store, dates)
+    log.compact(dates)
+    store.note(
+        spark, batch, finished=True, raw_rows=seen["rows"], broken_rows=seen["broken"], messages=kept["rows"],
+        newest_collected=seen["newest"], dates=sorted(dates, key=str),
+    )
     return sorted(dates - {d for d, _ in gone}, key=str)
 
 
+def newest_of_batch(landed: DataFrame, versions: DataFrame, odd: int, repeated: int) -> DataFrame:
+    """The rows of a batch that are the newest copies of their messages; rows without an id all stay.
+
+    ``versions`` are the batch's ids in the log. Most ids come once and are new. ``odd`` ids lost against a
+    stored copy or came several times, ``repeated`` ones came several times and won. Up to ``FEW_IDS`` odd
+    ids are sent to the rows, which then cross no exchange; beyond that the rows are joined by id.
+    """
+    if not odd:
+        return landed
+    ids = versions.where("NOT won OR copies > 1").select("id", F.col("won").alias("_won"))
+    if odd <= FEW_IDS:
+        ids = F.broadcast(ids)
+    rest = landed.join(ids, "id", "left_anti")
+    if not repeated:
+        return rest
+    return rest.unionByName(latest_by_id(landed.join(ids.where("_won"), "id", "left_semi")))
+
+
 def _dates(df: DataFrame) -> set[dt.date | None]:
     return {row[0] for row in df.select(DATE).distinct().collect()}
 
@@ -110,10 +165,17 @@ def refresh_aggregates(spark: SparkSession, store: Store, dates: Iterable[dt.dat
     A date without rows in an aggregate loses the rows it had there.
     """
     rollup = store.read_dates(spark, "sentiment_rollup", dates)
-    for table, view in views_from_rollup(rollup).items():
+
+    def refresh(table: str, view: DataFrame) -> None:
         had = _dates(store.read_dates(spark, table, dates))
         store.replace(view, table, [(d,) for d in had])
 
+    # Three small jobs that do not depend on each other: let Spark run them at the same time.
+    views = views_from_rollup(rollup)
+    with ThreadPoolExecutor(len(views)) as pool:
+        for done in [pool.submit(inheritable_thread_target(spark)(refresh), t, v) for t, v in views.items()]:
+            done.result()
+
 
 def rebuild_aggregates(spark: SparkSession, store: Store, dates: Iterable[dt.date | None]) -> None:
     """Recompute some dates from their stored messages, rollup included."""

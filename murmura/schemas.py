@@ -56,6 +56,18 @@ ROLLUP = _struct(
      "hot_likes": _BIG, "hot_polarity_sum": _DBL, "hot_polarity_rows": _BIG}
 )
 
+# One row per id and batch: its newest copy there, how many there were, whether it was the newest of all when it
+# came, and the batch whose copy it then replaced.
+VERSIONS = _struct(
+    {"id": _STR, "created_us": _BIG, "collected_at": _TS} | _COUNTS
+    | {BATCH: _STR, "copies": _BIG, "won": T.BooleanType(), "replaced": _STR, DATE: _DAY}
+)
+# What one ingest batch read and kept; finished is false until all its tables are written.
+LEDGER = _struct(
+    {"finished": T.BooleanType(), "raw_rows": _BIG, "broken_rows": _BIG, "files": _BIG, "messages": _BIG,
+     "newest_collected": _TS, "dates": T.ArrayType(_DAY)}
+)
+
 LEXICON = _struct(
     {"word": _STR, "kind": _STR, "polarity": _DBL, "subjectivity": _DBL, "intensity": _DBL}
 )

@@ -6,7 +6,7 @@ import datetime as dt
 from collections.abc import Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import types as T
 
 from murmura import schemas
@@ -23,13 +23,22 @@ TABLES: dict[str, tuple[T.StructType, list[str]]] = {
     "daily_sentiment": (schemas.DAILY, [DATE]),
     "trending_topics": (schemas.TRENDING, [DATE]),
 }
+# What the ingest keeps for itself; not in the catalog.
+INTERNAL: dict[str, tuple[T.StructType, list[str]]] = {
+    "ingest_batches": (schemas.LEDGER, [BATCH]),
+}
 
 
 @dataclass(frozen=True)
 class Store:
-    """All tables below one root folder."""
+    """All tables below one root folder.
+
+    ``id_buckets`` is how many ways the log of message versions is split by id; it belongs to the
+    folder, so use one value for all its readers. A hundred million ids a day want a few hundred.
+    """
 
     root: str
+    id_buckets: int = 4
 
     def path(self, table: str) -> str:
         return f"{self.root.rstrip('/')}/{table}"
@@ -50,6 +59,31 @@ class Store:
         listed = "*" if dates is None else "{" + ",".join(sorted({_folder(d) for d in dates})) + "}"
         return self._load(spark, table, f"{self.path(table)}/{DATE}={listed}/{BATCH}={batch}")
 
+    def read_parts(self, spark: SparkSession, table: str, parts: Iterable[tuple]) -> DataFrame:
+        """The rows of the named (date, batch) partitions; only their folders are listed."""
+        columns, keys = TABLES[table]
+        schema = partitioned(columns, *keys)
+        listed: dict[str, list[str]] = {}
+        for date, batch in parts:
+            listed.setdefault(batch, []).append(_folder(date))
+        out = None
+        for batch, folders in sorted(listed.items()):
+            path = f"{self.path(table)}/{DATE}={{{','.join(sorted(folders))}}}/{BATCH}={batch}"
+            found = self._load(spark, table, path)
+            out = found if out is None else out.unionByName(found)
+        return spark.createDataFrame([], schema) if out is None else out
+
+    def started(self, spark: SparkSession, batch: str) -> bool:
+        """True when an ingest batch of this name has begun before, whether or not it ended."""
+        path = f"{self.path('ingest_batches')}/{BATCH}={batch}"
+        return not self._load(spark, "ingest_batches", path).isEmpty()
+
+    def note(self, spark: SparkSession, batch: str, finished: bool, **figures) -> None:
+        """Write the ledger row of one batch in place of the one before."""
+        row = [{"finished": finished, **figures}.get(f.name) for f in schemas.LEDGER.fields]
+        path = f"{self.path('ingest_batches')}/{BATCH}={batch}"
+        spark.createDataFrame([row], schemas.LEDGER).coalesce(1).write.mode("overwrite").parquet(path)
+
     def clear(self, spark: SparkSession, table: str, *values) -> None:
         """Empty one partition: an empty file takes the place of its rows."""
         columns, keys = TABLES[table]
@@ -60,22 +94,23 @@ class Store:
         empty = spark.createDataFrame([], rest).coalesce(1)
         empty.write.mode("overwrite").parquet(f"{self.path(table)}/{folder}")
 
-    def replace(self, df: DataFrame, table: str, named: Iterable[tuple]) -> set[tuple]:
+    def replace(self, df: DataFrame, table: str, named: Iterable[tuple], metrics: dict[str, Column] | None = None):
         """Replace the partitions ``df`` has rows for, and empty those of ``named`` it has none for.
 
         ``named`` lists partitions that hold earlier results. Only where there are any is ``df``
-        asked which ones it still has. Returns the partitions that became empty.
+        asked which ones it still has. Returns the partitions that became empty, and with ``metrics``
+        (name to aggregate) also their values over what was written.
         """
         keys = TABLES[table][1]
         named = {tuple(n) for n in named}
         kept = {tuple(r) for r in df.select(*keys).distinct().collect()} if named else set()
-        overwrite_partitions(df, self.path(table), keys)
+        seen = overwrite_partitions(df, self.path(table), keys, metrics)
         for values in named - kept:
             self.clear(df.sparkSession, table, *values)
-        return named - kept
+        return named - kept if metrics is None else (named - kept, seen)
 
     def _load(self, spark: SparkSession, table: str, path: str) -> DataFrame:
-        columns, keys = TABLES[table]
+        columns, keys = (TABLES | INTERNAL)[table]
         schema = partitioned(columns, *keys)
         reader = spark.read.schema(schema).option("basePath", self.path(table))
         found = if_present(lambda: reader.parquet(path))
@@ -91,15 +126,25 @@ def append_messages(df: DataFrame, path: str, mode: str = "append") -> None:
     _balanced(df, [DATE]).write.mode(mode).partitionBy(DATE).parquet(path)
 
 
-def overwrite_partitions(df: DataFrame, path: str, keys: list[str]) -> None:
-    """Replace exactly the partitions ``df`` has rows for; all others stay."""
+def overwrite_partitions(
+    df: DataFrame, path: str, keys: list[str], metrics: dict[str, Column] | None = None
+) -> dict:
+    """Replace exactly the partitions ``df`` has rows for; all others stay.
+
+    ``metrics`` are observed as the rows are written, without a second pass. They sit behind
+    the exchange, in the tasks that write: a shuffle stage that runs again after a lost
+    executor would count its rows twice.
+    """
+    rows, seen = _balanced(df, keys), Observation()
+    if metrics:
+        rows = rows.observe(seen, *[c.alias(n) for n, c in metrics.items()])
     (
-        _balanced(df, keys)
-        .write.mode("overwrite")
+        rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*keys)
         .parquet(path)
     )
+    return seen.get if metrics else {}
 
 
 def _balanced(df: DataFrame, keys: list[str]) -> DataFrame:
