@@ -42,12 +42,12 @@ LEXICON = (
 )
 
 
-def scores(source: str, key: str) -> str:
+def scores(source: str, key: str, lexicon: str = LEXICON) -> str:
     """CTEs ending in ``scores(key, polarity, subjectivity)`` for texts of ``source``.
 
     Term scores are added up in text order, so sums come out the same to the last bit.
     """
-    return f"""{LEXICON},
+    return f"""{lexicon},
 token_lists AS (
     SELECT {key}, regexp_extract_all(lower({cleaned('text')}), '\\p{{L}}+(?:''\\p{{L}}+)*|!') AS t
     FROM {source}),
@@ -120,7 +120,8 @@ HOURLY_PIVOT = """SELECT tweet_date, tweet_hour,
     CAST(sum(CASE WHEN sentiment_label = 'negative' THEN tweet_count ELSE 0 END) AS BIGINT) AS negative_count,
     CAST(sum(CASE WHEN sentiment_label = 'neutral' THEN tweet_count ELSE 0 END) AS BIGINT) AS neutral_count,
     CAST(sum(tweet_count) AS BIGINT) AS total_count
-FROM hourly {where} GROUP BY tweet_date, tweet_hour ORDER BY tweet_date DESC, tweet_hour"""
+FROM hourly {where} GROUP BY tweet_date, tweet_hour ORDER BY {order}"""
+DATE_HOUR = "tweet_date DESC, tweet_hour"
 TRENDS = f"""SELECT tweet_date, sentiment_label, tweet_count,
     round(avg_polarity + 1e-12, 9) AS avg_polarity,
     {CATEGORY} AS sentiment_category
@@ -221,11 +222,11 @@ def oracle_sql() -> dict[str, str]:
                 FROM scored GROUP BY tweet_date, tweet_hour, sentiment_label""",
         ),
         "sentiment_trends": _with(*daily, select=TRENDS.format(days=days(7))),
-        "hourly_trends": _with(*hourly, select=HOURLY_PIVOT.format(where="")),
+        "hourly_trends": _with(*hourly, select=HOURLY_PIVOT.format(where="", order=DATE_HOUR + " DESC")),
         "hourly_trends_for_date": _with(
-            *hourly, select=HOURLY_PIVOT.format(where=f"WHERE tweet_date = DATE '{ONE_DATE}'")
+            *hourly, select=HOURLY_PIVOT.format(where=f"WHERE tweet_date = DATE '{ONE_DATE}'", order="tweet_hour")
         ),
-        "hourly_last_7_days": _with(*hourly, select=HOURLY_PIVOT.format(where=f"WHERE {days(6)}")),
+        "hourly_last_7_days": _with(*hourly, select=HOURLY_PIVOT.format(where=f"WHERE {days(6)}", order=DATE_HOUR)),
         "total_count": _with(*full, select="SELECT count(*) AS total FROM scored"),
         "label_distribution": _with(
             *full,
@@ -277,7 +278,7 @@ def oracle_sql() -> dict[str, str]:
         "stored_trending_topics": _with(*full, select=TRENDING),
         "catalog_sentiment_trends": _with(*daily, select=TRENDS.format(days=days(7))),
         "export_trends": _with(*daily, select=TRENDS.format(days=days(30))),
-        "catalog_hourly_trends": _with(*hourly, select=HOURLY_PIVOT.format(where="")),
+        "catalog_hourly_trends": _with(*hourly, select=HOURLY_PIVOT.format(where="", order=DATE_HOUR)),
         "dashboard_job": _with(*full, select=DATASET),
         "summary_job": _with(*full, select=SUMMARY),
         "freshness": _with(
@@ -306,5 +307,61 @@ def oracle_sql() -> dict[str, str]:
     again = (MESSAGES, recollected, """newest AS (SELECT * FROM recollected
         QUALIFY row_number() OVER (PARTITION BY id ORDER BY collected_at DESC) = 1)""",
         PROCESSED.replace("FROM messages", "FROM newest"), SCORED, DAILY)
+    large = LEXICON.replace("lexicon(", "own(", 1) + """,
+words AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[a-z]{4,}')) AS word FROM documents),
+lexicon AS (
+    SELECT * FROM own UNION ALL
+    SELECT word, 'term', CAST((ascii(word) * 7 + length(word)) % 21 - 10 AS DOUBLE) / 10.0::DOUBLE,
+           CAST(length(word) % 5 AS DOUBLE) / 4.0::DOUBLE, NULL
+    FROM words WHERE word NOT IN (SELECT word FROM own))"""
+    sql["stream_scores_large_list"] = _with(
+        *base, scores("processed", "id", large), labelled("processed", "id", "scored"),
+        select="SELECT id, round(polarity + 1e-12, 9) AS polarity, round(subjectivity + 1e-12, 9) AS subjectivity, "
+        "sentiment_label, round(confidence + 1e-12, 9) AS confidence FROM scored",
+    )
+    sql["stream_hourly_reconciled"] = sql["stream_hourly"]
+    sql["stream_lag"] = _with(
+        MESSAGES,
+        select="""SELECT CAST(id AS BIGINT) % 4 AS batch_number, count(*) AS input_rows, count(*) AS raw_rows,
+            CAST(1 AS BIGINT) AS files, 3 - CAST(id AS BIGINT) % 4 AS backlog_files, max(collected_at) AS newest_collected,
+            TRUE AS timed FROM messages GROUP BY CAST(id AS BIGINT) % 4""",
+    )
+    sql["quarantine_roundtrip"] = _with(
+        *daily, select=DAILY_SELECT.replace(" FROM daily", ", CAST(0 AS BIGINT) AS still_broken FROM daily")
+    )
+    collected = (
+        f"collected AS (SELECT * FROM messages WHERE {has_keyword('text')})",
+        PROCESSED.replace("FROM messages", "FROM collected"), SCORED, DAILY,
+    )
+    sql["run_all_resumed"] = _with(MESSAGES, *collected, select=TRENDS.format(days=days(7)))
+    sql["keyword_search_indexed"] = sql["keyword_filter"]
+    sql["scorer_hook"] = _with(
+        *full,
+        select="SELECT id, round(polarity + 1e-12, 9) AS polarity, round(subjectivity + 1e-12, 9) AS subjectivity FROM scored",
+    )
+    for name, query, order in (
+        ("ordered_trends", "sentiment_trends", "tweet_date DESC, sentiment_label"),
+        ("ordered_hours", "hourly_trends_for_date", "tweet_hour"),
+        ("ordered_hourly_view", "hourly_trends", "tweet_date DESC, tweet_hour DESC"),
+        ("ordered_dataset", "dashboard_dataset", "tweet_date DESC, tweet_hour DESC, sentiment_label"),
+    ):
+        sql[name] = f"SELECT *, row_number() OVER (ORDER BY {order}) AS position FROM ({sql[query]})"
+    sql["analyze_missing_texts"] = sql["batch_analyze"].replace(
+        "SELECT *, row_number() OVER () AS n FROM conversations",
+        "SELECT * REPLACE (CASE WHEN turn % 3 <> 1 THEN text END AS text), row_number() OVER () AS n FROM conversations",
+    )
+    sql["single_message"] = _with(
+        *full,
+        select="SELECT round(polarity + 1e-12, 9) AS polarity, round(subjectivity + 1e-12, 9) AS subjectivity, "
+        "sentiment_label, round(confidence + 1e-12, 9) AS confidence FROM scored ORDER BY created_at DESC, id LIMIT 1",
+    )
+    sql["export_hours"] = sql["hourly_last_7_days"]
+    sql["export_summary"] = sql["summary_stats"]
+    sql["dashboard_trends"] = sql["sentiment_trends"]
+    sql["json_report"] = _with(
+        *base,
+        select="SELECT 3600.0::DOUBLE AS age_seconds, TRUE AS data_freshness, (SELECT count(*) FROM messages) AS raw_tweets_rows, "
+        "(SELECT count(*) FROM processed) AS processed_tweets_rows",
+    )
     sql["ingest_recollected"] = sql["ingest_recollected_at_once"] = _with(*again, select=DAILY_SELECT)
     return sql

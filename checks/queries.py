@@ -5,7 +5,8 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks.messages import lexicon, messages, table
@@ -19,9 +20,11 @@ from murmura.operators.messages import (
     most_recent,
     process_messages,
 )
-from murmura.operators.scoring import batch_analyze, score_sentiment
-from murmura.plans.dashboard import export_dataset, export_extracts, refresh_dashboard
-from murmura.plans.health import health_report, message_freshness
+from murmura.operators.ordering import with_position
+from murmura.operators.scoring import analyze_text, batch_analyze, register_scorer, score_sentiment
+from murmura.operators.search import search_index, write_index
+from murmura.plans.dashboard import export_dataset, export_extracts, refresh_dashboard, run_all
+from murmura.plans.health import health_report, message_freshness, save_health_report
 from murmura.plans.ingest import collect_messages, ingest_file, rebuild_aggregates
 from murmura.schemas import COUNTERS, DATE
 from murmura.session import pin_utc, scratch_dir
@@ -33,6 +36,7 @@ from murmura.sources.landing import (
     read_records,
     stream_messages,
 )
+from murmura.sources.quarantine import quarantined, release
 from murmura.sources.store import (
     Store,
     append_messages,
@@ -43,7 +47,9 @@ from murmura.sources.store import (
     write_csv,
 )
 from murmura.streaming.ingest import ingest_landing
+from murmura.streaming.lag import record_progress, stream_lag
 from murmura.streaming.live import hourly_counts, unique_by_id
+from murmura.streaming.reconcile import published_hours, reconciled_hours
 
 # Parameters of the registered queries; the data covers January 2024.
 AS_OF = dt.date(2024, 1, 30)
@@ -366,6 +372,190 @@ def health(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports[0].unionByName(reports[1])
 
 
+def _words_of_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A list too large to travel with the plan: the test words, and a made-up value for every word of the documents."""
+    words = table(spark, sf_dir, "documents").select(
+        F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{4,}"), F.lit(0))).alias("word")
+    ).distinct()
+    first, own = F.ascii("word"), lexicon(spark)
+    made = words.join(own.select("word"), "word", "left_anti").select(
+        "word", F.lit("term").alias("kind"),
+        ((F.pmod(first * 7 + F.length("word"), F.lit(21)) - 10) / F.lit(10.0)).alias("polarity"),
+        (F.pmod(F.length("word"), F.lit(5)) / F.lit(4.0)).alias("subjectivity"),
+        F.lit(None).cast("double").alias("intensity"),
+    )
+    return own.unionByName(made)
+
+
+def stream_large_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stream ingest with a word list that has to be joined."""
+    words = settled_copy(_words_of_documents(spark, sf_dir), scratch_dir(spark, "words"))
+    root = scratch_dir(spark, "large-list")
+    land_messages(messages(spark, sf_dir), f"{root}/landing")
+    store = Store(f"{root}/tables")
+    ingest_landing(
+        spark, f"{root}/landing", store, f"{root}/checkpoint", lexicon=words, joined=True
+    ).awaitTermination()
+    return plain(_scores(store.read(spark, "processed_tweets")))
+
+
+def with_late_files(spark: SparkSession, sf_dir: str) -> tuple[str, int]:
+    """A landing folder in order of time but for every seventh message, which lands last; files a round."""
+    landing, files = scratch_dir(spark, "late"), spark.sparkContext.defaultParallelism
+    rows = messages(spark, sf_dir)
+    late = F.pmod(F.xxhash64("id"), F.lit(7)) == 0
+    middle = rows.select(F.unix_micros("created_at").alias("t")).approxQuantile("t", [0.5], 0.01)[0]
+    first = F.unix_micros("created_at") < F.lit(int(middle))
+    for part in (~late & first, ~late & ~first, late):
+        land_messages(rows.where(part).repartition(files), landing)
+    return landing, files
+
+
+def stream_reconciled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly counts of closed hours when a seventh of the messages comes after its hour was published."""
+    landing, files = with_late_files(spark, sf_dir)
+    live = score_sentiment(process_messages(stream_messages(spark, landing, files_per_batch=files)), lexicon(spark))
+    root = scratch_dir(spark, "reconciled")
+    reconciled_hours(live, f"{root}/tables", f"{root}/checkpoint", 3600).awaitTermination()
+    return published_hours(spark, f"{root}/tables")
+
+
+def lag(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What an ingest of four files, one a batch, reports of itself; the times it took are left out."""
+    root = scratch_dir(spark, "lag")
+    rows = messages(spark, sf_dir)
+    for quarter in range(4):
+        part = rows.where(F.pmod(F.col("id").cast("long"), F.lit(4)) == quarter)
+        land_messages(part.coalesce(1), f"{root}/landing")
+    store = Store(f"{root}/tables")
+    query = ingest_landing(
+        spark, f"{root}/landing", store, f"{root}/checkpoint", lexicon=lexicon(spark), files_per_batch=1
+    )
+    query.awaitTermination()
+    for _ in range(2):
+        record_progress(query, store)
+    return plain(stream_lag(spark, store, f"{root}/landing").select(
+        "batch_number", "input_rows", "raw_rows", "files", "backlog_files", "newest_collected",
+        (F.col("batch_seconds") > 0).alias("timed"),
+    ))
+
+
+def quarantine_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Purchases land cut off; their lines are set aside, mended, landed again and ingested."""
+    root = scratch_dir(spark, "quarantine")
+    landing, store = f"{root}/landing", Store(f"{root}/tables")
+    rows = messages(spark, sf_dir)
+    bought = table(spark, sf_dir, "events").where("event_type = 'purchase'")
+    ids = bought.select(F.col("event_id").cast("string").alias("id"))
+    land_messages(rows.join(ids, "id", "left_anti"), landing)
+    cut = rows.join(ids, "id", "left_semi").select(
+        F.to_json(F.struct(*rows.columns), {"timestampFormat": LANDED_TIME}).alias("line")
+    )
+    cut.select(F.expr("left(line, length(line) - 1)").alias("value")).write.mode("append").text(landing)
+
+    def ingest():
+        ingest_landing(spark, landing, store, f"{root}/checkpoint", lexicon=lexicon(spark)).awaitTermination()
+
+    ingest()
+    release(spark, store, landing, lambda line: F.concat(line, F.lit("}")), "first")
+    ingest()
+    days = store.read(spark, "daily_sentiment")
+    # Lines that are still set aside, as a count on every row.
+    return plain(days.withColumn("still_broken", quarantined(spark, store).agg(F.count("*")).scalar()))
+
+
+class _Stopped(Store):
+    """A store whose second write of one table fails, as if the driver were lost between two steps."""
+
+    def replace(self, df, table, named, metrics=None):
+        if table == "sentiment_rollup" and self.read(df.sparkSession, table).limit(1).count():
+            raise RuntimeError("stopped between two steps")
+        return super().replace(df, table, named, metrics)
+
+
+def run_all_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole run on an interval, stopped between two writes of its second batch and gone on with."""
+    root = scratch_dir(spark, "resumed")
+    landing, checkpoint, out = f"{root}/landing", f"{root}/checkpoint", f"{root}/out"
+    nested = messages(spark, sf_dir).select(
+        "id", "text", "created_at", "author_id", "lang", F.struct(*COUNTERS).alias("public_metrics")
+    )
+    collect_messages(nested, landing, KEYWORDS)
+    files = len(read_messages(spark, landing).inputFiles())
+    query = ingest_landing(
+        spark, landing, _Stopped(f"{root}/tables"), checkpoint, 1, lexicon(spark), files_per_batch=-(-files // 3)
+    )
+    try:
+        query.processAllAvailable()
+        raise AssertionError("the run was not stopped")
+    except StreamingQueryException:
+        pass
+    store = Store(f"{root}/tables")
+    run_all(nested.where("false"), landing, store, checkpoint, out, KEYWORDS, as_of=AS_OF, lexicon=lexicon(spark))
+    columns = (
+        f"{DATE} DATE, sentiment_label STRING, tweet_count BIGINT, avg_polarity DOUBLE, sentiment_category STRING"
+    )
+    return plain(spark.read.option("header", True).schema(columns).csv(f"{out}/sentiment_trends"))
+
+
+def indexed_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The keyword search by way of a token index."""
+    path, rows = scratch_dir(spark, "index"), messages(spark, sf_dir)
+    write_index(rows, path)
+    return plain(search_index(spark.read.parquet(path), rows, KEYWORDS))
+
+
+def scorer_hook(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores by the SQL function, over a view of the cleaned messages."""
+    register_scorer(spark, lexicon(spark), "sentiment")
+    rows = processed(spark, sf_dir).select("id", clean_text(F.col("text")).alias("cleaned_text"))
+    rows.createOrReplaceTempView("cleaned_messages")
+    scores = execute_query(spark, "SELECT id, s.* FROM (SELECT id, sentiment(cleaned_text) AS s FROM cleaned_messages)")
+    return plain(scores)
+
+
+def ordered(build: Callable[[SparkSession, str], DataFrame], *order: Column) -> Callable[[SparkSession, str], DataFrame]:
+    """A result with each row's position, so that its order can be compared."""
+    return lambda spark, sf_dir: with_position(build(spark, sf_dir), *order)
+
+
+def analyze_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scoring where every third text is missing."""
+    turns = table(spark, sf_dir, "conversations")
+    return plain(batch_analyze(turns.withColumn("text", F.when(F.col("turn") % 3 != 1, F.col("text"))), lexicon(spark)))
+
+
+def single_message(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest message, scored by itself."""
+    newest = most_recent(processed(spark, sf_dir), 1).first()
+    return plain(analyze_text(spark, newest["text"], lexicon(spark)).drop("cleaned_text"))
+
+
+def _extract(name: str, columns: str, job) -> Callable[[SparkSession, str], DataFrame]:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        store, _ = stored(spark, sf_dir)
+        out = scratch_dir(spark, name)
+        job(spark, store, out, AS_OF)
+        return spark.read.option("header", True).schema(columns).csv(f"{out}/{name}")
+
+    return run
+
+
+_TRENDS = f"{DATE} DATE, sentiment_label STRING, tweet_count BIGINT, avg_polarity DOUBLE, sentiment_category STRING"
+_HOURS = f"{DATE} DATE, tweet_hour INT, positive_count BIGINT, negative_count BIGINT, neutral_count BIGINT, total_count BIGINT"
+_TOTALS = "total BIGINT, metric_type STRING, sentiment_label STRING, count BIGINT, avg_sentiment DOUBLE"
+
+
+def saved_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The health report as its JSON line says."""
+    store, landing = stored(spark, sf_dir)
+    folder = scratch_dir(spark, "report")
+    newest = newest_file_time(spark, landing).first()["newest"]
+    save_health_report(health_report(spark, landing, store, newest + dt.timedelta(hours=1)), folder)
+    kinds = "age_seconds DOUBLE, data_freshness BOOLEAN, raw_tweets_rows BIGINT, processed_tweets_rows BIGINT"
+    return spark.read.schema(kinds).json(folder).withColumn("age_seconds", F.round("age_seconds", 3))
+
+
 def _run_stream(spark: SparkSession, stream: DataFrame, name: str) -> DataFrame:
     """Run a stream over what is there into Parquet and read the result."""
     root = scratch_dir(spark, name)
@@ -486,4 +676,26 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     # Streams
     q["stream_dedup"] = stream_dedup
     q["stream_hourly"] = stream_hourly
+    q["stream_hourly_reconciled"] = stream_reconciled
+    q["stream_scores_large_list"] = stream_large_list
+    q["stream_lag"] = lag
+    q["quarantine_roundtrip"] = quarantine_roundtrip
+    q["run_all_resumed"] = run_all_resumed
+
+    # Search, order, SQL function
+    q["keyword_search_indexed"] = indexed_search
+    q["scorer_hook"] = scorer_hook
+    date, hour, label = F.col(DATE), F.col("tweet_hour"), F.col("sentiment_label")
+    q["ordered_trends"] = ordered(q["sentiment_trends"], date.desc(), label.asc())
+    q["ordered_hours"] = ordered(q["hourly_trends_for_date"], hour.asc())
+    q["ordered_hourly_view"] = ordered(q["hourly_trends"], date.desc(), hour.desc())
+    q["ordered_dataset"] = ordered(q["dashboard_dataset"], date.desc(), hour.desc(), label.asc())
+
+    # Missing texts, single messages, the other files of the jobs
+    q["analyze_missing_texts"] = analyze_with_gaps
+    q["single_message"] = single_message
+    q["export_hours"] = _extract("hourly_trends", _HOURS, export_extracts)
+    q["export_summary"] = lambda s, d: _summary(_extract("summary_stats", _TOTALS, export_extracts)(s, d))
+    q["dashboard_trends"] = lambda s, d: plain(_extract("sentiment_trends", _TRENDS, refresh_dashboard)(s, d))
+    q["json_report"] = saved_report
     return q

@@ -12,6 +12,7 @@ from murmura.operators.messages import DEFAULT_KEYWORDS
 from murmura.plans.ingest import collect_messages
 from murmura.sources.store import Store, write_csv
 from murmura.streaming.ingest import ingest_landing
+from murmura.streaming.lag import record_progress
 
 
 def refresh_dashboard(spark: SparkSession, store: Store, out: str, as_of: AsOf = None) -> None:
@@ -59,11 +60,13 @@ def run_all(
     max_results: int | None = None,
     as_of: AsOf = None,
     lexicon: DataFrame | None = None,
+    joined: bool = False,
 ) -> None:
     """Collect, ingest what has landed, refresh the dashboard."""
     spark = records.sparkSession
     collect_messages(records, landing, keywords, max_results)
-    query = ingest_landing(spark, landing, store, checkpoint, lexicon=lexicon)
+    query = ingest_landing(spark, landing, store, checkpoint, lexicon=lexicon, joined=joined)
     if query is not None:
         query.awaitTermination()
+        record_progress(query, store)
     refresh_dashboard(spark, store, out, as_of)

@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from murmura.schemas import BATCH
 from murmura.sources.landing import newest_file_time
 from murmura.sources.store import Store, write_json_report
 
@@ -50,17 +51,29 @@ def health_report(
     as_of: dt.datetime | None = None,
     limit: int = STALE_AFTER_SECONDS,
 ) -> DataFrame:
-    """One row: freshness of the landing folder and the size of the stored tables."""
+    """One row: freshness of the landing folder and the size of the stored tables.
+
+    Sizes come from what the ingest noted: the ledger has a batch's raw rows as it wrote them, the rollup the
+    stored messages by hour and label. No message is read or counted again.
+    """
     fresh = landing_freshness(spark, landing, as_of, limit).select(
         _now(as_of).alias("timestamp"),
         F.col("newest").alias("newest_file"),
         "age_seconds",
         F.col("is_fresh").alias("data_freshness"),
     )
-    for table in ("raw_tweets", "processed_tweets"):
-        rows = store.read(spark, table).agg(F.count("*"))
-        fresh = fresh.withColumn(f"{table}_rows", rows.scalar())
-    return fresh
+    noted = {
+        "raw_tweets_rows": store.read(spark, "ingest_batches").agg(F.coalesce(F.sum("raw_rows"), F.lit(0))),
+        "processed_tweets_rows": store.read(spark, "sentiment_rollup").agg(F.coalesce(F.sum("messages"), F.lit(0))),
+    }
+    return fresh.withColumns({name: rows.scalar() for name, rows in noted.items()})
+
+
+def batch_report(spark: SparkSession, store: Store) -> DataFrame:
+    """One row per ingest batch: whether it ended, and what it read, could not read and kept."""
+    return store.read(spark, "ingest_batches").select(
+        BATCH, "finished", "raw_rows", "broken_rows", "messages", "newest_collected", F.size("dates").alias("dates")
+    )
 
 
 def save_health_report(report: DataFrame, folder: str) -> None:

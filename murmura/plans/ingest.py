@@ -7,7 +7,7 @@ from collections.abc import Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from murmura.functions.dates import instant
@@ -23,7 +23,7 @@ from murmura.operators.messages import (
 from murmura.operators.scoring import WordList, score_sentiment
 from murmura.schemas import BATCH, CORRUPT, DATE
 from murmura.sources.landing import content_name, if_present, land_messages, read_messages
-from murmura.sources.store import Store
+from murmura.sources.store import Store, overwrite_partitions
 from murmura.sources.versions import VersionLog
 
 # Ids of a batch that may be sent to its rows: about 10 MB.
@@ -63,7 +63,11 @@ def ingest_batch(
     had = _dates(store.read_batch(spark, "raw_tweets", batch)) if again else set()
     store.note(spark, batch, finished=False)
     created = instant(F.col("created_at"))
-    stamped = raw.withColumns({DATE: F.to_date(created), BATCH: F.lit(batch)})
+    # Names of files are a set: read where the scan runs, they stay right if a task runs twice.
+    read = Observation()
+    named = raw.withColumn("_file", F.input_file_name())
+    named = named.observe(read, F.size(F.collect_set("_file")).cast("long").alias("files")).drop("_file")
+    stamped = named.withColumns({DATE: F.to_date(created), BATCH: F.lit(batch)})
     us = F.unix_micros(created)
     gone, seen = store.replace(stamped, "raw_tweets", [(d, batch) for d in had], {
         "rows": F.count(F.lit(1)), "broken": F.count(CORRUPT) if CORRUPT in raw.columns else F.lit(0).cast("long"),
@@ -75,6 +79,11 @@ def ingest_batch(
         store.note(spark, batch, finished=True, raw_rows=0, broken_rows=0, messages=0, dates=[])
         return []
     landed = store.read_batch(spark, "raw_tweets", batch, dates)
+    if seen["broken"] or again:
+        # Few lines, read back from the partition they were just written to.
+        broken = store.read_batch(spark, "raw_tweets", batch, [None]).where(F.col(CORRUPT).isNotNull())
+        lines = broken.select(F.col(CORRUPT).alias("line"), F.lit(batch).alias(BATCH))
+        overwrite_partitions(lines, store.path("quarantine"), [BATCH])
     span = None if seen["first"] is None else (seen["first"], seen["last"])
     if again:
         log.rebuild(dates)
@@ -119,7 +128,7 @@ def ingest_batch(
     log.compact(dates)
     store.note(
         spark, batch, finished=True, raw_rows=seen["rows"], broken_rows=seen["broken"], messages=kept["rows"],
-        newest_collected=seen["newest"], dates=sorted(dates, key=str),
+        files=read.get["files"], newest_collected=seen["newest"], dates=sorted(d for d in dates if d),
     )
     return sorted(dates - {d for d, _ in gone}, key=str)
 
@@ -147,13 +156,13 @@ def _dates(df: DataFrame) -> set[dt.date | None]:
 
 
 def ingest_file(
-    spark: SparkSession, path: str, store: Store, lexicon: DataFrame | None = None
+    spark: SparkSession, path: str, store: Store, lexicon: DataFrame | WordList | None = None
 ) -> list[dt.date | None]:
     """Store one named file or glob of landed messages; nothing there is not an error.
 
     The batch is named by the files it reads, so the same path with other files is another batch.
     """
-    raw = if_present(lambda: read_messages(spark, path))
+    raw = if_present(lambda: read_messages(spark, path), spark, path)
     if raw is None or raw.isEmpty():
         return []
     return ingest_batch(raw, f"file-{content_name(spark, path)}", store, lexicon)

@@ -68,6 +68,11 @@ LEDGER = _struct(
      "newest_collected": _TS, "dates": T.ArrayType(_DAY)}
 )
 
+# What a streaming query reported of one batch.
+PROGRESS = _struct(
+    {"batch_number": _BIG, "started": _TS, "input_rows": _BIG, "batch_seconds": _DBL, BATCH: _STR}
+)
+
 LEXICON = _struct(
     {"word": _STR, "kind": _STR, "polarity": _DBL, "subjectivity": _DBL, "intensity": _DBL}
 )

@@ -72,8 +72,19 @@ def land_messages(messages: DataFrame, folder: str) -> None:
     messages.write.mode("append").option("timestampFormat", LANDED_TIME).json(folder)
 
 
-def if_present(read) -> DataFrame | None:
-    """The frame ``read()`` gives, or None when its path does not exist."""
+def exists(spark: SparkSession, path: str) -> bool:
+    """True when something lies at a path or matches a glob; asks the file system, runs no query."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(where.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(where))
+
+
+def if_present(read, spark: SparkSession | None = None, path: str | None = None) -> DataFrame | None:
+    """The frame ``read()`` gives, or None when its path does not exist.
+
+    With ``path`` that is looked up first, so that a missing one is no failed query in the logs.
+    """
+    if path is not None and not exists(spark, path):
+        return None
     try:
         return read()
     except AnalysisException as error:
@@ -84,7 +95,7 @@ def if_present(read) -> DataFrame | None:
 
 def newest_file_time(spark: SparkSession, folder: str) -> DataFrame:
     """One row with the newest file's modification time; lists files, reads none."""
-    files = if_present(lambda: spark.read.format("binaryFile").load(folder))
+    files = if_present(lambda: spark.read.format("binaryFile").load(folder), spark, folder)
     if files is None:
         return spark.sql("SELECT CAST(NULL AS TIMESTAMP) AS newest")
     return files.agg(F.max("modificationTime").alias("newest"))

@@ -7,12 +7,13 @@ from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from murmura import schemas
 from murmura.functions.measures import LABELS, sentiment_category_sql
 from murmura.schemas import BATCH, DATE, partitioned
-from murmura.sources.landing import if_present
+from murmura.sources.landing import exists, if_present
 
 # Table names and, for each, its columns and partition columns.
 TABLES: dict[str, tuple[T.StructType, list[str]]] = {
@@ -26,6 +27,9 @@ TABLES: dict[str, tuple[T.StructType, list[str]]] = {
 # What the ingest keeps for itself; not in the catalog.
 INTERNAL: dict[str, tuple[T.StructType, list[str]]] = {
     "ingest_batches": (schemas.LEDGER, [BATCH]),
+    "stream_progress": (schemas.PROGRESS, [BATCH]),
+    "quarantine": (T.StructType([T.StructField("line", T.StringType())]), [BATCH]),
+    "released": (T.StructType([T.StructField("digest", T.StringType())]), ["repair"]),
 }
 
 
@@ -75,14 +79,14 @@ class Store:
 
     def started(self, spark: SparkSession, batch: str) -> bool:
         """True when an ingest batch of this name has begun before, whether or not it ended."""
-        path = f"{self.path('ingest_batches')}/{BATCH}={batch}"
-        return not self._load(spark, "ingest_batches", path).isEmpty()
+        return exists(spark, f"{self.path('ingest_batches')}/{BATCH}={batch}")
 
     def note(self, spark: SparkSession, batch: str, finished: bool, **figures) -> None:
         """Write the ledger row of one batch in place of the one before."""
-        row = [{"finished": finished, **figures}.get(f.name) for f in schemas.LEDGER.fields]
+        figures = {"finished": finished, **figures}
+        row = [F.lit(figures.get(f.name)).cast(f.dataType).alias(f.name) for f in schemas.LEDGER.fields]
         path = f"{self.path('ingest_batches')}/{BATCH}={batch}"
-        spark.createDataFrame([row], schemas.LEDGER).coalesce(1).write.mode("overwrite").parquet(path)
+        spark.range(1).select(*row).coalesce(1).write.mode("overwrite").parquet(path)
 
     def clear(self, spark: SparkSession, table: str, *values) -> None:
         """Empty one partition: an empty file takes the place of its rows."""
@@ -113,7 +117,7 @@ class Store:
         columns, keys = (TABLES | INTERNAL)[table]
         schema = partitioned(columns, *keys)
         reader = spark.read.schema(schema).option("basePath", self.path(table))
-        found = if_present(lambda: reader.parquet(path))
+        found = if_present(lambda: reader.parquet(path), spark, path)
         return spark.createDataFrame([], schema) if found is None else found
 
 

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from murmura.functions.dates import instant
 from murmura.schemas import BATCH, COUNTERS, DATE, VERSIONS
-from murmura.sources.landing import if_present
+from murmura.sources.landing import exists
 from murmura.sources.store import Store
 
 #: Files of one date and bucket before they are merged.
@@ -38,9 +38,9 @@ class VersionLog:
         self.path = store.path(f"message_versions_{store.id_buckets}")
         self.table = f"murmura_versions_{zlib.crc32(self.path.encode()):08x}"
         self._declare()
-        if if_present(lambda: spark.read.parquet(f"{self.path}_ready")) is None:
+        if not exists(spark, f"{self.path}_ready"):
             # A store that may have been filled before it had this log: derive the whole of it once.
-            if if_present(lambda: spark.read.parquet(store.path("raw_tweets"))) is not None:
+            if exists(spark, store.path("raw_tweets")):
                 self.rebuild(None)
             spark.range(1).coalesce(1).write.mode("overwrite").parquet(f"{self.path}_ready")
         self._mend()
@@ -53,7 +53,7 @@ class VersionLog:
             f"CREATE TABLE {self.table} ({columns}) USING parquet PARTITIONED BY ({DATE}) "
             f"CLUSTERED BY (id) SORTED BY (created_us) INTO {self.store.id_buckets} BUCKETS LOCATION '{self.path}'"
         )
-        if if_present(lambda: self.spark.read.format("binaryFile").load(self.path)) is not None:
+        if exists(self.spark, self.path):
             self.spark.catalog.recoverPartitions(self.table)
 
     def rows(self, dates: Iterable[dt.date | None], span: tuple[int, int] | None = None) -> DataFrame:
@@ -103,12 +103,14 @@ class VersionLog:
         newest = self.own(raw).select(
             "id", "own.*", "copies", F.lit(True).alias("won"), F.lit(None).cast("string").alias("replaced")
         )
-        with self._rewriting(dates or ()):
-            for date in set(dates or ()):
-                empty = spark.createDataFrame([], VERSIONS).drop(DATE)
-                empty.createOrReplaceTempView(f"{self.table}_none")
+        dates = set(dates or ())
+        kept = {r[0] for r in raw.where("id IS NOT NULL").select(DATE).distinct().collect()} if dates else set()
+        with self._rewriting(dates):
+            self._replace(newest)
+            for date in dates - kept:
+                # An empty partition takes the place of one that holds rows no longer there.
+                spark.createDataFrame([], VERSIONS).drop(DATE).createOrReplaceTempView(f"{self.table}_none")
                 spark.sql(f"INSERT OVERWRITE {self.table} PARTITION ({_named(date)}) SELECT * FROM {self.table}_none")
-            self.append(newest)
 
     def compact(self, dates: Iterable[dt.date | None]) -> None:
         """Merge the files of dates that have more than ``MOST_FILES`` a bucket into one a bucket."""
@@ -119,16 +121,20 @@ class VersionLog:
         newest = (
             self.rows(dates).groupBy("id")
             .agg(F.max(F.struct(*VERSION, "created_us", DATE, "copies", "won", "replaced")).alias("own"))
-            .select("id", "own.*").select(*VERSIONS.names)
+            .select("id", "own.*")
         )
+        with self._rewriting(dates):
+            self._replace(newest)
+
+    def _replace(self, versions: DataFrame) -> None:
+        """Write versions in place of the partitions they have rows for."""
         key = "spark.sql.sources.partitionOverwriteMode"
         before = self.spark.conf.get(key)
-        with self._rewriting(dates):
-            self.spark.conf.set(key, "dynamic")
-            try:
-                newest.write.insertInto(self.table, overwrite=True)
-            finally:
-                self.spark.conf.set(key, before)
+        self.spark.conf.set(key, "dynamic")
+        try:
+            versions.select(*VERSIONS.names).write.insertInto(self.table, overwrite=True)
+        finally:
+            self.spark.conf.set(key, before)
 
     @contextmanager
     def _rewriting(self, dates: Iterable[dt.date | None]):
@@ -144,8 +150,10 @@ class VersionLog:
 
     def _mend(self) -> None:
         """Derive dates again whose partitions a crash may have left half replaced."""
-        noted = if_present(lambda: self.spark.read.schema(f"{DATE} DATE").parquet(f"{self.path}_rewriting"))
-        dates = set() if noted is None else {r[0] for r in noted.collect()}  # dates of one batch
+        path = f"{self.path}_rewriting"
+        if not exists(self.spark, path):
+            return
+        dates = {r[0] for r in self.spark.read.schema(f"{DATE} DATE").parquet(path).collect()}  # of one batch
         if dates:
             self.rebuild(dates)
 

@@ -25,6 +25,7 @@ def ingest_landing(
     lexicon: DataFrame | None = None,
     files_per_batch: int = 1000,
     archive: str | None = None,
+    joined: bool = False,
 ) -> StreamingQuery | None:
     """Process every landed file once. None when nothing has ever landed.
 
@@ -32,12 +33,13 @@ def ingest_landing(
     batch run; with one (see ``INTERVAL_SECONDS``) it goes on. The checkpoint
     remembers the files, and a batch that is run again after a failure replaces
     its own partitions, so no message is stored twice. ``archive`` is a folder
-    that files move to once they are read.
+    that files move to once they are read. ``joined`` scores with a word list of any size: each
+    micro-batch is joined with it as a batch (see ``operators.scoring``).
     """
-    stream = if_present(lambda: stream_messages(spark, landing, files_per_batch, archive))
+    stream = if_present(lambda: stream_messages(spark, landing, files_per_batch, archive), spark, landing)
     if stream is None:
         return None
-    words = prepare_lexicon(spark, lexicon)
+    words = prepare_lexicon(spark, lexicon, joined)
 
     @cache
     def query_id() -> str:

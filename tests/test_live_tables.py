@@ -1,0 +1,137 @@
+"""Late rows, lag, quarantine, the token index, positions and the scorer's SQL function."""
+
+import datetime as dt
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from helpers import land, message, raw, record
+from murmura.functions.text import clean_text
+from murmura.operators.messages import keyword_filter
+from murmura.operators.ordering import with_position
+from murmura.operators.scoring import prepare_lexicon, register_scorer, score_sentiment
+from murmura.operators.search import search_index, write_index
+from murmura.plans.health import batch_report
+from murmura.sources.quarantine import quarantined, release
+from murmura.sources.store import Store
+from murmura.streaming.ingest import ingest_landing
+from murmura.streaming.lag import record_progress, stream_lag
+from murmura.streaming.reconcile import late_rows, published_hours, reconcile_batch
+
+
+def labelled(spark, *hours):
+    """One positive message at each of the hours (of January 10th; 24 and more are the next days)."""
+    start = dt.datetime(2024, 1, 10, tzinfo=dt.timezone.utc)
+    return spark.createDataFrame(
+        [(str(i), start + dt.timedelta(hours=h, minutes=5), "positive") for i, h in enumerate(hours)],
+        "id STRING, created_at TIMESTAMP, sentiment_label STRING",
+    )
+
+
+def hours(spark, folder):
+    rows = published_hours(spark, folder).collect()
+    return {((r.tweet_date - dt.date(2024, 1, 10)).days * 24 + r.tweet_hour): r.tweet_count for r in rows}
+
+
+def test_late_rows_are_set_aside_and_counted(spark, folder):
+    reconcile_batch(labelled(spark, 1, 1, 2, 5), 0, folder, 3600)
+    assert hours(spark, folder) == {1: 2, 2: 1} and late_rows(spark, folder) is None
+    reconcile_batch(labelled(spark, 1, 3, 5, 30), 1, folder, 3600)
+    # The row of hour 1 is late; hour 3 had ended but never been published, which is the same thing to a reader.
+    assert hours(spark, folder) == {1: 3, 2: 1, 3: 1, 5: 2}
+    assert sorted(r.tweet_hour for r in late_rows(spark, folder).collect()) == [1, 3]
+    for _ in range(2):  # a batch that runs again replaces what it wrote
+        reconcile_batch(labelled(spark, 29, 80), 2, folder, 3600)
+        assert hours(spark, folder) == {1: 3, 2: 1, 3: 1, 5: 2, 29: 1, 30: 1}
+    reconcile_batch(labelled(spark).where("false"), 3, folder, 3600)
+    assert hours(spark, folder)[30] == 1
+
+
+def test_lag_and_ledger_of_an_ingest(spark, folder):
+    landing, store = f"{folder}/in", Store(f"{folder}/tables", 2)
+    for k in range(2):
+        land(landing, f"{k}.json", [record(10 * k + i) for i in range(3 + k)] + ["{broken"])
+        os.utime(f"{landing}/{k}.json", (1_700_000_000 + k, 1_700_000_000 + k))  # files are taken by age
+    query = ingest_landing(spark, landing, store, f"{folder}/c", files_per_batch=1)
+    query.awaitTermination()
+    land(landing, "later.json", [record(99)])
+    for _ in range(2):
+        record_progress(query, store)
+    rows = stream_lag(spark, store, landing).orderBy("batch_number").collect()
+    assert [(r.batch_number, r.input_rows, r.files, r.backlog_files) for r in rows] == [(0, 4, 1, 2), (1, 5, 1, 1)]
+    assert all(r.batch_seconds > 0 and r.rows_per_second > 0 and r.newest_collected for r in rows)
+    report = batch_report(spark, store).orderBy("ingest_batch").collect()
+    assert [(r.finished, r.raw_rows, r.broken_rows, r.messages, r.dates) for r in report] == [
+        (True, 4, 1, 3, 1), (True, 5, 1, 4, 1)
+    ]
+    # Both broken lines wait; one repair brings neither back, the other one each.
+    assert quarantined(spark, store).count() == 2
+    assert release(spark, store, landing, lambda line: F.concat(line, F.lit(" ")), "first") == 0
+    assert release(spark, store, landing, lambda line: F.lit('{"id": 500, "text": "good", "lang": "en"}'), "second") == 1
+    assert quarantined(spark, store).count() == 0  # copies of one line are one line
+    ingest_landing(spark, landing, store, f"{folder}/c").awaitTermination()
+    ids = {r.id for r in store.read(spark, "processed_tweets").select("id").collect()}
+    assert ids == {"0", "1", "2", "10", "11", "12", "13", "99", "500"}
+
+
+def test_a_list_too_large_for_the_plan_scores_the_stream(spark, folder, monkeypatch):
+    from murmura.operators import scoring
+
+    monkeypatch.setattr(scoring, "INLINE_ROWS", 10)
+    land(f"{folder}/in", "a.json", [record(1), record(2, text="terrible!"), record(3, text=None)])
+    with pytest.raises(ValueError):
+        ingest_landing(spark, f"{folder}/in", Store(f"{folder}/t", 2), f"{folder}/c")
+    store = Store(f"{folder}/tables", 2)
+    ingest_landing(spark, f"{folder}/in", store, f"{folder}/c", joined=True).awaitTermination()
+    labels = {r.id: r.sentiment_label for r in store.read(spark, "processed_tweets").collect()}
+    assert labels == {"1": "positive", "2": "negative"}  # without a text no row passes the re-post filter
+
+
+TEXTS = ["Machine learning", "learning, machine!", "machines learn", "AI.", "paid", "c++ x", "C#", "", None, "café AI_x", "été"]
+
+
+def test_index_finds_what_the_filter_finds(spark, folder):
+    rows = raw(spark, *[message(str(i), t) for i, t in enumerate(TEXTS)], message(None, "ai"), message(None, "none"))
+    write_index(rows, f"{folder}/index")
+    index = spark.read.parquet(f"{folder}/index")
+    for words in (["ai"], ["machine learning"], ["c++"], ["é"], ["été", "AI"], ["x"], ["nothing"]):
+        found = search_index(index, rows, words)
+        assert found.columns == rows.columns
+        assert sorted(map(str, found.collect())) == sorted(map(str, keyword_filter(rows, words).collect())), words
+    with pytest.raises(ValueError):
+        search_index(index, rows, ["ai", "++"])
+
+
+def test_search_reads_the_row_groups_of_its_words(spark, folder):
+    rows = spark.range(60_000, numPartitions=2).select(
+        F.col("id").cast("string").alias("id"), F.concat(F.lit("w"), F.col("id").cast("string"), F.lit(" all")).alias("text")
+    )
+    write_index(rows, f"{folder}/index", row_group_bytes=64 << 10)
+    index = spark.read.parquet(f"{folder}/index")
+
+    def read(df):
+        df.collect()
+        leaves = df._jdf.queryExecution().executedPlan().collectLeaves()
+        return sum(leaves.apply(i).metrics().get("numOutputRows").get().value() for i in range(leaves.size()))
+
+    assert 0 < read(index.where("token = 'w777'")) < 60_000 < read(index.where("length(token) > 0"))
+
+
+def test_positions(spark):
+    rows = spark.range(5000, numPartitions=7).select((F.col("id") * 7919 % 5000).alias("n"), (F.col("id") % 3).alias("k"))
+    placed = with_position(rows, F.col("k").desc(), F.col("n").asc()).collect()
+    inorder = sorted(((r.n, r.k) for r in placed), key=lambda x: (-x[1], x[0]))
+    assert {(r.n, r.k): r.position for r in placed} == {x: i + 1 for i, x in enumerate(inorder)}
+    assert with_position(rows.where("false"), F.col("n")).collect() == []
+
+
+def test_sql_function_scores_as_the_columns_do(spark):
+    texts = ["I love this amazing product! It’s fantastic!", "not very good", "very bad!", "", None, "nothing", "don't enjoy it"]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id INT, text STRING")
+    words = prepare_lexicon(spark)
+    scorer = register_scorer(spark, words, "tone")
+    rows.select("id", clean_text(F.col("text")).alias("text")).createOrReplaceTempView("cleaned")
+    by_sql = {r.id: (r.polarity, r.subjectivity) for r in spark.sql("SELECT id, s.* FROM (SELECT id, tone(text) AS s FROM cleaned)").collect()}
+    for df in (score_sentiment(rows, words), score_sentiment(rows, scorer=scorer)):
+        assert {r.id: (r.polarity, r.subjectivity) for r in df.collect()} == by_sql
