@@ -8,7 +8,11 @@ other tiles: a vector goes to a pair of tiles only if the other box is near enou
 bound what can still come, and a block whose cosines cannot reach the threshold stops there. The
 cosine that decides is the product of the given components in double precision.
 
-Equal vectors are one class from the start. A pair of tiles returns, for each vector with links there, how
+How far the products go before they are first held against the bound depends on the data: to the dimension
+where half of all squared length is behind. Bounds are kept in single precision, with a margin above its
+rounding; vectors without preferred directions let no tile be skipped, and then all pairs of tiles are compared.
+
+Vectors of each length are compared among themselves. Equal vectors are one class from the start, with a number of its own. A pair of tiles returns, for each vector with links there, how
 many it has and one representative of those it is connected to, so a group of n linked vectors
 costs n rows a pair, not n squared.
 
@@ -16,8 +20,8 @@ Bounds: SAMPLE vectors choose the cuts, at most LEAVES boxes travel to the tasks
 TILE vectors is split by hash. All vectors are compared whatever these are.
 
 Cases: a vector that is null, empty, zero, or has null or non-finite components links with nothing, and so
-does one whose length is not the most frequent one (of two, the larger). Rows that repeat a vec_id are separate
-vectors of that id; a row without vec_id has no component, no links and is kept. No rows give no rows.
+do vectors of different lengths. Rows that repeat a vec_id are separate vectors of that id, linked and grouped
+by what each of them holds; a row without vec_id has no component, no links and is kept. No rows give no rows.
 """
 
 from __future__ import annotations
@@ -34,6 +38,10 @@ LEAST = 0.9
 SAMPLE, LEAVES, TILE, BLOCK = 20_000, 4096, 8192, 1024
 LEAD = 8  # dimensions that boxes and the first products use
 _SLACK = 1e-9
+#: Shares of the squared length after which products are held against the threshold.
+STOPS = (0.5, 0.75)
+#: Groups of linked vectors with 1 / HOT of all classes or more; there are HOT of them at most.
+HOT = 1000
 
 
 def _usable(vectors: DataFrame) -> DataFrame:
@@ -99,16 +107,21 @@ def _leaf(lead: np.ndarray, nodes: list[tuple[int, float]]) -> np.ndarray:
     return at - len(nodes)
 
 
+def _margin(length: int) -> float:
+    """More than single precision can be off in a product of two unit vectors."""
+    return _SLACK + 2 * (length + 4) * float(np.finfo(np.float32).eps)
+
+
 def _links_of_block(a: np.ndarray, b: np.ndarray, tails_a: np.ndarray, tails_b: np.ndarray, steps: list[int], least: float):
     """Rows and columns of a block with a cosine that may reach ``least``, and the cosines there."""
     rows, cols = np.arange(len(a)), np.arange(len(b))
-    product, done = np.zeros((len(a), len(b))), 0
+    least, product, done = np.float32(least - _margin(a.shape[1])), None, 0
     for k, upto in enumerate(steps):
-        product = product + a[rows, done:upto] @ b[cols, done:upto].T
-        done = upto
+        part = a[rows, done:upto] @ b[cols, done:upto].T
+        product, done = part if product is None else product + part, upto
         if upto == a.shape[1]:
             break
-        may = product + tails_a[rows, k][:, None] * tails_b[cols, k][None, :] >= least - _SLACK
+        may = product >= least - tails_a[rows, k][:, None] * tails_b[cols, k][None, :]
         r, c = may.any(axis=1), may.any(axis=0)
         if not r.any():
             return rows[:0], cols[:0], product[:0, :0]
@@ -129,7 +142,10 @@ def _spread(hit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.where(hit.any(axis=1), row, -1), np.where(hit.any(axis=0), col, -1)
 
 
-def compare(x: np.ndarray, y: np.ndarray | None, rotation: np.ndarray, sizes_x, sizes_y, ids_x, ids_y, least: float = LEAST):
+def compare(
+    x: np.ndarray, y: np.ndarray | None, rotation: np.ndarray, sizes_x, sizes_y, ids_x, ids_y, least: float = LEAST,
+    steps: tuple[int, ...] = (),
+):
     """Links between two tiles (or within one, ``y`` None): ids, a representative and the weighted count of each."""
     inside = y is None
     if inside:
@@ -137,9 +153,11 @@ def compare(x: np.ndarray, y: np.ndarray | None, rotation: np.ndarray, sizes_x,
     ux, uy = _unit(x), _unit(y)
     rx, ry = ux @ rotation, uy @ rotation
     d = x.shape[1]
-    steps = sorted({min(s, d) for s in (LEAD, 2 * LEAD, 4 * LEAD, d)})
-    tail = lambda r: np.sqrt(np.maximum(np.stack([(r[:, s:] ** 2).sum(axis=1) for s in steps], axis=1), 0.0))
+    steps = sorted({min(s, d) for s in (*steps, d)})
+    tail = lambda r: np.sqrt(np.stack([(r[:, s:] ** 2).sum(axis=1) for s in steps], axis=1)).astype(np.float32)
     tx, ty = tail(rx), tail(ry)
+    rx, ry = rx.astype(np.float32), ry.astype(np.float32)
+    margin = _margin(d)
     ox, oy = np.argsort(rx[:, 0], kind="stable"), np.argsort(ry[:, 0], kind="stable")
     count_x, count_y = np.zeros(len(x), np.int64), np.zeros(len(y), np.int64)
     parent: dict[int, int] = {}
@@ -156,7 +174,7 @@ def compare(x: np.ndarray, y: np.ndarray | None, rotation: np.ndarray, sizes_x,
         for q in range(p if inside else 0, len(y), BLOCK):
             b = oy[q : q + BLOCK]
             rows, cols, bound = _links_of_block(rx[a], ry[b], tx[a], ty[b], steps, least)
-            if not len(rows) or not (bound >= least - _SLACK).any():
+            if not len(rows) or not (bound >= least - margin).any():
                 continue
             i, j = a[rows], b[cols]
             cosine = ux[i] @ uy[j].T
@@ -191,24 +209,28 @@ def near_duplicates(vectors: DataFrame, least: float = LEAST, tile: int = TILE,
     """vec_id, n_links, component_id, kept: one row for every row of ``vectors``."""
     spark = vectors.sparkSession
     packed = settle(_usable(vectors), "vectors")
-    lengths = packed.where("length is not null").groupBy("length").count().orderBy(F.desc("count"), F.desc("length")).first()
-    length = lengths["length"] if lengths else 0
-    ours = (F.col("length") == length) & F.col("vec_id").isNotNull()
+    ours = F.col("length").isNotNull() & F.col("vec_id").isNotNull()
     classes = settle(
-        packed.where(ours).groupBy("digest").agg(F.min("vec_id").alias("rep"), F.count("*").alias("size"), F.first("packed").alias("packed")),
+        packed.where(ours).groupBy("digest")
+        .agg(F.min("vec_id").alias("low"), F.count("*").alias("size"), F.first("packed").alias("packed"), F.first("length").alias("length"))
+        .withColumn("rep", F.monotonically_increasing_id()),
         "vector-classes",
     )
-    found = _links(classes, length, least, tile, leaves) if length else None
-    named = classes.select("digest", "rep", "size")
+    # One number for each length that occurs.
+    lengths = sorted(r["length"] for r in classes.groupBy("length").count().collect())
+    found = None
+    for length in lengths:
+        links = _links(classes.where(F.col("length") == length), length, least, tile, leaves)
+        found = links if found is None else found.unionByName(links)
+    named = classes.select("digest", "rep", "low", "size")
     if found is not None:
-        counts = found.groupBy("a").agg(F.sum("n").alias("n"))
-        group = components(found.where("a <> b").select("a", "b"))
-        named = named.join(counts, F.col("rep") == F.col("a"), "left").join(group, F.col("rep") == F.col("id"), "left")
+        counts = found.groupBy("a").agg(F.sum("n").alias("n")).withColumnRenamed("a", "rep")
+        named = named.join(counts, "rep", "left").join(_lowest(classes, found), "rep", "left")
     else:
-        named = named.withColumns({"n": F.lit(0), "component": F.col("rep")})
+        named = named.withColumns({"n": F.lit(0), "component": F.col("low")})
     named = named.select(
         "digest", (F.coalesce("n", F.lit(0)) + F.col("size") - 1).cast("long").alias("links"),
-        F.coalesce("component", "rep").alias("component"),
+        F.coalesce("component", "low").alias("component"),
     )
     own = packed.select("vec_id", F.when(ours, F.col("digest")).alias("digest"))
     return own.join(named, "digest", "left").select(
@@ -218,6 +240,20 @@ def near_duplicates(vectors: DataFrame, least: float = LEAST, tile: int = TILE,
     )
 
 
+def _lowest(classes: DataFrame, found: DataFrame) -> DataFrame:
+    """(rep, component) for linked classes: the smallest vec_id of all classes that links reach."""
+    group = components(found.where("a <> b").select("a", "b")).withColumnRenamed("id", "rep")
+    own = settle(classes.select("rep", "low").join(group, "rep"), "vector-groups")
+    lowest = own.groupBy("component").agg(F.min("low").alias("lowest"), F.count("*").alias("members"))
+    total = own.count()
+    # By their size there are HOT large groups at most; the others can skew no join.
+    hot = F.broadcast(lowest.where(F.col("members") * HOT >= total))
+    cold = lowest.where(F.col("members") * HOT < total)
+    large = own.join(hot, "component")
+    small = own.join(hot, "component", "left_anti").join(cold, "component")
+    return large.unionByName(small).select("rep", F.col("lowest").alias("component"))
+
+
 def _links(classes: DataFrame, length: int, least: float, tile: int, leaves: int | None) -> DataFrame:
     """(a, b, n): vector a has n links in some pair of tiles and is connected to b by links there."""
     spark = classes.sparkSession
@@ -228,7 +264,9 @@ def _links(classes: DataFrame, length: int, least: float, tile: int, leaves: int
         return (u.T @ u).ravel()
 
     total = summed(classes.select("packed"), moments, length * length).reshape(length, length)
-    rotation = np.linalg.eigh(total)[1][:, ::-1]
+    shares, rotation = np.linalg.eigh(total)
+    shares, rotation = np.cumsum(shares[::-1]) / max(shares.sum(), 1e-300), rotation[:, ::-1]
+    steps = tuple(int(np.searchsorted(shares, share)) + 1 for share in STOPS)
     n = classes.count()
     lead = min(LEAD, length)
     part = min(1.0, SAMPLE / max(n, 1))
@@ -295,12 +333,12 @@ def _links(classes: DataFrame, length: int, least: float, tile: int, leaves: int
         x, sizes, ids = x[order], sizes[order], ids[order]
         second = group.column("second").to_numpy(zero_copy_only=False)[order].astype(bool)
         if group.column("i")[0].as_py() == group.column("j")[0].as_py():
-            a, b, n = compare(x, None, turn, sizes, None, ids, None, least)
+            a, b, n = compare(x, None, turn, sizes, None, ids, None, least, steps)
         elif second.all() or not second.any():
             a = b = n = np.empty(0, np.int64)
         else:
             f, s = ~second, second
-            a, b, n = compare(x[f], x[s], turn, sizes[f], sizes[s], ids[f], ids[s], least)
+            a, b, n = compare(x[f], x[s], turn, sizes[f], sizes[s], ids[f], ids[s], least, steps)
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "n": pa.array(n, pa.int64())})
 
-    return settle(dealt.groupBy("i", "j").applyInArrow(pair, "a long, b long, n long"), "vector-links")
+    return settle(dealt.groupBy("i", "j").applyInArrow(pair, "a long, b long, n long"), f"vector-links-{length}")

@@ -208,3 +208,31 @@ def test_vectors_equal_brute_force(spark, settings):
 def test_no_vectors(spark):
     df, _ = vectors(spark)
     assert embeddings.near_duplicates(df.limit(0)).collect() == []
+
+
+def test_vectors_of_every_length_are_compared(spark):
+    """Two lengths of equal frequency and one rare pair of equal vectors."""
+    r = np.random.default_rng(5)
+    data, n = [], 0
+    for size, count in ((6, 30), (9, 30), (2, 1)):
+        base = r.normal(size=(max(count // 3, 1), size))
+        for v in (base, base + r.normal(size=base.shape) * 0.1, base * 3):
+            data += [(n + i, x.tolist()) for i, x in enumerate(v)]
+            n += len(v)
+    df = spark.createDataFrame(data, "vec_id long, embedding array<double>")
+    hit = np.zeros((n, n), bool)
+    for i, v in data:
+        for j, w in data:
+            if i != j and len(v) == len(w):
+                hit[i, j] = np.dot(v, w) / np.linalg.norm(v) / np.linalg.norm(w) >= 0.9
+    got = {x.vec_id: x for x in embeddings.near_duplicates(df, tile=8).collect()}
+    assert [got[i].n_links for i in range(n)] == hit.sum(axis=1).tolist()
+    assert {i: got[i].component_id for i in range(n)} == reachable(range(n), np.argwhere(hit).tolist())
+
+
+def test_rows_that_repeat_a_vec_id_do_not_join_their_groups(spark):
+    one, other = [1.0, 0.0, 0.0], [0.0, 1.0, 0.0]
+    data = [(5, one), (5, other), (3, [1.0, 0.01, 0.0]), (9, [0.01, 1.0, 0.0]), (7, other), (None, one)]
+    got = embeddings.near_duplicates(spark.createDataFrame(data, "vec_id long, embedding array<double>")).collect()
+    rows = sorted(((r.vec_id, r.n_links, r.component_id) for r in got if r.vec_id is not None))
+    assert rows == [(3, 1, 3), (5, 1, 3), (5, 2, 5), (7, 2, 5), (9, 2, 5)]
