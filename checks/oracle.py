@@ -334,6 +334,9 @@ lexicon AS (
         PROCESSED.replace("FROM messages", "FROM collected"), SCORED, DAILY,
     )
     sql["run_all_resumed"] = _with(MESSAGES, *collected, select=TRENDS.format(days=days(7)))
+    sql["compacted_date"] = _with(
+        *daily, select=DAILY_SELECT.replace(" FROM daily", ", step FROM daily, (VALUES ('between'), ('after')) AS steps(step)"),
+    )
     sql["keyword_search_indexed"] = sql["keyword_filter"]
     sql["scorer_hook"] = _with(
         *full,

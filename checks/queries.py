@@ -28,6 +28,7 @@ from murmura.plans.health import health_report, message_freshness, save_health_r
 from murmura.plans.ingest import collect_messages, ingest_file, rebuild_aggregates
 from murmura.schemas import COUNTERS, DATE
 from murmura.session import pin_utc, scratch_dir
+from murmura.sources.closed import closed_messages, compact_dates, create_closed, merge_dates, switch_dates
 from murmura.sources.landing import (
     LANDED_TIME,
     land_messages,
@@ -498,6 +499,23 @@ def run_all_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(spark.read.option("header", True).schema(columns).csv(f"{out}/sentiment_trends"))
 
 
+def compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All dates merged, then merged again: figures between writing the second folder and the switch, and after it."""
+    store, _ = stored(spark, sf_dir)
+    database = "sentiment_db_" + store.root.rstrip("/").split("-")[-1].split("/")[0]
+    create_closed(spark, store, database)
+    dates = {r[0] for r in store.read(spark, "daily_sentiment").select(DATE).distinct().collect()}
+    compact_dates(spark, store, dates, database)
+    folder = merge_dates(spark, store, dates)
+    root = scratch_dir(spark, "compacted")
+    for step in ("between", "after"):
+        daily = aggregates.daily_sentiment(closed_messages(spark, database)).withColumn("step", F.lit(step))
+        daily.write.mode("append").parquet(root)
+        if step == "between":
+            switch_dates(spark, folder, dates, database)
+    return plain(spark.read.parquet(root))
+
+
 def indexed_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The keyword search by way of a token index."""
     path, rows = scratch_dir(spark, "index"), messages(spark, sf_dir)
@@ -683,6 +701,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["run_all_resumed"] = run_all_resumed
 
     # Search, order, SQL function
+    q["compacted_date"] = compacted
     q["keyword_search_indexed"] = indexed_search
     q["scorer_hook"] = scorer_hook
     date, hour, label = F.col(DATE), F.col("tweet_hour"), F.col("sentiment_label")

@@ -54,7 +54,8 @@ def health_report(
     """One row: freshness of the landing folder and the size of the stored tables.
 
     Sizes come from what the ingest noted: the ledger has a batch's raw rows as it wrote them, the rollup the
-    stored messages by hour and label. No message is read or counted again.
+    stored messages by hour and label. No message is read or counted again. Batches that were stored before
+    there was a ledger are not in its sum.
     """
     fresh = landing_freshness(spark, landing, as_of, limit).select(
         _now(as_of).alias("timestamp"),

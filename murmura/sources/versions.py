@@ -12,7 +12,7 @@ Nothing is lost if the log is: raw messages hold everything, and ``rebuild`` der
 from __future__ import annotations
 
 import datetime as dt
-import zlib
+import hashlib
 from collections.abc import Iterable
 from contextlib import contextmanager
 
@@ -36,7 +36,7 @@ class VersionLog:
     def __init__(self, spark: SparkSession, store: Store):
         self.spark, self.store = spark, store
         self.path = store.path(f"message_versions_{store.id_buckets}")
-        self.table = f"murmura_versions_{zlib.crc32(self.path.encode()):08x}"
+        self.table = f"murmura_versions_{hashlib.sha256(self.path.encode()).hexdigest()[:16]}"
         self._declare()
         if not exists(spark, f"{self.path}_ready"):
             # A store that may have been filled before it had this log: derive the whole of it once.

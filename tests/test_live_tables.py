@@ -13,6 +13,8 @@ from murmura.operators.ordering import with_position
 from murmura.operators.scoring import prepare_lexicon, register_scorer, score_sentiment
 from murmura.operators.search import search_index, write_index
 from murmura.plans.health import batch_report
+from murmura.plans.ingest import ingest_batch
+from murmura.sources.closed import closed_messages, compact_dates, create_closed, merge_dates, switch_dates
 from murmura.sources.quarantine import quarantined, release
 from murmura.sources.store import Store
 from murmura.streaming.ingest import ingest_landing
@@ -135,3 +137,23 @@ def test_sql_function_scores_as_the_columns_do(spark):
     by_sql = {r.id: (r.polarity, r.subjectivity) for r in spark.sql("SELECT id, s.* FROM (SELECT id, tone(text) AS s FROM cleaned)").collect()}
     for df in (score_sentiment(rows, words), score_sentiment(rows, scorer=scorer)):
         assert {r.id: (r.polarity, r.subjectivity) for r in df.collect()} == by_sql
+
+
+def test_closed_dates_switch_in_one_statement(spark, folder):
+    store, day, database = Store(f"{folder}/tables", 2), dt.date(2024, 1, 10), "closed_db"
+    for k in range(2):
+        ingest_batch(raw(spark, message(f"{k}a"), message(f"{k}b")), f"b{k}", store)
+    create_closed(spark, store, database)
+    compact_dates(spark, store, [day], database)
+
+    def ids():
+        return sorted(r.id for r in closed_messages(spark, database).where(F.col("tweet_date") == day).collect())
+
+    before = ids()
+    assert before == ["0a", "0b", "1a", "1b"] and len(closed_messages(spark, database).inputFiles()) == 1
+    ingest_batch(raw(spark, message("late")), "b2", store)
+    merged = merge_dates(spark, store, [day])
+    assert ids() == before  # written, not switched to
+    switch_dates(spark, merged, [day], database)
+    assert ids() == sorted([*before, "late"])
+    assert {r.ingest_batch for r in closed_messages(spark, database).collect()} == {"b0", "b1", "b2"}
