@@ -7,8 +7,8 @@ window and a template it holds to 0.8 then have a Jaccard similarity of 0.26 at
 minimum each they collide with a probability of 0.999 or more (and surely where the similarity is 1).
 Pairs that collide are verified by exact containment: 80 % of the template's shingles stand in the
 window. A window without any shingle of a template can share no minimum with it, so such
-windows are left out before the minima are taken. Where matches of different licenses overlap, the one with the larger
-containment stays.
+windows are left out before the minima are taken. Where windows of different licenses overlap, those with the larger containment
+stay; of what is left each document and template reports its best window.
 
 The templates are a parameter. They are small: their shingles go into the plan as literals up to
 LITERALS of them; with more templates the windows are not thinned out before, which changes no result.
@@ -123,13 +123,19 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] | None = None, least:
         keyed = F.broadcast(keyed)
     share = F.size(F.array_intersect("held", "wanted")) / F.size("wanted")
     proven = bands.join(keyed, ["scale", "band", "low"]).withColumn("share", share).where(F.col("share") >= least)
-    best = proven.groupBy("_row", "doc_id", "template", "license").agg(
-        F.max(F.struct("share", F.negative("start").alias("back"), (F.negative("start") - F.size("held")).alias("end"))).alias("best"))
-    # Notices of sister licenses differ in a word or two: where windows overlap, the fuller match speaks.
-    found = best.groupBy("_row", "doc_id").agg(F.collect_list(F.struct(
-        "template", "license", F.col("best.share").alias("share"), F.negative("best.back").alias("start"),
-        F.negative("best.end").alias("stop"))).alias("all"))
-    better = lambda m: F.exists("all", lambda o: (o["license"] != m["license"]) & (o["share"] > m["share"])
-                                & (o["start"] < m["stop"] + WORDS) & (m["start"] < o["stop"] + WORDS))
-    return found.select("doc_id", F.explode(F.filter("all", lambda m: ~better(m))).alias("m")).select(
-        "doc_id", "m.license", "m.template", F.round("m.share", 6).alias("containment"), F.col("m.start").alias("first_token"))
+    found = proven.select(
+        "_row", "doc_id", "template", "license", "share", "start", (F.col("start") + F.size("held")).alias("stop")).distinct()
+    # Notices of sister licenses differ in a word or two: where windows overlap, the fuller match speaks. Windows meet
+    # those of their own stretch of the text; a stretch as long as the longest window holds a bounded number.
+    reach = max(scales) + max(1, max(scales) // 2) + WORDS
+    placed = found.withColumn("cell", F.explode(F.sequence(
+        F.floor((F.col("start") - WORDS) / reach), F.floor((F.col("stop") + WORDS) / reach))))
+    fuller = placed.select("_row", "cell", *[F.col(c).alias(f"its_{c}") for c in ("license", "share", "start", "stop")])
+    beaten = placed.join(fuller, ["_row", "cell"]).where(
+        (F.col("its_license") != F.col("license")) & (F.col("its_share") > F.col("share"))
+        & (F.col("its_start") < F.col("stop") + WORDS) & (F.col("start") < F.col("its_stop") + WORDS))
+    standing = found.join(beaten.select("_row", "template", "start"), ["_row", "template", "start"], "left_anti")
+    best = standing.groupBy("_row", "doc_id", "template", "license").agg(
+        F.max(F.struct("share", F.negative("start").alias("back"))).alias("best"))
+    return best.select(
+        "doc_id", "license", "template", F.round("best.share", 6).alias("containment"), F.negative("best.back").alias("first_token"))

@@ -170,6 +170,19 @@ def test_licenses_without_literals_are_the_same(spark, monkeypatch):
     assert sorted(map(tuple, licenses.scan(df).collect())) == first
 
 
+def test_notices_of_sister_licenses_in_one_document(spark):
+    """The first notice holds most of the other license's template, whose own notice comes later and is not exact."""
+    third, second = licenses.TEMPLATES[6][1], "That" + licenses.TEMPLATES[7][1][4:]
+    texts = [third + " word" * 60 + " " + second, second + " word" * 60 + " " + third, second, third + " word" * 60 + " " + third]
+    found = collections.defaultdict(list)
+    for r in licenses.scan(named(spark, texts)).collect():
+        found[r.doc_id].append((r.license, r.containment, r.first_token))
+    assert {i: sorted(x[:2] for x in f) for i, f in found.items()} == {
+        0: [("GPL-2.0", 0.875), ("GPL-3.0", 1.0)], 1: [("GPL-2.0", 0.875), ("GPL-3.0", 1.0)],
+        2: [("GPL-2.0", 0.875)], 3: [("GPL-3.0", 1.0)],
+    }
+
+
 def test_short_templates_are_refused(spark):
     with pytest.raises(ValueError):
         licenses.scan(named(spark, ["x"]), [("x", "too short a text")])
