@@ -6,7 +6,7 @@ import datetime as dt
 from collections.abc import Callable
 
 from pyspark.errors import StreamingQueryException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks.messages import lexicon, messages, table
@@ -532,9 +532,11 @@ def scorer_hook(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(scores)
 
 
-def ordered(build: Callable[[SparkSession, str], DataFrame], *order: Column) -> Callable[[SparkSession, str], DataFrame]:
-    """A result with each row's position, so that its order can be compared."""
-    return lambda spark, sf_dir: with_position(build(spark, sf_dir), *order)
+def ordered(build: Callable[[SparkSession, str], DataFrame], **order: str) -> Callable[[SparkSession, str], DataFrame]:
+    """A result with each row's position, so that its order can be compared; ``order`` names columns as "asc" or "desc"."""
+    return lambda spark, sf_dir: with_position(
+        build(spark, sf_dir), *[F.desc(c) if way == "desc" else F.asc(c) for c, way in order.items()]
+    )
 
 
 def analyze_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -704,11 +706,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["compacted_date"] = compacted
     q["keyword_search_indexed"] = indexed_search
     q["scorer_hook"] = scorer_hook
-    date, hour, label = F.col(DATE), F.col("tweet_hour"), F.col("sentiment_label")
-    q["ordered_trends"] = ordered(q["sentiment_trends"], date.desc(), label.asc())
-    q["ordered_hours"] = ordered(q["hourly_trends_for_date"], hour.asc())
-    q["ordered_hourly_view"] = ordered(q["hourly_trends"], date.desc(), hour.desc())
-    q["ordered_dataset"] = ordered(q["dashboard_dataset"], date.desc(), hour.desc(), label.asc())
+    q["ordered_trends"] = ordered(q["sentiment_trends"], tweet_date="desc", sentiment_label="asc")
+    q["ordered_hours"] = ordered(q["hourly_trends_for_date"], tweet_hour="asc")
+    q["ordered_hourly_view"] = ordered(q["hourly_trends"], tweet_date="desc", tweet_hour="desc")
+    q["ordered_dataset"] = ordered(
+        q["dashboard_dataset"], tweet_date="desc", tweet_hour="desc", sentiment_label="asc"
+    )
 
     # Missing texts, single messages, the other files of the jobs
     q["analyze_missing_texts"] = analyze_with_gaps

@@ -1,6 +1,8 @@
 """The registered queries against their SQL in DuckDB, on the smallest tables."""
 
 import os
+import subprocess
+import sys
 
 import pytest
 
@@ -21,6 +23,13 @@ def test_every_query_has_its_sql():
     assert set(entry_point.oracle_sql()) <= set(entry_point.queries())
 
 
+def test_queries_are_listed_without_a_session():
+    """In a process of its own: no session is active there."""
+    code = "import __spark_entry__ as e; assert set(e.queries()) >= set(e.oracle_sql())"
+    root = os.path.dirname(os.path.abspath(entry_point.__file__))
+    subprocess.run([sys.executable, "-c", code], cwd=root, check=True, timeout=120)
+
+
 @pytest.fixture(scope="module")
 def duck():
     duckdb = pytest.importorskip("duckdb")
