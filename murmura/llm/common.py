@@ -16,6 +16,8 @@ from murmura.session import scratch_dir
 
 #: Stands for a missing id where ids are compared: later than any other.
 NO_ID = (1 << 63) - 1
+#: Groups of linked classes with 1 / HOT of all classes or more; there are HOT of them at most.
+HOT = 1000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -132,6 +134,19 @@ def components(edges: DataFrame) -> DataFrame:
     )
 
 
+def lowest(classes: DataFrame, group: DataFrame) -> DataFrame:
+    """(rep, component) for the ``classes`` (rep, low) in ``group`` (id, component): the smallest ``low`` of each component."""
+    own = settle(classes.select("rep", "low").join(group.withColumnRenamed("id", "rep"), "rep"), "groups")
+    least = own.groupBy("component").agg(F.min("low").alias("lowest"), F.count("*").alias("members"))
+    total = own.count()
+    # By their size there are HOT large groups at most; the others can skew no join.
+    hot = F.broadcast(least.where(F.col("members") * HOT >= total))
+    cold = least.where(F.col("members") * HOT < total)
+    large = own.join(hot, "component")
+    small = own.join(hot, "component", "left_anti").join(cold, "component")
+    return large.unionByName(small).select("rep", F.col("lowest").alias("component"))
+
+
 def summed(df: DataFrame, measure, size: int, slots: int = 16) -> np.ndarray:
     """Sum over all rows of ``measure(batch) -> float64[size]``, a partition at a time.
 

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from murmura.llm.common import components, settle, slices, summed
+from murmura.llm.common import components, lowest, settle, slices, summed
 
 LEAST = 0.9
 SAMPLE, LEAVES, TILE, BLOCK = 20_000, 4096, 8192, 1024
@@ -40,8 +40,6 @@ LEAD = 8  # dimensions that boxes and the first products use
 _SLACK = 1e-9
 #: Shares of the squared length after which products are held against the threshold.
 STOPS = (0.5, 0.75)
-#: Groups of linked vectors with 1 / HOT of all classes or more; there are HOT of them at most.
-HOT = 1000
 
 
 def _usable(vectors: DataFrame) -> DataFrame:
@@ -225,7 +223,7 @@ def near_duplicates(vectors: DataFrame, least: float = LEAST, tile: int = TILE,
     named = classes.select("digest", "rep", "low", "size")
     if found is not None:
         counts = found.groupBy("a").agg(F.sum("n").alias("n")).withColumnRenamed("a", "rep")
-        named = named.join(counts, "rep", "left").join(_lowest(classes, found), "rep", "left")
+        named = named.join(counts, "rep", "left").join(lowest(classes, components(found.where("a <> b").select("a", "b"))), "rep", "left")
     else:
         named = named.withColumns({"n": F.lit(0), "component": F.col("low")})
     named = named.select(
@@ -240,20 +238,6 @@ def near_duplicates(vectors: DataFrame, least: float = LEAST, tile: int = TILE,
     )
 
 
-def _lowest(classes: DataFrame, found: DataFrame) -> DataFrame:
-    """(rep, component) for linked classes: the smallest vec_id of all classes that links reach."""
-    group = components(found.where("a <> b").select("a", "b")).withColumnRenamed("id", "rep")
-    own = settle(classes.select("rep", "low").join(group, "rep"), "vector-groups")
-    lowest = own.groupBy("component").agg(F.min("low").alias("lowest"), F.count("*").alias("members"))
-    total = own.count()
-    # By their size there are HOT large groups at most; the others can skew no join.
-    hot = F.broadcast(lowest.where(F.col("members") * HOT >= total))
-    cold = lowest.where(F.col("members") * HOT < total)
-    large = own.join(hot, "component")
-    small = own.join(hot, "component", "left_anti").join(cold, "component")
-    return large.unionByName(small).select("rep", F.col("lowest").alias("component"))
-
-
 def _links(classes: DataFrame, length: int, least: float, tile: int, leaves: int | None) -> DataFrame:
     """(a, b, n): vector a has n links in some pair of tiles and is connected to b by links there."""
     spark = classes.sparkSession

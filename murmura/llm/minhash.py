@@ -5,14 +5,15 @@ distinct 5-word shingles (as 64-bit hashes), with fewer words the whole sequence
 All coordinates of a signature come from two permutations of the 32-bit universe: the first
 one shuffles the shingles, the second one is shifted circularly by k for coordinate k.
 
-Copies of one set are one class from the start. In every band bucket, members are compared
-with the bucket's smallest id. Only buckets that then still hold several components go on:
+Copies of one set are one class from the start, told apart by the set's digest and numbered as
+they are written; doc_ids only name the result. In every band bucket, members are compared
+with the bucket's first class. Only buckets that then still hold several components go on:
 members outside the first one's component are compared with the members of all others, one by
 one in small buckets, in blocks by products of incidence matrices in large ones. So a group of n
 linked copies costs about n comparisons, and no link that would join two components is lost.
 
 Cases: a text that is null, empty or white space has an empty set and links with nothing.
-Rows that repeat a doc_id are separate documents of that id. A row without doc_id links with
+Rows that repeat a doc_id with different texts are separate documents of that id, each linked by its own set. A row without doc_id links with
 nothing, has no component and is kept. Other columns are ignored. No rows give no rows.
 """
 
@@ -24,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from murmura.llm.common import byte_words, components, fresh, hash_words, mix64, run_hashes, settle, slices
+from murmura.llm.common import byte_words, components, fresh, hash_words, lowest, mix64, run_hashes, settle, slices
 
 BANDS, ROWS = 20, 6  # at a similarity of 0.85 a pair shares a bucket with probability 0.9999
 WORDS = 5
@@ -84,7 +85,7 @@ def band_keys(signature: np.ndarray, bands: int, rows: int) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """doc_id, n_shingles, set_key (digest of the set) and one key a band; the last two null for empty sets."""
+    """doc_id, text_key, n_shingles, set_key (digest of the set) and one key a band; the last two null for empty sets."""
 
     def sketch(batches):
         for part in slices(batches):
@@ -96,15 +97,16 @@ def sketches(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame
             yield pa.RecordBatch.from_arrays(
                 [
                     part.column("doc_id"),
+                    part.column("text_key"),
                     pa.array([len(x) for x in sets], pa.int64()),
                     pa.array([xxhash.xxh128_digest(x.tobytes()) if len(x) else None for x in sets], pa.binary()),
                     pa.ListArray.from_arrays(edges, keys, mask=pa.array(~has)),
                 ],
-                ["doc_id", "n_shingles", "set_key", "bands"],
+                ["doc_id", "text_key", "n_shingles", "set_key", "bands"],
             )
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary").alias("text")).mapInArrow(
-        sketch, "doc_id long, n_shingles long, set_key binary, bands array<long>"
+    return _with_text_key(docs).mapInArrow(
+        sketch, "doc_id long, text_key binary, n_shingles long, set_key binary, bands array<long>"
     )
 
 
@@ -128,19 +130,29 @@ def verified(pairs: DataFrame, texts: DataFrame, least: int = LEAST) -> DataFram
             )
 
     return (
-        pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
-        .join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
+        pairs.join(texts.select(F.col("rep").alias("a"), F.col("text").alias("text_a")), "a")
+        .join(texts.select(F.col("rep").alias("b"), F.col("text").alias("text_b")), "b")
         .select("a", "b", "text_a", "text_b")
         .mapInArrow(check, "a long, b long")
     )
 
 
-def near_duplicates(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, least: int = LEAST) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept: one row for every row of ``docs``."""
+def _with_text_key(docs: DataFrame) -> DataFrame:
+    """doc_id, text (binary) and a digest of the text, which tells apart rows that repeat a doc_id."""
+    text = F.col("text").cast("binary")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.unhex(F.md5(text)).alias("text_key"))
+
+
+def _decided(docs: DataFrame, bands: int, rows: int, least: int) -> DataFrame:
+    """doc_id, text_key, n_shingles, component_id, kept: one row for every row of ``docs``."""
     sketch = settle(sketches(docs, bands, rows), "minhash-sketch")
-    classes = (
+    classes = settle(
         sketch.where(F.col("set_key").isNotNull() & F.col("doc_id").isNotNull())
-        .groupBy("set_key", "n_shingles").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"))
+        .groupBy("set_key", "n_shingles")
+        .agg(F.min(F.struct("doc_id", "text_key")).alias("pick"), F.first("bands").alias("bands"))
+        .select("set_key", "n_shingles", F.col("pick.doc_id").alias("low"), F.col("pick.text_key").alias("text_key"), "bands")
+        .withColumn("rep", F.monotonically_increasing_id()),
+        "minhash-classes",
     )
     spread = classes.select("rep", "n_shingles", F.posexplode("bands").alias("band", "key"))
     buckets = (
@@ -154,11 +166,11 @@ def near_duplicates(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, least
         .select("band", "key", "rep", "n_shingles", F.col("hub.rep").alias("hub"), F.col("hub.n_shingles").alias("hub_n")),
         "minhash-buckets",
     )
+    wanted = classes.join(shared.select("rep").distinct(), "rep", "left_semi").select("rep", F.col("low").alias("doc_id"), "text_key")
+    # Rows that repeat both doc_id and text meet before the exchange.
     texts = settle(
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-        .join(sketch.select("doc_id", "set_key").distinct().join(
-            classes.select(F.col("rep").alias("doc_id"), "set_key"), ["doc_id", "set_key"]).join(
-            shared.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi").select("doc_id"), "doc_id"),
+        _with_text_key(docs).where(F.col("doc_id").isNotNull()).join(wanted, ["doc_id", "text_key"])
+        .groupBy("doc_id", "text_key", "rep").agg(F.first("text").alias("text")).select("rep", "text"),
         "minhash-texts",
     )
 
@@ -181,16 +193,22 @@ def near_duplicates(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, least
         more = settle(more.union(_in_blocks(open_now.where(F.col("members") > SMALL), texts, least)), "minhash-links")
         if not more.isEmpty():
             group = components(found.union(more))
-    named = classes.select("set_key", "rep").join(group, F.col("rep") == F.col("id"), "left").select(
-        "set_key", F.coalesce("component", "rep").alias("component")
+    named = classes.select("set_key", "rep", "low").join(lowest(classes, group), "rep", "left").select(
+        "set_key", F.coalesce("component", "low").alias("component")
     )
-    own = sketch.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("set_key")).alias("set_key"))
+    own = sketch.select(
+        "doc_id", "text_key", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("set_key")).alias("set_key"))
     return own.join(named, "set_key", "left").select(
-        "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"),
+        "doc_id", "text_key", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"),
         F.coalesce(F.coalesce("component", "doc_id") == F.col("doc_id"), F.lit(True)).alias("kept"),
     )
 
 
+def near_duplicates(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, least: int = LEAST) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept: one row for every row of ``docs``."""
+    return _decided(docs, bands, rows, least).drop("text_key")
+
+
 def _open_buckets(shared: DataFrame, group: DataFrame) -> DataFrame:
     """Members, with their component, of buckets that still hold several components.
 
@@ -236,7 +254,7 @@ def _in_blocks(members: DataFrame, texts: DataFrame, least: int) -> DataFrame:
     keys = ["band", "key", "l", "r", "side", "rep", "component"]
     left = own.where("component <> first").withColumns({"l": F.col("block"), "side": F.lit(0)}).withColumn("r", every).select(keys)
     right = own.withColumns({"r": F.col("block"), "side": F.lit(1)}).withColumn("l", every).select(keys)
-    rows = left.union(right).join(texts.select(F.col("doc_id").alias("rep"), "text"), "rep")
+    rows = left.union(right).join(texts, "rep")
 
     def compare(part: pa.Table) -> pa.Table:
         side = part.column("side").to_numpy()
@@ -284,11 +302,14 @@ def intersections(left: list[np.ndarray], right: list[np.ndarray], width: int =
     return out
 
 
-def keep_one(docs: DataFrame, **settings) -> DataFrame:
+def keep_one(
+    docs: DataFrame, bands: int = BANDS, rows: int = ROWS, least: int = LEAST
+) -> DataFrame:
     """``docs`` without the near-duplicates of an earlier document; same columns.
 
-    Rows that repeat a doc_id are one document and stay or go together.
+    Rows that repeat both doc_id and text are one document and stay or go together.
     """
-    name = fresh(docs, "_gone")
-    gone = near_duplicates(docs, **settings).where(~F.col("kept")).select(F.col("doc_id").alias(name)).distinct()
-    return docs.join(gone, F.col("doc_id").cast("long") == F.col(name), "left_anti")
+    names = [fresh(docs, "_gone"), fresh(docs, "_gone_text")]
+    gone = _decided(docs, bands, rows, least).where(~F.col("kept")).select("doc_id", "text_key").distinct().toDF(*names)
+    own = F.unhex(F.md5(F.col("text").cast("binary")))
+    return docs.join(gone, (F.col("doc_id").cast("long") == F.col(names[0])) & (own == F.col(names[1])), "left_anti")

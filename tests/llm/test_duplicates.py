@@ -108,6 +108,32 @@ def test_keep_one_keeps_columns_and_the_first(spark):
     assert sorted(r.doc_id for r in got.collect()) == [0, 2]
 
 
+def test_rows_that_repeat_a_doc_id_keep_their_own_links(spark):
+    r = random.Random(11)
+    a, b = words(r, 200), words(r, 200)
+    near_a, near_b = edited(r, a, 1), edited(r, b, 1)
+    texts = [" ".join(x) for x in (a, b, near_a, near_b, b)]
+    df = named(spark, texts, [5, 5, 3, 9, 5])
+    got = sorted((x.doc_id, x.component_id, x.kept) for x in minhash.near_duplicates(df).collect())
+    assert got == [(3, 3, True), (5, 3, False), (5, 5, True), (5, 5, True), (9, 5, False)]
+    kept = sorted((x.doc_id, x.text) for x in minhash.keep_one(df).collect())
+    assert kept == sorted([(3, texts[2]), (5, texts[1]), (5, texts[1])])
+
+
+def test_large_buckets_keep_repeated_doc_ids_apart(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "SMALL", 1)
+    monkeypatch.setattr(minhash, "BLOCK", 5)
+    texts = corpus()
+    ids = [i % 7 for i in range(len(texts))]
+    group = brute_components(texts)[0]
+    low = {}
+    for i, c in group.items():
+        low[c] = min(low.get(c, 99), ids[i])
+    expected = sorted((ids[i], low[c] if shingles(texts[i]) else ids[i]) for i, c in group.items())
+    got = minhash.near_duplicates(named(spark, texts, ids)).collect()
+    assert sorted((r.doc_id, r.component_id) for r in got) == expected
+
+
 def test_signatures_estimate_similarity():
     r = np.random.default_rng(0)
     a = np.unique(r.integers(0, 2**63, 2000).astype(np.uint64))
