@@ -9,6 +9,11 @@ neighbouring block that reaches the threshold. Elements that are never part of a
 headers outside an article, footers, sidebars, notices, adverts, forms, scripts, styles, comments)
 take no part in any density.
 
+A name alone never removes the article: a form, or an element with such a word inside a longer name
+(``with-sidebar``, ``comments-open``), that holds more than half of the body's characters outside links
+takes part like any other, and so does any labelled element when nothing else of the body has text. An
+unlabelled article or main element with text settles it: then labels stand.
+
 Text: character references decoded, white space inside a block one space, trimmed, blocks in page
 order joined by a line feed. A ``<br>`` is white space inside its block.
 
@@ -34,13 +39,15 @@ _TOKEN = re.compile(
     re.S,
 )
 _LABELS = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
+_HREF = re.compile(r"\bhref\s*=", re.I)
 _PART = re.compile(r"[a-z]+|[0-9]+")
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript textarea title iframe template svg math select object".split())
+RAW = frozenset("script style noscript textarea title iframe template svg select annotation annotation-xml".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp "
-    "small span strike strong sub sup time tt u var wbr".split()
+    "small span strike strong sub sup time tt u var wbr object math mi mn mo ms mtext mrow mfrac msup msub msubsup msqrt mroot "
+    "mover munder munderover mstyle mpadded mphantom menclose semantics mtable mtr mtd".split()
 )
 CONTAINER = frozenset("html body main article section div td center blockquote".split())
 #: Elements that close an open paragraph.
@@ -58,11 +65,20 @@ LABELS = frozenset(
 )
 
 
+#: How sure a mark is that its element is no part of an article.
+PART, NAMED = 1, 2
+
+
 class _Node:
-    __slots__ = ("tag", "parent", "drop", "chars", "tags", "link_chars", "link_tags", "density", "total", "children", "holds")
+    __slots__ = (
+        "tag", "parent", "block", "mark", "drop", "link", "chars", "tags", "link_chars", "link_tags", "density", "total",
+        "children", "holds",
+    )
 
-    def __init__(self, tag: str, parent: "_Node | None", drop: bool):
-        self.tag, self.parent, self.drop = tag, parent, drop
+    def __init__(self, tag: str, parent: "_Node | None", mark: int, link: bool = False):
+        self.tag, self.parent, self.mark, self.drop, self.link = tag, parent, mark, mark > 0, link
+        #: The block whose text this is: an inline element belongs to the block around it.
+        self.block: _Node = parent.block if parent is not None and tag in INLINE else self
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.total = 0.0
         self.children: list[_Node] = []
@@ -71,19 +87,55 @@ class _Node:
             parent.children.append(self)
 
 
-def _labelled(attributes: str) -> bool:
-    if "=" not in attributes:
-        return False
-    for found in _LABELS.findall(attributes):
-        if not LABELS.isdisjoint(_PART.findall("".join(found).lower())):
-            return True
-    return False
+class _Open:
+    """The open elements; where each tag stands is kept, so that no end tag searches the stack."""
+
+    def __init__(self, root: _Node):
+        self.stack = [root]
+        self.at: dict[str, list[int]] = {root.tag: [0]}
+        self.blocks = [0]  # places of elements that are not inline
+        self.links = 0
+
+    def push(self, node: _Node) -> None:
+        self.at.setdefault(node.tag, []).append(len(self.stack))
+        if node.tag not in INLINE:
+            self.blocks.append(len(self.stack))
+        self.links += node.link
+        self.stack.append(node)
+
+    def innermost(self, names) -> int:
+        return max((self.at[x][-1] for x in names if self.at.get(x)), default=-1)
+
+    def has(self, *names: str) -> bool:
+        return self.innermost(names) >= 0
+
+    def cut(self, place: int) -> None:
+        """End the element at ``place`` and all inside it."""
+        for node in reversed(self.stack[place:]):
+            self.at[node.tag].pop()
+            self.links -= node.link
+            if node.tag not in INLINE:
+                self.blocks.pop()
+        del self.stack[place:]
+
+
+def _mark(attributes: str) -> int:
+    """NAMED if a class, id or role is one of the labels, PART if one of them is part of a longer name."""
+    best = 0
+    if "=" in attributes:
+        for found in _LABELS.findall(attributes):
+            for name in "".join(found).lower().split():
+                if name in LABELS:
+                    return NAMED
+                if not LABELS.isdisjoint(_PART.findall(name)):
+                    best = PART
+    return best
 
 
 def _tree(page: str) -> tuple[_Node, list[_Node], list[tuple[_Node, str, int]]]:
     """The root, all nodes in page order, and the text blocks (node, text, link characters)."""
-    root = _Node("html", None, False)
-    stack, nodes, blocks = [root], [root], []
+    root = _Node("html", None, 0)
+    opened, nodes, blocks = _Open(root), [root], []
     held: list[str] = []
     links = 0
 
@@ -92,30 +144,21 @@ def _tree(page: str) -> tuple[_Node, list[_Node], list[tuple[_Node, str, int]]]:
         if held:
             text = " ".join("".join(held).split())
             if text:
-                node = stack[-1]
-                while node.tag in INLINE and node.parent is not None:
-                    node = node.parent
-                blocks.append((node, text, min(links, len(text))))
+                blocks.append((opened.stack[-1].block, text, min(links, len(text))))
             held.clear()
         links = 0
 
     def close(names, until=SCOPE) -> None:
-        for i in range(len(stack) - 1, 0, -1):
-            if stack[i].tag in names:
-                flush()
-                del stack[i:]
-                return
-            if stack[i].tag in until:
-                return
+        place = opened.innermost(names)
+        if place > 0 and place >= opened.innermost(until):
+            flush()
+            opened.cut(place)
 
     def close_inline(name: str) -> None:
         """End the innermost such element of this block, if there is one; the text goes on."""
-        for i in range(len(stack) - 1, 0, -1):
-            if stack[i].tag == name:
-                del stack[i:]
-                return
-            if stack[i].tag not in INLINE:
-                return
+        place = opened.innermost((name,))
+        if place > opened.blocks[-1]:
+            opened.cut(place)
 
     raw_open = False
     at, size = 0, page.rfind(">") + 1  # behind that there is only text
@@ -127,7 +170,7 @@ def _tree(page: str) -> tuple[_Node, list[_Node], list[tuple[_Node, str, int]]]:
             if "&" in text:
                 text = html.unescape(text)
             held.append(text)
-            if any(x.tag == "a" for x in stack[-3:]):
+            if opened.links:
                 links += len(text.strip())
         if not found:
             break
@@ -165,29 +208,57 @@ def _tree(page: str) -> tuple[_Node, list[_Node], list[tuple[_Node, str, int]]]:
                 close(CLOSES[name], ("ul", "ol", "dl", "table", "body") if name != "tr" else ("table", "body"))
         elif name == "a":
             close_inline("a")
-        node = _Node(name, stack[-1], name in NEVER or _labelled(attributes))
-        if name in ("article", "main") and not node.drop or name == "body":
-            node.drop = False
+        mark = PART if name == "form" else NAMED if name in NEVER else _mark(attributes)
+        if name == "header":
+            mark = 0 if opened.has("article", "main") else NAMED
+        if name == "body":
+            if opened.has("body"):
+                continue
+            mark = 0
+        node = _Node(name, opened.stack[-1], mark, name == "a" and _HREF.search(attributes) is not None)
+        if name in ("article", "main") and not mark or name == "body":
             up = node
-            while up is not None:
+            while up is not None and not up.holds:
                 up.holds = True
                 up = up.parent
-        if name == "header":
-            node.drop = not any(x.tag in ("article", "main") for x in stack)
-        if name == "body" and any(x.tag == "body" for x in stack):
-            node.parent.children.pop()
-            continue
         nodes.append(node)
-        stack.append(node)
+        opened.push(node)
     if not raw_open:
         held.append(html.unescape(page[size:].partition("<!--")[0]))
     flush()
     return root, nodes, blocks
 
 
+def _lift(root: _Node, nodes: list[_Node], blocks: list[tuple[_Node, str, int]]) -> None:
+    """Take the mark from elements that hold most of the body's characters outside links, as the module says."""
+    own = dict.fromkeys(map(id, nodes), 0)
+    for node, text, links in blocks:
+        own[id(node)] += len(text) - links
+    every, free, plain = dict(own), dict(own), {id(root): True}
+    for node in nodes[1:]:
+        plain[id(node)] = plain[id(node.parent)] and not node.mark
+    for node in reversed(nodes[1:]):
+        every[id(node.parent)] += every[id(node)]
+        if not node.mark:
+            free[id(node.parent)] += free[id(node)]
+    if any(n.tag in ("article", "main") and plain[id(n)] and free[id(n)] for n in nodes):
+        return
+    node, outside = root, 0
+    while True:
+        heavy = next((n for n in node.children if 2 * every[id(n)] > every[id(root)]), None)
+        outside += free[id(node)] - (free[id(heavy)] if heavy is not None and not heavy.mark else 0)
+        if heavy is None:
+            return
+        if heavy.mark == NAMED and outside and heavy.tag not in ("article", "main"):
+            return
+        heavy.mark, node = 0, heavy
+
+
 def _measure(root: _Node, nodes: list[_Node], blocks: list[tuple[_Node, str, int]]) -> None:
     """Characters, tags and densities of every node; what never counts is marked on all its nodes."""
+    _lift(root, nodes, blocks)
     for node in nodes[1:]:  # parents come first
+        node.drop = node.mark > 0
         if node.parent.drop and not (node.parent.holds and node.tag in ("article", "main")):
             node.drop = True
         elif node.drop and node.holds:

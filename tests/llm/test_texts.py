@@ -37,6 +37,59 @@ def test_article_of_a_page():
     assert html_text.extract(PAGE + "</body></html>") == html_text.extract(PAGE)
 
 
+LONG = "".join(f"<p>{'word ' * 30}{i}</p>" for i in range(4))
+LONG_TEXT = "\n".join(f"{'word ' * 30}{i}" for i in range(4))
+
+
+@pytest.mark.parametrize("page", [
+    f"<body><form><div>{LONG}</div></form></body>",
+    f"<body><nav><a href=x>home</a></nav><div class='page with-sidebar'><div>{LONG}</div><div class=sidebar>aside</div></div></body>",
+    f"<body><article class='post comments-open'>{LONG}<section class='comments'><p>nice</p></section></article></body>",
+    f"<body><main class='no-sidebar'>{LONG}</main><aside><article><p>teaser text</p></article></aside></body>",
+    f"<body><div class=widget><div>{LONG}</div></div></body>",
+    f"<body><div><x-part><x-part>{LONG}</x-part></x-part></div><div class=comments><p>{'reply ' * 300}</p></div></body>",
+])
+def test_names_of_elements_do_not_remove_the_article(page):
+    assert html_text.extract(page) == LONG_TEXT
+
+
+def test_formulas_and_objects_are_text():
+    page = f"<article>{LONG}<p>so <math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>x</annotation></math> and <object>a b</object></p></article>"
+    assert html_text.extract(page) == LONG_TEXT + "\nso x=1 and a b"
+
+
+def test_densities_equal_the_formula():
+    """A small tree: every density by hand, and the sum that chooses the container."""
+    import math
+
+    page = "<body><div><p>" + "a" * 60 + "</p><p>" + "b" * 30 + "<a href=x>" + "c" * 10 + "</a></p></div><div><a href=y>" + "d" * 20 + "</a></div></body>"
+    root, nodes, blocks = html_text._tree(page)
+    html_text._measure(root, nodes, blocks)
+
+    def density(chars, tags, link_chars, link_tags):
+        plain, share = max(chars - link_chars, 1), 30 / 120
+        base = math.log(chars / plain * link_chars + share * chars + math.e)
+        ratio = chars / max(link_chars, 1) * max(tags, 1) / max(link_tags, 1)
+        return chars / max(tags, 1) * math.log(max(ratio, 1)) / max(math.log(max(base, math.e)), 1)
+
+    first, second = density(60, 0, 0, 0), density(40, 1, 10, 1)
+    by_hand = {"body": density(120, 6, 30, 2), "div": density(100, 3, 10, 1)}
+    got = {n.tag: n for n in reversed(nodes)}
+    assert {t: got[t].density for t in by_hand} == pytest.approx(by_hand)
+    assert got["div"].total == pytest.approx(first + second)
+
+
+@pytest.mark.parametrize("part", ["<x>", "<article>", "<b>", "<b><i>", "<p><b>", "<div class=nav>", "</b><b><div>", "<td>", "<li>", "<a href=x>"])
+def test_deep_pages_take_linear_time(part):
+    import time
+
+    html_text.extract("<body>" + part * 1000)
+    start = time.process_time()
+    assert isinstance(html_text.extract("<body>" + part * (600_000 // len(part)) + "end>"), str)
+    assert time.process_time() - start < 20
+
+
+
 def test_article_without_article_element():
     body = "".join(f"<p>{'word ' * 40}{i}</p>" for i in range(5))
     links = "".join(f'<li><a href="/{i}">link {i}</a></li>' for i in range(30))
