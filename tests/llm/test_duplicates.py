@@ -192,6 +192,29 @@ def test_repeated_passages_of_odd_rows(spark):
     assert substrings.dedup(named(spark, [])).collect() == []
 
 
+def test_rows_without_or_with_a_repeated_doc_id_lose_only_their_own_repeats(spark):
+    r = random.Random(23)
+    passage = words(r, 60)
+    texts = [" ".join(words(r, 15) + passage + words(r, 15)) for _ in range(2)] + [" ".join(words(r, 90)) for _ in range(2)]
+    for ids in ([None] * 4, [7] * 4, [7, None, 7, None]):
+        got = substrings.dedup(named(spark, texts + texts[:1], ids + ids[:1]), with_text=True).collect()
+        kept = {x.kept_text for x in got}
+        assert texts[2] in kept and texts[3] in kept
+        # the first of the two keeps the passage, the other one loses it and nothing else
+        lost = [x for x in got if x.n_removed]
+        assert {x.n_removed for x in lost} == {60} and len({x.kept_text for x in lost}) == 1
+        assert len(kept & set(texts)) == 3
+
+
+def test_blocks_of_any_size_remove_alike(spark):
+    r = random.Random(29)
+    passage = words(r, 40)
+    texts = [" ".join(words(r, 30) + passage[i % 15 :] + words(r, 30)) for i in range(30)]
+    expected = brute_removed(list(enumerate(texts)))
+    for packed in (1, 200, 10**6):
+        assert sorted(map(tuple, substrings.dedup(named(spark, texts), packed=packed).collect())) == expected
+
+
 def test_cover_reaches_every_shift():
     for i in range(substrings.PERIOD):
         for j in range(substrings.PERIOD):
