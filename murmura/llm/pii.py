@@ -9,7 +9,8 @@ reaches only beside a context word.
 
 Offsets are code points, end exclusive. They come from the lengths of the matches and of the gaps
 that ``split`` leaves by the same pattern, so a text is scanned twice a kind and nothing is shuffled.
-Patterns are the contract's with possessive loops and a guard that skips starts inside a run, which
+Running sums over them go in blocks, and texts are cut into chunks once, so that the work for many spans
+of one text is linear. Patterns are the contract's with possessive loops and a guard that skips starts inside a run, which
 changes no match and keeps long runs linear.
 
 Cases: a null or empty text has no spans (counts 0, digest of the empty string). Every row has its
@@ -49,6 +50,8 @@ IBAN_LENGTHS = {
     "GR": 27, "HR": 21, "HU": 28, "IE": 22, "IT": 27, "LT": 20, "LU": 20, "LV": 21, "NL": 18, "NO": 15, "PL": 28, "PT": 25,
     "RO": 24, "SE": 24, "SI": 19, "SK": 24,
 }
+#: Places of a running sum that share a block, and code points of a chunk.
+SCAN, CHUNK = 256, 4096
 _SPAN = "struct<start:bigint,rank:int,stop:bigint,kind:string,value:string>"
 
 
@@ -105,37 +108,59 @@ def _matches(text: Column, kind: str) -> tuple[Column, Column]:
         may, F.split(text, PATTERNS[kind], -1)).otherwise(none)
 
 
+def _before(values: Column, combine) -> Column:
+    """For each of some longs, at least one, what ``combine`` makes of 0 and all values before it.
+
+    Blocks of SCAN values are gone through by themselves, then their totals, so no step copies a long array.
+    """
+    def scan(block: Column, value) -> Column:
+        zero = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<bigint>").alias("before"))
+        return F.aggregate(block, zero, lambda acc, x: F.struct(
+            combine(acc["at"], value(x)).alias("at"), F.array_append(acc["before"], acc["at"]).alias("before")))
+
+    last = F.floor((F.size(values) - 1) / SCAN).cast("int")
+    blocks = F.transform(
+        F.sequence(F.lit(0), last), lambda i: scan(F.slice(values, i * SCAN + 1, F.lit(SCAN)), lambda x: x))
+    return F.flatten(F.zip_with(
+        blocks, scan(blocks, lambda x: x["at"])["before"],
+        lambda block, base: F.transform(block["before"], lambda x: combine(base, x)),
+    ))
+
+
 def _spans(kind: str) -> Column:
     """Valid spans of a kind out of its matches and gaps."""
     found, gaps = F.col(f"_m_{kind}"), F.col(f"_g_{kind}")
-    zero = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<bigint>").alias("starts"))
-
-    def step(acc: Column, i: Column) -> Column:
-        start = acc["at"] + F.length(F.get(gaps, i))
-        return F.struct(
-            (start + F.length(F.get(found, i))).alias("at"), F.array_append(acc["starts"], start).alias("starts")
-        )
-
-    starts = F.aggregate(F.sequence(F.lit(0), F.size(found) - 1), zero, step)["starts"]
+    places = F.sequence(F.lit(0), F.size(found) - 1)
+    steps = F.transform(places, lambda i: (F.length(F.get(gaps, i)) + F.length(F.get(found, i))).cast("long"))
     spans = F.zip_with(
-        starts, found,
-        lambda start, value: F.struct(
-            start.alias("start"), F.lit(KINDS.index(kind)).alias("rank"),
-            (start + F.length(value)).alias("stop"), F.lit(kind).alias("kind"), value.alias("value"),
+        _before(steps, lambda x, y: x + y), places,
+        lambda at, i: F.struct(
+            (at + F.length(F.get(gaps, i))).alias("start"), F.lit(KINDS.index(kind)).alias("rank"),
+            (at + F.length(F.get(gaps, i)) + F.length(F.get(found, i))).alias("stop"), F.lit(kind).alias("kind"),
+            F.get(found, i).alias("value"),
         ),
     )
     valid = F.filter(spans, lambda s: _valid(kind, s["value"]))
     return F.when(F.size(found) > 0, valid).otherwise(F.array().cast(f"array<{_SPAN}>"))
 
 
-def _score(text: Column, span: Column) -> Column:
+def _chunks(text: Column) -> Column:
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{CHUNK}}}+"), F.lit(0))
+
+
+def _piece(chunks: Column, start: Column, stop: Column) -> Column:
+    """The text from ``start`` to ``stop``, out of the chunks that hold it."""
+    first = F.floor(start / CHUNK).cast("int")
+    count = F.floor((stop - 1) / CHUNK).cast("int") - first + 1
+    joined = F.array_join(F.slice(chunks, first + 1, count), "")
+    return F.when(stop > start, F.substring(joined, (start - first * CHUNK + 1).cast("int"), (stop - start).cast("int"))).otherwise("")
+
+
+def _score(chunks: Column, span: Column) -> Column:
     """The span's score: its kind's, more beside a context word, less for an unknown country."""
     low = F.greatest(span["start"] - CONTEXT_REACH, F.lit(0))
     near = F.lower(F.concat_ws(
-        " ",
-        F.substring(text, (low + 1).cast("int"), (span["start"] - low).cast("int")),
-        F.substring(text, (span["stop"] + 1).cast("int"), F.lit(CONTEXT_REACH)),
-    ))
+        " ", _piece(chunks, low, span["start"]), _piece(chunks, span["stop"], span["stop"] + CONTEXT_REACH)))
     score = F.lit(0.0)
     for kind in KINDS:
         own = F.lit(SCORES[kind])
@@ -156,13 +181,14 @@ def with_spans(docs: DataFrame, text: str = "text") -> DataFrame:
     df = df.withColumns({f"_s_{kind}": _spans(kind) for kind in KINDS})
     everything = F.concat(*[F.col(f"_s_{kind}") for kind in KINDS])
     df = df.withColumn("_all", everything)
+    df = df.withColumn("_chunks", F.when(F.size("_all") > 0, _chunks(own)))
     scored = F.transform(
         "_all",
-        lambda s: F.struct(s["start"], s["rank"], s["stop"], s["kind"], s["value"], _score(own, s).alias("score")),
+        lambda s: F.struct(s["start"], s["rank"], s["stop"], s["kind"], s["value"], _score(F.col("_chunks"), s).alias("score")),
     )
     kept = F.filter(F.array_sort(scored), lambda s: (s["kind"] != "iban") | (s["score"] >= IBAN_LEAST))
     df = df.withColumn("_spans", F.when(F.size("_all") > 0, kept).otherwise(scored))
-    return df.drop("_all", *[f"_{x}_{kind}" for x in "mgs" for kind in KINDS])
+    return df.drop("_all", "_chunks", *[f"_{x}_{kind}" for x in "mgs" for kind in KINDS])
 
 
 def _listed(spans: Column, score: bool = False) -> Column:
@@ -193,21 +219,17 @@ def redact(docs: DataFrame) -> DataFrame:
     null ones too, stay as they are.
     """
     df = with_spans(docs.select(F.struct(*docs.columns).alias("row"), "text"))
-    text = F.col("text")
-
-    def step(acc: Column, s: Column) -> Column:
-        part = F.substring(text, (acc["at"] + 1).cast("int"), (s["start"] - acc["at"]).cast("int"))
-        mark = F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]"))
-        return F.struct(
-            F.greatest(acc["at"], s["stop"]).alias("at"),
-            F.when(s["start"] >= acc["at"], F.concat(acc["out"], part, mark)).otherwise(acc["out"]).alias("out"),
-        )
-
-    zero = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
-    done = F.aggregate("_spans", zero, step)
-    df = df.withColumn("_done", F.when(F.size("_spans") > 0, done))
-    new = F.concat(F.col("_done.out"), F.substring(text, (F.col("_done.at") + 1).cast("int"), F.length(text)))
-    df = df.withColumn("new", F.when(F.col("_done").isNotNull(), new))
+    text, chunks = F.col("text"), F.col("_chunks")
+    df = df.withColumn("_chunks", F.when(F.size("_spans") > 0, _chunks(text)))
+    covered = _before(F.transform("_spans", lambda s: s["stop"]), F.greatest)
+    marks = F.filter(
+        F.zip_with("_spans", covered, lambda s, at: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), at.alias("at"))),
+        lambda m: m["start"] >= m["at"],
+    )
+    parts = F.transform(
+        marks, lambda m: F.concat(_piece(chunks, m["at"], m["start"]), F.lit("["), F.upper(m["kind"]), F.lit("]")))
+    rest = _piece(chunks, F.array_max(F.transform("_spans", lambda s: s["stop"])), F.length(text).cast("long"))
+    df = df.withColumn("new", F.when(F.size("_spans") > 0, F.concat(F.array_join(parts, ""), rest)))
     changed = {"text": F.col("new")}
     if "n_chars" in docs.columns:
         changed["n_chars"] = F.length("new").cast(docs.schema["n_chars"].dataType)

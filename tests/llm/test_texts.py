@@ -440,3 +440,47 @@ def test_a_frequent_word_takes_more_than_four_forms(vocabulary):
     codec = pieces.Codec(vocabulary, 0.3)
     texts = ["understanding"] * 400
     assert len({x.tobytes() for x in codec.encode(texts, range(400))}) > 8
+
+
+def test_many_spans_in_one_text(spark):
+    """Blocks and chunks end inside spans, gaps and characters beyond the basic plane."""
+    import random
+
+    r = random.Random(3)
+    text, spans = "", []
+    for i in range(1500):
+        text += r.choice(["\U0001f600", " plain ", "é " * r.randrange(30), "\n", "mail "])
+        value = f"a{i}@b{i}.org" if r.random() < 0.7 else f"10.0.{i % 256}.{r.randrange(256)}"
+        text += " "
+        spans.append(("email" if "@" in value else "ip", len(text), len(text) + len(value)))
+        text += value + r.choice([" ", ",", "\U0001f680"])
+    df = spark.createDataFrame([(1, text, len(text)), (2, None, None), (3, "none", 4)], "doc_id long, text string, n_chars long")
+    row = pii.find_personal_data(df).where("doc_id = 1").first()
+    listed = ",".join(f"{k}:{a}:{b}" for k, a, b in spans)
+    assert row.spans == listed
+    assert row.base_sha256 == hashlib.sha256(listed.encode()).hexdigest()
+    for (kind, a, b), one in zip(spans, row.scored.split(",")):
+        near = (text[max(a - 40, 0) : a] + " " + text[b : b + 40]).lower()
+        score = pii.SCORES[kind] + 0.2 * bool(re.search(rf"(?a:\b)(?:{pii.CONTEXT[kind]})(?a:\b)", near))
+        assert float(one.split(":")[3]) == pytest.approx(score), near
+    expected, at = "", 0
+    for kind, a, b in spans:
+        expected += text[at:a] + f"[{kind.upper()}]"
+        at = b
+    expected += text[at:]
+    got = {x.doc_id: (x.text, x.n_chars) for x in pii.redact(df).collect()}
+    assert got == {1: (expected, len(expected)), 2: (None, None), 3: ("none", 4)}
+
+
+def test_spans_of_one_text_take_linear_time(spark):
+    import time
+
+    def seconds(n):
+        text = " ".join(f"user{i}@host{i}.org and words" for i in range(n))
+        df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+        start = time.time()
+        assert pii.find_personal_data(df).first().n_email == n
+        return time.time() - start
+
+    seconds(2000)
+    assert seconds(32_000) < 8 * seconds(8000) + 2
