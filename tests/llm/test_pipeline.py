@@ -46,7 +46,7 @@ def test_stages_decide_as_their_operators_do(spark):
 
 def test_every_operator_is_registered_once():
     names = [n for n in entry_point.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert "pipeline" in entry_point.queries()
 
 
