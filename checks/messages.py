@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from murmura.schemas import LEXICON, RAW
-from murmura.session import pin_utc, scratch_dir
+from murmura.session import pin_utc
 
 MESSAGES_SQL = """
 SELECT CAST(e.event_id AS {text_type}) AS id,
@@ -49,29 +49,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-_landed: dict[tuple[str, str], str] = {}
+def messages(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> DataFrame:
+    """Raw messages of all events, or of those given, joined as they are read; no copy of them is written.
 
-
-def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw messages, joined once per session and scale into balanced Parquet; queries start there.
-
-    Documents are spread by the join key before the join: a file may be one block, and at scale the join would
-    shuffle them by that key anyway. Text lengths differ a thousandfold, so there are several parts a core.
+    Before the join there are narrow events and each document once, after it a whole text for every event. So the
+    two tables are spread by the join key, and the rows stay where the join makes them. Text lengths differ a
+    thousandfold: there are several parts a core, and no fewer than the join itself would ask for, which
+    would spread the documents a second time.
     """
     pin_utc(spark)
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _landed:
-        joined = spark.sql(
-            MESSAGES_SQL.replace("{text_type}", "STRING"),
-            documents=table(spark, sf_dir, "documents").repartition("doc_id"),
-            counted=table(spark, sf_dir, "documents"),
-            events=table(spark, sf_dir, "events"),
-        )
-        times = {c: F.col(c).cast("timestamp") for c in ("created_at", "collected_at")}
-        path = scratch_dir(spark, "messages")
-        joined.withColumns(times).repartition(4 * spark.sparkContext.defaultParallelism, "id").write.parquet(path)
-        _landed[key] = path
-    return spark.read.schema(RAW).parquet(_landed[key])
+    parts = max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    documents = table(spark, sf_dir, "documents")
+    joined = spark.sql(
+        MESSAGES_SQL.replace("{text_type}", "STRING"),
+        documents=documents.repartition(parts, "doc_id"),
+        counted=documents,
+        events=table(spark, sf_dir, "events") if events is None else events,
+    )
+    times = {c: F.col(c).cast("timestamp") for c in ("created_at", "collected_at")}
+    return joined.withColumns(times).select(*[F.col(f.name).cast(f.dataType) for f in RAW.fields])
 
 
 def lexicon(spark: SparkSession) -> DataFrame:
