@@ -30,6 +30,7 @@ from murmura.schemas import COUNTERS, DATE
 from murmura.session import pin_utc, scratch_dir
 from murmura.sources.closed import closed_messages, compact_dates, create_closed, merge_dates, switch_dates
 from murmura.sources.landing import (
+    LANDED_AS,
     LANDED_TIME,
     land_messages,
     newest_file_time,
@@ -194,7 +195,7 @@ def ingest_rotated_folder(spark: SparkSession, sf_dir: str) -> DataFrame:
     half = F.pmod(F.xxhash64("id"), F.lit(2))
     for part in (0, 1):
         now = messages(spark, sf_dir).where(half == part)
-        now.write.mode("overwrite").option("timestampFormat", LANDED_TIME).json(landing)
+        now.write.mode("overwrite").options(**LANDED_AS).json(landing)
         ingest_file(spark, landing, store, lexicon(spark))
     return store.read(spark, "daily_sentiment").transform(plain)
 
@@ -208,7 +209,7 @@ def text_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("retweet_count").cast("string").alias("retweet_count"),
         F.col("like_count").cast("double").alias("like_count"),
         F.concat(F.lit("x"), F.col("reply_count").cast("string")).alias("reply_count"),
-    ).write.option("timestampFormat", LANDED_TIME).json(folder)
+    ).write.options(**LANDED_AS).json(folder)
     first.select(F.concat(F.lit("{"), "id").alias("value")).write.mode("append").text(folder)
     read = process_messages(read_messages(spark, folder).where("_corrupt_record IS NULL"))
     return read.select("id", *COUNTERS)

@@ -15,6 +15,8 @@ from murmura.schemas import API_RECORD, CORRUPT, COUNTERS, LANDED
 ANY_AGE = "36500d"
 # Fixed value: times are landed in full, with their zone.
 LANDED_TIME = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+# How lines are written. Readers tell a compressed file by its name, so plain files may lie beside.
+LANDED_AS = {"timestampFormat": LANDED_TIME, "compression": "gzip"}
 
 
 def _line_reader(reader, schema: T.StructType):
@@ -68,8 +70,11 @@ def content_name(spark: SparkSession, path: str) -> str:
 
 
 def land_messages(messages: DataFrame, folder: str) -> None:
-    """Append messages to the landing folder as JSON lines."""
-    messages.write.mode("append").option("timestampFormat", LANDED_TIME).json(folder)
+    """Append messages to the landing folder as compressed JSON lines.
+
+    One task reads a whole compressed file; a large frame should have several partitions a core.
+    """
+    messages.write.mode("append").options(**LANDED_AS).json(folder)
 
 
 def exists(spark: SparkSession, path: str) -> bool:

@@ -7,6 +7,7 @@ import pytest
 
 from checks import messages as built
 from checks import queries
+from murmura.sources.landing import land_messages, read_messages, stream_messages
 
 
 @pytest.fixture
@@ -54,3 +55,23 @@ def test_collected_again_by_id(spark, tables):
     assert sorted((r.id, r.like_count, r.collected_at.hour - r.created_at.hour) for r in again.collect()) == [
         ("0", 6, 3), ("4", 6, 3), ("6", 6, 3), ("6", 7, 3)
     ]
+
+
+def test_landed_lines_are_compressed(spark, tables, folder):
+    """Landed files are gzip files, and plain ones beside them are read as before, by batch and by stream."""
+    rows = built.messages(spark, tables)
+    landing = f"{folder}/landing"
+    land_messages(rows, landing)
+    files = [f for f in os.listdir(landing) if f.startswith("part-")]
+    assert files and all(f.endswith(".json.gz") for f in files)
+    rows.selectExpr("to_json(struct(id, text)) AS value").where("id = '3'").write.mode("append").text(landing)
+    landed = read_messages(spark, landing).drop("_corrupt_record")
+    want = [tuple(r) for r in rows.collect()]
+    want.append(("3", "zero the thing", *[None] * (len(rows.columns) - 2)))
+    assert sorted((tuple(r) for r in landed.collect()), key=str) == sorted(want, key=str)
+    query = (
+        stream_messages(spark, landing).select("id").writeStream.format("parquet").trigger(availableNow=True)
+        .option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/checkpoint").start()
+    )
+    query.awaitTermination()
+    assert spark.read.schema("id STRING").parquet(f"{folder}/out").count() == len(want)
