@@ -7,7 +7,9 @@ import pytest
 
 from checks import messages as built
 from checks import queries
+from murmura.plans.ingest import ingest_file
 from murmura.sources.landing import land_messages, read_messages, stream_messages
+from murmura.sources.store import Store
 
 
 @pytest.fixture
@@ -75,3 +77,22 @@ def test_landed_lines_are_compressed(spark, tables, folder):
     )
     query.awaitTermination()
     assert spark.read.schema("id STRING").parquet(f"{folder}/out").count() == len(want)
+
+
+def test_stored_messages_are_compressed_and_hold_the_landed_rows(spark, tables, folder):
+    """Both message tables are written with zstd; all landed rows are among the raw ones."""
+    landing, store = f"{folder}/landing", Store(f"{folder}/tables")
+    land_messages(built.messages(spark, tables), landing)
+    ingest_file(spark, landing, store)
+    for table, rows in (("raw_tweets", 8), ("processed_tweets", 5)):
+        read = store.read(spark, table)
+        assert read.count() == rows
+        assert all(".zstd.parquet" in f for f in read.inputFiles())
+
+
+def test_time_order_needs_no_store(spark, tables):
+    """The ordered landing folder holds every message once, and nothing is ingested for it."""
+    before = _scratch(spark, "store")
+    landed = read_messages(spark, queries.in_time_order(spark, tables))
+    assert sorted(r.id for r in landed.collect()) == ["0", "1", "2", "3", "4", "5", "6", "6"]
+    assert _scratch(spark, "store") == before
