@@ -107,3 +107,17 @@ def test_streamable(spark, folder):
 
     live = score_sentiment(process_messages(stream_messages(spark, f"{folder}/in")))
     assert live.isStreaming
+
+
+def test_messages_are_written_by_the_tasks_that_read_them(spark, folder):
+    """No exchange copies the texts before the write; narrow tables still get few files."""
+    made, tables = Store(f"{folder}/made"), Store(f"{folder}/tables")
+    for day in (1, 2):
+        land(f"{folder}/in", f"{day}.json", [record(10 * day + i, created=f"2024-01-{1 + i:02d}T05:00:00Z") for i in range(2)])
+    ingest_file(spark, f"{folder}/in", made)
+    for table, files in (("raw_tweets", 6), ("processed_tweets", 6), ("sentiment_rollup", 2)):
+        rows = made.read(spark, table)
+        # Three tasks, each of which has every row.
+        tables.replace(spark.range(0, 3, 1, 3).select().crossJoin(F.broadcast(rows)).select(*rows.columns), table, [])
+        assert len(tables.read(spark, table).inputFiles()) == files
+        assert tables.read(spark, table).count() == 3 * rows.count()
