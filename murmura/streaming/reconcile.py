@@ -96,7 +96,7 @@ def publish_hours(spark: SparkSession, folder: str, dates: set[dt.date], closed:
 def _set_aside(rows: DataFrame, number: int, folder: str, closed: int) -> int:
     """Write the rows of closed hours to the side table; their number."""
     late = rows.where(_hour_end() <= F.lit(closed)).withColumn(_NUMBER, F.lit(number))
-    seen = overwrite_partitions(late, f"{folder}/late", [_NUMBER], {"rows": F.count(F.lit(1))})
+    seen = overwrite_partitions(late, f"{folder}/late", [_NUMBER], {"rows": F.count(F.lit(1))}, spread=False)
     return seen["rows"]
 
 

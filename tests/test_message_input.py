@@ -96,3 +96,20 @@ def test_time_order_needs_no_store(spark, tables):
     landed = read_messages(spark, queries.in_time_order(spark, tables))
     assert sorted(r.id for r in landed.collect()) == ["0", "1", "2", "3", "4", "5", "6", "6"]
     assert _scratch(spark, "store") == before
+
+
+@pytest.mark.parametrize("fill", [queries.with_late_files, queries.in_time_order, queries.ingest_recollected(2)])
+def test_landing_rounds_take_the_parts_of_the_join(spark, tables, monkeypatch, fill):
+    """Files are put together out of parts that are there; no text crosses an exchange to be dealt out to files."""
+    landed = []
+    monkeypatch.setattr(queries, "land_messages", lambda rows, folder: landed.append(rows) or land_messages(rows, folder))
+    fill(spark, tables)
+    plans = [rows._jdf.queryExecution().optimizedPlan().toString() for rows in landed]
+    assert len(plans) >= 2 and all("Repartition " in p and "Repartition 0" not in p for p in plans)
+    assert all("Repartition " + str(spark.sparkContext.defaultParallelism) + ", false" in p for p in plans)
+
+
+def test_stream_results_are_kept_with_zstd(spark, tables):
+    rows = queries.stream_dedup(spark, tables)
+    assert sorted(r.id for r in rows.collect()) == sorted({str(i) for i in range(7)})
+    assert all(".zstd.parquet" in f for f in rows.inputFiles())
