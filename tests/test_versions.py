@@ -7,6 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from helpers import message, raw
+from murmura.operators.messages import latest_by_id
+from murmura.plans import ingest as ingest_module
 from murmura.plans.ingest import FEW_IDS, ingest_batch, newest_of_batch
 from murmura.schemas import BATCH, DATE, VERSIONS
 from murmura.sources import versions as versions_module
@@ -148,3 +150,35 @@ def test_many_odd_ids_are_joined_not_sent(spark, store):
     many = newest_of_batch(landed, log, FEW_IDS + 1, 0)._jdf.queryExecution().optimizedPlan().toString()
     assert "strategy=broadcast" in few and "strategy=broadcast" not in many
     assert newest_of_batch(landed, log, 0, 0) is landed
+
+
+def test_many_copies_cross_one_exchange(spark, folder):
+    """Ids that come several times, that lost, and rows without one: few ids are sent, many meet where rows are compared."""
+    rows = [at(i) for i in range(9)] + [at(1, likes=3), at(1, likes=2), at(2, likes=9), message(None, "x"), message(None, "x")]
+    raw(spark, *rows).write.parquet(f"{folder}/landed")
+    landed = spark.read.parquet(f"{folder}/landed")
+    ids = [(str(i), i not in (2, 5), 3 if i == 1 else 2 if i == 2 else 1) for i in range(9)]
+    versions = spark.createDataFrame(ids, "id STRING, won BOOLEAN, copies BIGINT")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        few, many = newest_of_batch(landed, versions, 3, 1), newest_of_batch(landed, versions, FEW_IDS + 1, 1)
+        plan = many._jdf.queryExecution().executedPlan().toString()
+        got = [sorted((r.id or "", r.like_count) for r in df.collect()) for df in (few, many)]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert got[0] == got[1] == [("", 0), ("", 0), ("0", 0), ("1", 3), *[(str(i), 0) for i in (3, 4, 6, 7, 8)]]
+    assert plan.count("Exchange hashpartitioning") == 2  # rows once, ids once
+
+
+def test_a_batch_that_runs_again_compares_only_repeated_ids(spark, folder, monkeypatch):
+    """Whole rows are sent to their id only for ids that come several times in the batch."""
+    store, compared = Store(f"{folder}/tables", 2), []
+    monkeypatch.setattr(ingest_module, "latest_by_id", lambda rows: compared.append(rows.count()) or latest_by_id(rows))
+    for _ in range(2):
+        ingest_batch(raw(spark, *[at(i, likes=20) for i in range(6)]), "b0", store)
+    assert compared == []
+    for _ in range(2):
+        ingest_batch(raw(spark, at(3, likes=30, collected="2024-01-11T00:00:00"), at(20), at(20), message(None, "no id")), "b1", store)
+    assert compared == [2, 2]
+    kept = store.read(spark, "processed_tweets").select(BATCH, "id").collect()
+    assert sorted((r[0], r[1] or "") for r in kept) == [*[("b0", str(i)) for i in (0, 1, 2, 4, 5)], ("b1", ""), ("b1", "20"), ("b1", "3")]
