@@ -632,7 +632,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     )
     q["keyword_filter"] = lambda s, d: plain(keyword_filter(messages(s, d), KEYWORDS))
     q["recent_n"] = lambda s, d: plain(most_recent(messages(s, d), NEWEST))
-    q["latest_by_id"] = lambda s, d: plain(latest_by_id(_recollected(s, d)))
+    q["latest_by_id"] = lambda s, d: plain(latest_by_id(_recollected(s, d), narrow_first=True))
 
     # Text and sentiment
     q["clean_text"] = lambda s, d: messages(s, d).select(

@@ -62,16 +62,45 @@ def process_messages(raw: DataFrame, language: str = LANGUAGE) -> DataFrame:
     )
 
 
-def latest_by_id(messages: DataFrame, version: str = "collected_at") -> DataFrame:
+def latest_by_id(messages: DataFrame, version: str = "collected_at", narrow_first: bool = False) -> DataFrame:
     """One row per id, the latest collected; rows without an id are all kept.
 
     Copies of one time are told apart by their counters, then by the other columns, so
     ties have one answer. The maximum is a partial aggregate: the copies of a hot id
     collapse before the one exchange. Rows without an id never take part in it.
+
+    With ``narrow_first`` the newest copies are found on ids, times and counters. The rows
+    are then filtered, which Spark does below the joins and projections that make them: for
+    messages joined from narrow rows and texts, no message's text crosses an exchange, save
+    for copies that agree in time and counters. The rows are read three times, so their
+    source has to give the same rows each time.
     """
+    if narrow_first:
+        kept, tied = _newest_and_tied(messages, version)
+        return kept.unionByName(newest_copies(tied, version))
     return newest_copies(messages, version).unionByName(messages.where("id IS NULL"))
 
 
+def _newest_and_tied(messages: DataFrame, version: str) -> tuple[DataFrame, DataFrame]:
+    """Rows that are the newest of their id by time and counters alone, and newest ones that agree in these.
+
+    The conditions are subqueries, not joins: a filter moves below projections that compute columns, a join does not.
+    """
+    names = [version, *[c for c in COUNTERS if c in messages.columns and c != version]]
+    several = (
+        # Other names than the messages have, so that the conditions' outer columns are theirs.
+        messages.where("id IS NOT NULL").select(F.col("id").alias("_id"), F.struct(*names).alias("_mark"))
+        .groupBy("_id", "_mark").agg(F.count("*").alias("_same"))
+        .groupBy("_id").agg(F.max(F.struct("_mark", "_same")).alias("_top"), F.sum("_same").alias("_copies"))
+        .where("_copies > 1")
+        .select("_id", F.col("_top._mark").alias("_newest"), (F.col("_top._same") > 1).alias("_tied"))
+    )
+    own = F.col("_id") == F.col("id").outer()
+    older = F.struct(*[F.col(c).outer().alias(c) for c in names]) < F.col("_newest")
+    kept = messages.where(~several.where(own & (older | F.col("_tied"))).exists())
+    return kept, messages.where(several.where(own & ~older & F.col("_tied")).exists())
+
+
 def newest_copies(messages: DataFrame, version: str = "collected_at") -> DataFrame:
     """The rows with an id of ``latest_by_id``, dealt out by id."""
     counts = [c for c in COUNTERS if c in messages.columns and c != version]

@@ -59,6 +59,27 @@ def test_collected_again_by_id(spark, tables):
     ]
 
 
+def test_texts_of_newest_copies_cross_no_exchange(spark, tables):
+    """Older copies are taken out of the events, below the join that gives each its text."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        latest = queries.queries()["latest_by_id"](spark, tables)
+        plan = latest._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # Whole rows are compared in the last part of the union, which holds copies of one time with equal counters.
+    kept, tied, whole = plan.partition("partial_max(struct(collected_at")
+    assert tied and "Exchange hashpartitioning(id#" not in whole and kept.count("Exchange hashpartitioning(id#") == 1
+    texts = [i for i, line in enumerate(kept.splitlines()) if "SortMergeJoin [doc_id" in line]
+    anti = [i for i, line in enumerate(kept.splitlines()) if "LeftAnti" in line]
+    assert len(anti) == 2 and texts[0] < anti[0]
+    assert sorted((r.id, r.like_count, r.text) for r in latest.collect()) == [
+        ("0", 6, "zero the thing"), ("1", 1, "one then https://t.co/x @user #tag"), ("2", 1, "RT @user: two"),
+        ("3", 1, "zero the thing"), ("4", 6, "one then"), ("5", 1, "two https://t.co/x @user #tag"),
+        ("6", 7, "zero the thing https://t.co/x @user #tag"),
+    ]
+
+
 def test_landed_lines_are_compressed(spark, tables, folder):
     """Landed files are gzip files, and plain ones beside them are read as before, by batch and by stream."""
     rows = built.messages(spark, tables)

@@ -95,6 +95,28 @@ def test_ties_have_one_answer(spark):
         assert latest_by_id(raw(spark, *order).repartition(4)).first().like_count == 19
 
 
+def test_newest_by_narrow_columns_first(spark):
+    """The same rows, also where copies agree in time and counters, are equal, or lack times, counters or ids."""
+    df = raw(
+        spark,
+        message("once"), message("once-null", collected=None),
+        message("later", "old", collected="2024-01-10T13:00:00"), message("later", "new", collected="2024-01-10T15:00:00"),
+        message("some", likes=5, collected=None), message("some", likes=1), message("none", likes=3, collected=None),
+        message("none", likes=4, collected=None),
+        message("text", "a"), message("text", "c"), message("text", "b"), message("text", "z", likes=-1),
+        message("equal", "e"), message("equal", "e"), message("nothing", None, collected=None), message("nothing", "x", collected=None),
+        message(None, "x"), message(None, "x"), message(None, None, collected=None),
+    )
+    df = df.withColumn("like_count", F.when(F.col("id") != "equal", F.col("like_count")))
+    for order in (df, df.orderBy(F.desc("text")).repartition(4)):
+        for version in ("collected_at", "like_count"):
+            whole, narrow = (latest_by_id(order, version, narrow_first=n).collect() for n in (False, True))
+            assert sorted(map(str, narrow)) == sorted(map(str, whole))
+    found = {r.id: (r.text, r.like_count) for r in latest_by_id(df, narrow_first=True).collect()}
+    assert found["later"][0] == "new" and found["text"][0] == "c" and found["nothing"][0] == "x"
+    assert found["some"][1] == 1 and found["none"][1] == 4 and found["equal"][1] is None and len(found) == 9
+
+
 def test_newest_batches(spark):
     stored = raw(
         spark,
