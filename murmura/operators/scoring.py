@@ -41,9 +41,10 @@ NEGATION = -0.5
 INLINE_ROWS = 20_000
 # Lists of fewer words than this are not looked up in a hash set (Spark's own limit).
 SET_SIZE = 11
-# Ways to split the copies of one text, and the occurrences of one word, on the join path.
+# On the join path: chunks of texts for each shuffle partition, copies of a text before they are split, and the most ways.
+CHUNKS = 8
+HOT_COPIES = 100_000
 COPY_SALT = 1024
-WORD_SALT = 32
 
 
 @dataclass(frozen=True)
@@ -239,12 +240,6 @@ def _score_inline(messages: DataFrame, rows: list[Row], text: str) -> DataFrame:
     )
 
 
-def _mean(terms: str, measure: str) -> Column:
-    """The mean over the terms of a text, added up in their order."""
-    total = F.aggregate(terms, F.lit(0.0), lambda acc, one: acc + one["t"][measure])
-    return total / F.size(terms)
-
-
 def _among(word: Column, words) -> Column:
     """True where ``word`` is one of ``words``.
 
@@ -273,75 +268,84 @@ def _lookup(entries: dict, kind: str) -> Callable[[Column], Column]:
 def _score_joined(messages: DataFrame, words: DataFrame, text: str) -> DataFrame:
     """Scoring by joins, for a word list too large to travel with the plan.
 
-    Texts are scored once per (text, salt) under a digest key, so that neither
-    the token rows nor the join back carry whole texts. The salt comes from the
-    row's own values: copies of one text spread over many tasks, and a retried
-    task computes the same salt again. Frequent words are split over
-    ``WORD_SALT`` copies of the word list.
+    Each distinct text is scored once, under a digest, and the words go to the texts instead of the tokens to the
+    words: texts are dealt out in chunks, every word a chunk holds meets the list once, and a chunk is scored with the
+    entries found for it. So the exchanges carry each distinct text, the words of each chunk and the scores; a row crosses
+    one to meet its text's score, with no more of its columns than are asked for. The rows of a text with very many copies
+    are split by a salt out of their own values, which a retried task computes again.
     """
     others = [c for c in messages.columns if c != text]
-    copy = F.pmod(F.xxhash64(*others), F.lit(COPY_SALT)) if others else F.lit(0).cast("long")
-    keyed = messages.select(
-        "*", strip_markup(F.col(text)).alias("_body"), copy.alias("_copy")
-    ).withColumn("_text", F.sha2("_body", 256))
-    bodies = keyed.where(F.col("_body").isNotNull()).select("_text", "_copy", "_body").distinct()
-    occurrences = bodies.select("_text", "_copy", tokens(F.col("_body")).alias("_words")).select(
-        "_text",
-        "_copy",
-        F.explode(
-            F.transform(
-                "_words",
-                lambda w, i: F.struct(
-                    w.alias("word"),
-                    i.alias("at"),
-                    F.pmod(i, F.lit(WORD_SALT)).alias("_split"),
-                    F.get("_words", i - 1).alias("prev"),
-                    F.get("_words", i - 2).alias("prev2"),
-                    (F.get("_words", i + 1) == "!").alias("boosted"),
-                ),
-            )
-        ).alias("o"),
-    ).select("_text", "_copy", "o.*")
-
-    splits = F.explode(F.sequence(F.lit(0), F.lit(WORD_SALT - 1))).alias("_split")
-
-    def entries(kind: str) -> DataFrame:
-        # Spark's estimate does not count the copies, so it must not decide to broadcast them.
-        return words.where(F.col("kind") == kind).select("*", splits).drop("kind").hint("merge")
-
-    terms = entries("term").select(
-        "word", "_split",
-        F.coalesce("polarity", F.lit(0.0)).alias("p"),
-        F.coalesce("subjectivity", F.lit(0.0)).alias("s"),
+    chunks = CHUNKS * int(messages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # Rows without a text have a key of their own values that no text has.
+    alone = F.xxhash64(*others).cast("string").cast("binary") if others else F.lit(None).cast("binary")
+    keyed = messages.select("*", strip_markup(F.col(text)).alias("_body")).withColumn(
+        "_text", F.when(F.col(text).isNotNull(), F.unhex(F.sha2("_body", 256))).otherwise(alone)
     )
-    modifiers = entries("modifier").select(
-        F.col("word").alias("prev"), "_split",
-        F.coalesce("intensity", F.lit(1.0)).alias("factor"),
+    # The count is asked for wherever the texts are, and no condition on their tokens moves below their exchange: it is run once.
+    bodies = (
+        keyed.where(F.col(text).isNotNull()).groupBy("_text", "_body").agg(F.count("*").alias("_copies"))
+        .where("_copies > 0").withColumn("_chunk", F.pmod(F.xxhash64("_text"), F.lit(chunks)))
     )
-    negators = entries("negator").select(F.col("word").alias("negator"), "_split")
-    hits = occurrences.join(terms, ["word", "_split"]).join(modifiers, ["prev", "_split"], "left")
-    # The word that would negate: prev itself, or prev2 when prev is a modifier.
-    flagged = hits
-    for position in ("prev", "prev2"):
-        flagged = flagged.join(
-            negators.withColumnRenamed("negator", position).withColumn(f"{position}_no", F.lit(True)),
-            [position, "_split"],
-            "left",
-        )
-    negated = F.coalesce("prev_no", F.lit(False)) | (
-        F.col("factor").isNotNull() & F.coalesce("prev2_no", F.lit(False))
+    held = bodies.select("_chunk", F.explode_outer(F.array_distinct(tokens(F.col("_body")))).alias("word")).distinct()
+    entries = held.join(words, "word").select(
+        F.col("_chunk").alias("_of"), F.col("word").cast("binary").alias("word"), "kind",
+        "polarity", "subjectivity", "intensity",
     )
+    # No token contains a blank.
+    listed = F.array_join(tokens(F.col("_body")), " ").cast("binary").alias("_words")
     scores = (
-        flagged.select(
-            "_text", "_copy", "at",
-            _term_score(F.col("p"), F.col("s"), F.col("factor"), negated, F.col("boosted")).alias("t"),
-        )
-        .groupBy("_text", "_copy")
-        .agg(F.sort_array(F.collect_list(F.struct("at", "t"))).alias("terms"))  # those of one text
-        .select("_text", "_copy", *[_mean("terms", c).alias(c) for c in ("polarity", "subjectivity")])
+        bodies.select("_chunk", "_text", listed).groupBy("_chunk").cogroup(entries.groupBy("_of"))
+        .applyInArrow(_chunk_scorer(), "_text binary, polarity double, subjectivity double")
     )
-    return keyed.join(scores, ["_text", "_copy"], "left").select(
+    # One row for HOT_COPIES messages at most.
+    hot = F.broadcast(bodies.where(F.col("_copies") > HOT_COPIES).select(
+        "_text", F.least(F.lit(COPY_SALT), F.ceil(F.col("_copies") / HOT_COPIES)).cast("int").alias("_salts")
+    ))
+    salts = F.coalesce("_salts", F.lit(1))
+    copy = F.pmod(F.xxhash64(*others), salts).cast("int") if others else F.lit(0)
+    spread = F.explode(F.sequence(F.lit(0), (salts if others else F.lit(1)) - 1)).alias("_copy")
+    # Scores are narrow: a hash of a part's scores, and no row has to be sorted to meet its own.
+    found = scores.join(hot, "_text", "left").select("_text", spread, "polarity", "subjectivity").hint("shuffle_hash")
+    return keyed.join(hot, "_text", "left").withColumn("_copy", copy).join(found, ["_text", "_copy"], "left").select(
         *messages.columns,
         F.coalesce("polarity", F.lit(0.0)).alias("polarity"),
         F.coalesce("subjectivity", F.lit(0.0)).alias("subjectivity"),
     )
+
+
+def _chunk_scorer() -> Callable:
+    """The rule over the texts of a chunk, given as tokens joined by blanks, and the entries of their words.
+
+    Texts without a term are left out. Python's floats are the doubles of the column plan, added up in the same order.
+    """
+    boost, negation = BOOST, NEGATION
+
+    def score(texts, entries):
+        import pyarrow as pa
+
+        rows = entries.to_pylist()
+        terms = {r["word"]: (r["polarity"] or 0.0, r["subjectivity"] or 0.0) for r in rows if r["kind"] == "term"}
+        factors = {
+            r["word"]: 1.0 if r["intensity"] is None else r["intensity"] for r in rows if r["kind"] == "modifier"
+        }
+        negators = {r["word"] for r in rows if r["kind"] == "negator"}
+        out = {"_text": [], "polarity": [], "subjectivity": []}
+        for key, joined in zip(texts.column("_text"), texts.column("_words")):
+            found = joined.as_py().split(b" ")
+            total, weight, n = 0.0, 0.0, 0
+            for i, word in enumerate(found):
+                if word in terms:
+                    before, before2 = (found[i - k] if i >= k else None for k in (1, 2))
+                    factor = factors.get(before, 1.0)
+                    lift = boost if found[i + 1 : i + 2] == [b"!"] else 1.0
+                    negated = before in negators or (before in factors and before2 in negators)
+                    p, s = terms[word]
+                    total += max(-1.0, min(1.0, p * factor * lift)) * (negation if negated else 1.0)
+                    weight += max(0.0, min(1.0, s * factor))
+                    n += 1
+            if n:
+                for name, value in zip(out, (key.as_py(), total / n, weight / n)):
+                    out[name].append(value)
+        return pa.table(out, schema=pa.schema([("_text", pa.binary()), ("polarity", pa.float64()), ("subjectivity", pa.float64())]))
+
+    return score
