@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from murmura.schemas import CORRUPT, LANDED
+from murmura.sources import places
+from murmura.sources.landing import LANDED_AS, exists
 from murmura.sources.store import INTERNAL, Store, overwrite_partitions
 
 
@@ -25,13 +27,19 @@ def release(
     ``name`` names this repair: run again after a failure, it lands the lines once more, and the ingest keeps
     one copy of a message, as of any other. Lines that stay broken stay in quarantine for another repair.
     """
-    mended = quarantined(spark, store).withColumn("line", mend(F.col("line")))
-    read = F.from_json("line", LANDED, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
-    good = mended.withColumn("read", read).where(f"read IS NOT NULL AND read.{CORRUPT} IS NULL").select("line", "digest")
-    # One digest a line is one line: copies of a broken line come back once.
-    good = good.groupBy("digest").agg(F.min("line").alias("line"))
+    if not exists(spark, store.path("quarantine")):
+        return 0
+    stored = store.read(spark, "quarantine")
+    waiting = stored.select("line", F.sha2("line", 256).alias("digest"), *places.places()).join(
+        store.read(spark, "released").select("digest"), "digest", "left_anti"
+    )
+    read = F.from_json(mend(F.col("line")), LANDED, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    good = waiting.withColumn("read", read).where(f"read IS NOT NULL AND read.{CORRUPT} IS NULL")
+    # One digest a line is one line: copies of a broken line come back once. The lines themselves stay where they lie.
+    good = good.groupBy("digest").agg(F.min(F.struct(places.FILE, places.AT)).alias("first"))
+    lines = places.only(stored, good.select("first.*")).select(mend(F.col("line")).alias("value"))
     _, keys = INTERNAL["released"]
-    good.select(F.col("line").alias("value")).write.mode("append").text(landing)
+    lines.write.mode("append").option("compression", LANDED_AS["compression"]).text(landing)
     seen = overwrite_partitions(
         good.select("digest").withColumn(keys[0], F.lit(name)), store.path("released"), keys, {"rows": F.count(F.lit(1))}
     )
