@@ -32,6 +32,7 @@ from murmura.sources.closed import closed_messages, compact_dates, create_closed
 from murmura.sources.landing import (
     LANDED_AS,
     LANDED_TIME,
+    land_in_one_file,
     land_messages,
     newest_file_time,
     read_messages,
@@ -436,7 +437,7 @@ def lag(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = messages(spark, sf_dir)
     for quarter in range(4):
         part = rows.where(F.pmod(F.col("id").cast("long"), F.lit(4)) == quarter)
-        land_messages(part.coalesce(1), f"{root}/landing")
+        land_in_one_file(part, f"{root}/landing")
     store = Store(f"{root}/tables")
     query = ingest_landing(
         spark, f"{root}/landing", store, f"{root}/checkpoint", lexicon=lexicon(spark), files_per_batch=1

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -77,6 +79,33 @@ def land_messages(messages: DataFrame, folder: str) -> None:
     messages.write.mode("append").options(**LANDED_AS).json(folder)
 
 
+def land_in_one_file(messages: DataFrame, folder: str) -> None:
+    """Append messages to the landing folder as one compressed file that many tasks write.
+
+    Each task compresses its own rows; gzip files one after the other are one gzip file. Readers see nothing of it
+    until it is whole.
+    """
+    spark, name = messages.sparkSession, uuid.uuid4().hex
+    path, io = spark._jvm.org.apache.hadoop.fs.Path, spark._jvm.org.apache.hadoop.io.IOUtils
+    conf = spark._jsc.hadoopConfiguration()
+    parts, whole = path(f"{folder}/_parts-{name}"), path(f"{folder}/_whole-{name}")
+    messages.write.options(**LANDED_AS).json(parts.toString())
+    files = parts.getFileSystem(conf)
+    out = files.create(whole)
+    try:
+        for found in sorted((f.getPath() for f in files.listStatus(parts)), key=lambda p: p.getName()):
+            if found.getName().startswith("part-"):
+                part = files.open(found)
+                try:
+                    io.copyBytes(part, out, conf, False)
+                finally:
+                    part.close()
+    finally:
+        out.close()
+    files.rename(whole, path(f"{folder}/part-{name}.json.gz"))
+    files.delete(parts, True)
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     """True when something lies at a path or matches a glob; asks the file system, runs no query."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
